@@ -47,15 +47,22 @@ def project_struct(main: DataFrame, spec: TableSpec) -> DataFrame:
     return main.where(el.isNotNull()).select(*_base(main), *[_leaf(el, spec, n) for n in spec.fields])
 
 
-def _exploded(main: DataFrame, arr: Column) -> DataFrame:
+def _exploded(main: DataFrame, element: str, arr: Column | None = None) -> DataFrame:
+    """Rows holding ``element``, one per item of ``arr`` (default: the element itself).
+
+    The null test comes first so Catalyst drops every union branch of a main table that cannot
+    hold the element (its column is a null literal there) before anything is computed.
+    """
     keep = ["entity_id", *_carry(main)]
-    return main.select(*_base(main), F.explode(arr).alias("_x")).select(*keep, "_x")
+    arr = F.col(element) if arr is None else arr
+    return (main.where(F.col(element).isNotNull())
+            .select(*_base(main), F.explode(arr).alias("_x")).select(*keep, "_x"))
 
 
 def project_array(main: DataFrame, spec: TableSpec) -> DataFrame:
     """N: one row per array element."""
     x = F.col("_x")
-    df = _exploded(main, F.col(spec.element))
+    df = _exploded(main, spec.element)
     return df.select("entity_id", *_carry(main), *[_leaf(x, spec, n) for n in spec.fields])
 
 
@@ -63,7 +70,7 @@ def project_nested(main: DataFrame, spec: TableSpec) -> DataFrame:
     """NN: one row per inner element, with the fields of its outer group."""
     x, r = F.col("_x"), F.col("_r")
     keep = ["entity_id", *_carry(main)]
-    df = _exploded(main, F.col(spec.element))
+    df = _exploded(main, spec.element)
     df = df.select(*keep, *[_leaf(x, spec, g, "group") for g in spec.group], F.explode(x.getField("rows")).alias("_r"))
     return df.select(*keep, *spec.group, *[_leaf(r, spec, n) for n in spec.fields])
 
@@ -83,7 +90,7 @@ def project_main_extra(main: DataFrame, spec: TableSpec) -> DataFrame:
         F.coalesce(F.transform(el.getField("extra"), lambda e: row(e, False)), empty),
     )
     x = F.col("_x")
-    df = _exploded(main, items)
+    df = _exploded(main, spec.element, items)
     return df.select("entity_id", *_carry(main), *[x.getField(n).alias(n) for n in (*spec.fields, "is_main")])
 
 
@@ -91,7 +98,7 @@ def project_variant(main: DataFrame, spec: TableSpec) -> DataFrame:
     """P: the elements of one kind from an array shared by several tables."""
     arr = F.filter(F.col(spec.element), lambda e: e.getField("kind") == F.lit(spec.kind))
     x = F.col("_x")
-    df = _exploded(main, arr)
+    df = _exploded(main, spec.element, arr)
     return df.select("entity_id", *_carry(main), *[_leaf(x, spec, n) for n in spec.fields])
 
 

@@ -40,6 +40,7 @@ def slice_path(out_root: str, registry: str, table: str) -> str:
 
 
 def write_table(df: DataFrame, out_root: str, registry: str, table: str, load_date: str | None) -> None:
+    df = df.drop("registry")  # it is the partition folder
     if "load_date" not in df.columns:
         df = df.withColumn("load_date", F.lit(load_date).cast("date"))
     (df.write.mode("overwrite")

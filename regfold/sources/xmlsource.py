@@ -56,6 +56,10 @@ def read_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str
 
 
 def split_errors(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows). Good + bad = all; bad rows keep the file they came from."""
+    """(good rows, bad rows). Good + bad = all; bad rows keep the file they came from.
+
+    Spark refuses a query on raw XML whose only data column is the corrupt one (e.g. counting
+    bad rows): stage the parsed table first, as ``daily_run`` does.
+    """
     bad = F.col(corrupt_col).isNotNull()
     return df.where(~bad).drop(corrupt_col), df.where(bad)
