@@ -20,6 +20,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even when that costs an extra shuffle later
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Broadcast only below a measured size (AQE measures shuffle output at run time); beyond it
+    # the join is sort-merge. 16 MB x 1000 executors stays a modest fan-out.
+    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
     # reruns replace only the partitions they write
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
