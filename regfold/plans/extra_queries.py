@@ -20,6 +20,7 @@ from regfold.operators.audit import failure_notices
 from regfold.operators.merge import merge_by_date, union_parts, with_load_date
 from regfold.operators.shapes import project
 from regfold.plans import publish as pub
+from regfold.plans.fanout import stage
 from regfold.plans.specs import SPEC_BY_NAME, schema_of
 from regfold.session import apply_runtime_conf, staging_dir
 from regfold.sources import archive, landing, xmlsource
@@ -415,19 +416,23 @@ FROM (
 # --- N3 --------------------------------------------------------------------------------------
 
 def q_split_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events go out as XML with every 10th value broken; the typed read flags those rows."""
+    """Events go out as XML with every 10th value broken; the string read plus a typed check
+    splits them (good rows typed, bad rows flagged with the field that failed)."""
     from pyspark.sql import types as T
 
     root = _stage(spark, "xml-events")
     ev = read_table(spark, sf_dir, "events")
     value = F.when(F.pmod(F.col("event_id"), F.lit(10)) == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
     xmlsource.write_xml(ev.select(F.col("event_id").cast("string").alias("event_id"), "event_type", value.alias("value")),
-                        root, row_tag="Event", root_tag="Events")
-    schema = T.StructType.fromDDL("event_id BIGINT, event_type STRING, value DOUBLE")
-    back = xmlsource.read_xml(spark, root, schema, row_tag="Event", corrupt=True)
-    good, bad = xmlsource.split_errors(back)
+                        os.path.join(root, "xml"), row_tag="Event", root_tag="Events")
+    typed = T.StructType.fromDDL("event_id BIGINT, event_type STRING, value DOUBLE")
+    parsed = xmlsource.read_xml(spark, os.path.join(root, "xml"), xmlsource.string_schema(typed),
+                                row_tag="Event", corrupt=True)
+    back = stage(parsed, os.path.join(root, "_parsed"))  # Spark queries the corrupt column only once parsed
+    good, bad = xmlsource.split_errors(back, typed)
     return (good.select("event_id", "event_type", "value", F.lit(False).alias("is_bad"))
-            .unionByName(bad.select("event_id", "event_type", "value", F.lit(True).alias("is_bad"))))
+            .unionByName(bad.select(F.col("event_id").try_cast("bigint").alias("event_id"), "event_type",
+                                    F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_bad"))))
 
 
 _SPLIT_SQL = """

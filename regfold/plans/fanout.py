@@ -74,5 +74,31 @@ def fan_out(spark: SparkSession, main: DataFrame, registry: str, out_root: str,
     return FanOutResult(registry, tuple(done), out_root)
 
 
+def stage_all(builders: dict, root: str, parallel: int = 2) -> dict[str, DataFrame]:
+    """Stage several main tables at once (``{registry: lazy DataFrame}``); returns the staged reads."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {r: pool.submit(stage, df, os.path.join(root, r)) for r, df in builders.items()}
+        return {r: f.result() for r, f in futures.items()}
+
+
+def fan_out_all(spark: SparkSession, mains: dict[str, DataFrame], out_root: str, load_date: str | None = None,
+                parallel: int = 8) -> list[FanOutResult]:
+    """Every detail table of every register from one pool of write jobs.
+
+    Each job is a narrow scan-project-write of one table; running several at once keeps the
+    executors busy while small tables finish and big ones still write.
+    """
+    jobs = [(r, s) for r, main in mains.items() for s in specs_for(r)]
+
+    def one(job):
+        reg, spec = job
+        write_table(project(mains[reg], spec), out_root, reg, spec.name, load_date)
+        return job
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        done = list(pool.map(one, jobs))
+    return [FanOutResult(r, tuple(s.name for reg, s in done if reg == r), out_root) for r in mains]
+
+
 def read_published(spark: SparkSession, out_root: str, registry: str, table: str) -> DataFrame:
     return spark.read.parquet(slice_path(out_root, registry, table))

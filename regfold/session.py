@@ -47,19 +47,56 @@ def get_session(master: str | None = None, app_name: str = "regfold",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_runtime_conf(spark, conf)
     ensure_checkpoint_dir(spark)
+    apply_runtime_conf(spark, conf)
     return spark
 
 
 def apply_runtime_conf(spark: SparkSession, conf: dict | None = None) -> None:
-    """Set the SQL settings on an existing session (the driver may hand us its own)."""
+    """Set the SQL settings on an existing session (the driver may hand us its own) and make
+    this package importable by the Python workers."""
     for k, v in (conf or BASE_CONF).items():
         if k.startswith("spark.sql.") and k != "spark.sql.shuffle.partitions":
             try:
                 spark.conf.set(k, v)
             except Exception:  # static conf on an already running session
                 pass
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application (like ``--py-files``).
+
+    Executor-side Python (``mapInPandas`` for archives) imports it; the zip is written into the
+    shared checkpoint folder so every executor can fetch it.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    from pyarrow import fs
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = os.path.join(ensure_checkpoint_dir(spark), "regfold-pkg", f"{key}-{uuid.uuid4().hex[:8]}", "regfold.zip")
+    filesystem, p = fs.FileSystem.from_uri(target if "://" in target else "file://" + os.path.abspath(target))
+    filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(p) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -55,11 +55,35 @@ def read_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str
     return r.load(path).withColumn("src_file", F.col("_metadata.file_name"))
 
 
-def split_errors(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows). Good + bad = all; bad rows keep the file they came from.
+def bad_values(df: DataFrame, typed: T.StructType) -> F.Column:
+    """Names of the top-level leaves of ``typed`` whose string value does not cast (array<string>).
 
-    Spark refuses a query on raw XML whose only data column is the corrupt one (e.g. counting
-    bad rows): stage the parsed table first, as ``daily_run`` does.
+    Types are checked after the read, never inside it: a record that fails typing in the XML
+    reader is reported with the text of its whole file, which a large file cannot afford.
     """
-    bad = F.col(corrupt_col).isNotNull()
-    return df.where(~bad).drop(corrupt_col), df.where(bad)
+    checks = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+              for f in typed.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.StringType))]
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+
+
+def split_errors(df: DataFrame, typed: T.StructType | None = None,
+                 corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows); good + bad = all.
+
+    Bad: broken markup (``_corrupt_record``, one row per damaged file) or, with ``typed``, a
+    value that does not cast; bad rows keep ``bad_fields`` and the file they came from. Good
+    rows are cast to ``typed``. Spark refuses a query on raw XML whose only data column is the
+    corrupt one (e.g. counting bad rows): stage the parsed table first, as ``daily_run`` does.
+    """
+    has_corrupt = corrupt_col in df.columns
+    fields = bad_values(df, typed) if typed is not None else F.array().cast("array<string>")
+    marked = df.withColumn("bad_fields", fields)
+    bad = F.size("bad_fields") > 0
+    if has_corrupt:
+        bad = bad | F.col(corrupt_col).isNotNull()
+    good = marked.where(~bad).drop("bad_fields", *([corrupt_col] if has_corrupt else []))
+    if typed is not None:
+        names = set(typed.fieldNames())
+        good = good.select(*[F.col(c).try_cast(typed[c].dataType).alias(c) if c in names else F.col(c)
+                             for c in good.columns])
+    return good, marked.where(bad)

@@ -215,3 +215,17 @@ def test_daily_run_end_to_end(spark, tmp_path):
             cols = ["entity_id", *spec.group, *spec.fields] + (["is_main"] if spec.shape == "M" else [])
             assert digest(got.select(*cols).toPandas()) == digest(want.select(*cols).toPandas()), spec.name
             assert {str(r.load_date) for r in got.select("load_date").distinct().collect()} == {"2024-01-30"}
+
+
+def test_type_errors_split_after_read(spark, tmp_path):
+    rows = "".join(f"<Event><event_id>{i}</event_id><value>{'n/a' if i % 3 == 0 else i + 0.5}</value></Event>"
+                   for i in range(9))
+    (tmp_path / "e.XML").write_text(f"<Events>{rows}</Events>")
+    typed = T.StructType.fromDDL("event_id BIGINT, value DOUBLE")
+    df = xmlsource.read_xml(spark, str(tmp_path), xmlsource.string_schema(typed), row_tag="Event", corrupt=True)
+    staged = df.write.parquet(str(tmp_path / "staged")) or spark.read.parquet(str(tmp_path / "staged"))
+    good, bad = xmlsource.split_errors(staged, typed)
+    assert sorted(r.event_id for r in good.collect()) == [1, 2, 4, 5, 7, 8]
+    assert dict(good.dtypes)["value"] == "double"
+    b = bad.collect()
+    assert sorted(int(r.event_id) for r in b) == [0, 3, 6] and all(r.bad_fields == ["value"] for r in b)
