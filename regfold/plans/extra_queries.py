@@ -177,7 +177,7 @@ def q_archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = archive.archive_entries(spark, root)
     return entries.where(F.col("error").isNull()).select(
         F.regexp_extract("entry", r"^doc_(\d+)\.txt$", 1).cast("bigint").alias("doc_id"),
-        F.length("content").cast("bigint").alias("n_bytes"))
+        F.col("size").cast("bigint").alias("n_bytes"))
 
 
 _ARCHIVE_SQL = "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents"

@@ -80,7 +80,7 @@ def ship_package(spark: SparkSession) -> None:
     import io
     import zipfile
 
-    from pyarrow import fs
+    from regfold.sources.files import filesystem_for
 
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
@@ -91,7 +91,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     target = os.path.join(ensure_checkpoint_dir(spark), "regfold-pkg", f"{key}-{uuid.uuid4().hex[:8]}", "regfold.zip")
-    filesystem, p = fs.FileSystem.from_uri(target if "://" in target else "file://" + os.path.abspath(target))
+    filesystem, p = filesystem_for(target)
     filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with filesystem.open_output_stream(p) as out:
         out.write(buf.getvalue())

@@ -1,15 +1,17 @@
 """Expand zip archives on the executors; a bad archive is reported and skipped.
 
-Archives are read with the ``binaryFile`` source (one row per archive) and expanded by
-``mapInPandas``: each task opens the archives of its partition with ``zipfile`` and emits one row
-per entry. No archive passes through the driver. ``extract_archives`` also writes the entries as
-files into a landing folder for the XML reader; file systems are reached through ``pyarrow.fs``,
-so the folder may be local, HDFS or an object store.
+The archive list comes from the ``binaryFile`` source without its ``content`` column (only
+names, sizes, paths are read). Each task opens its archives through ``pyarrow.fs`` (a seekable
+file on local disk, HDFS or an object store) and streams every entry in chunks: to a landing
+folder for the XML reader (``extract_archives``) or through a byte count and CRC check
+(``archive_entries``). No archive or entry is ever held whole in memory or passes through the
+driver; a bad archive or entry yields one row with its error and the others go on.
 """
 
 from __future__ import annotations
 
 import io
+import shutil
 import zipfile
 from collections.abc import Iterator
 
@@ -17,85 +19,125 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENTRY_SCHEMA = "archive STRING, entry STRING, content BINARY, error STRING"
+from regfold.sources.files import filesystem_for as _fs
+
+ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, error STRING"
 EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
+CHUNK = 4 * 1024 * 1024
 
 
-def read_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+    """(archive, path, size) of every landed archive; file contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archive_dir)
-            .select(F.col("_metadata.file_name").alias("archive"), "content"))
+            .select(F.col("_metadata.file_name").alias("archive"), F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_size").alias("size")))
 
 
-def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]:
+    """Open each archive of the batch and hand every entry stream to ``sink(entry, stream)``."""
     for pdf in batches:
         rows = []
-        for name, blob in zip(pdf["archive"], pdf["content"]):
+        for name, path in zip(pdf["archive"], pdf["path"]):
             try:
-                with zipfile.ZipFile(io.BytesIO(blob)) as z:
+                filesystem, p = _fs(path)
+                with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
                     for info in z.infolist():
-                        if not info.is_dir():
-                            rows.append((name, info.filename, z.read(info), None))
-            except Exception as e:  # a bad archive: one row with the error, the others go on
-                rows.append((name, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["archive", "entry", "content", "error"])
+                        if info.is_dir():
+                            continue
+                        try:
+                            with z.open(info) as stream:
+                                rows.append((name, info.filename, *sink(info.filename, stream), None))
+                        except Exception as e:  # a damaged entry: report it, keep the others
+                            rows.append((name, info.filename, *sink.empty, f"{type(e).__name__}: {e}"))
+            except Exception as e:  # not an archive at all
+                rows.append((name, None, *sink.empty, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=sink.columns)
 
 
-def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
-    """(archive, entry, content, error): one row per entry, or one error row per bad archive."""
-    return read_archives(spark, archive_dir, glob).mapInPandas(_entries, ENTRY_SCHEMA)
+class _Count:
+    """Read an entry to its end (the zip module checks its CRC there) and count the bytes."""
 
+    columns = ["archive", "entry", "size", "error"]
+    empty = (None,)
 
-def _open_output(path: str):
-    from pyarrow import fs
+    def __call__(self, entry, stream):
+        n = 0
+        while chunk := stream.read(CHUNK):
+            n += len(chunk)
+        return (n,)
 
-    filesystem, p = fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
-    return filesystem, p
 
+class _Write:
+    """Stream an entry into ``<root>/<base name>``; a retried task rewrites the same file."""
 
-def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip") -> DataFrame:
-    """Write every entry under ``out_dir`` (flat, like the source's extract); return a report.
+    columns = ["archive", "entry", "path", "size", "error"]
+    empty = (None, None)
 
-    Entry names are kept, so a retried task rewrites the same files.
-    """
+    def __init__(self, out_dir: str):
+        self.out_dir = out_dir
+        self.filesystem = None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, root = _open_output(out_dir)
-        filesystem.create_dir(root, recursive=True)
-        for pdf in _entries(batches):
-            out = []
-            for a, e, c, err in pdf.itertuples(index=False):
-                if err is not None:
-                    out.append((a, None, None, None, err))
-                    continue
-                target = f"{root}/{e.rsplit('/', 1)[-1]}"
-                with filesystem.open_output_stream(target) as f:
-                    f.write(c)
-                out.append((a, e, target, len(c), None))
-            yield pd.DataFrame(out, columns=["archive", "entry", "path", "size", "error"])
+    def __call__(self, entry, stream):
+        if self.filesystem is None:
+            self.filesystem, self.root = _fs(self.out_dir)
+            self.filesystem.create_dir(self.root, recursive=True)
+        target = f"{self.root}/{entry.rsplit('/', 1)[-1]}"
+        with self.filesystem.open_output_stream(target) as out:
+            shutil.copyfileobj(stream, out, CHUNK)
+        return target, self.filesystem.get_file_info(target).size
+
+
+def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+    """(archive, entry, size, error): every entry read through and counted, bad ones reported."""
+    return list_archives(spark, archive_dir, glob).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
 
-    return read_archives(spark, archive_dir, glob).mapInPandas(run, EXTRACT_SCHEMA)
+
+def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip") -> DataFrame:
+    """Write every entry under ``out_dir`` (flat, like the source's extract); return a report."""
+    return list_archives(spark, archive_dir, glob).mapInPandas(
+        lambda it: _each_entry(it, _Write(out_dir)), EXTRACT_SCHEMA)
 
 
 def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop") -> DataFrame:
     """Pack each partition's rows into one zip ``<prefix>_<partition>.zip`` (entries named by
-    ``name_col``); returns (archive, n_entries). Deterministic names: a retry overwrites."""
+    ``name_col``), streamed straight to the output; returns (archive, n_entries).
+    Deterministic names: a retried task overwrites its own archive."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        filesystem, root = _open_output(out_dir)
+        filesystem, root = _fs(out_dir)
         filesystem.create_dir(root, recursive=True)
         name = f"{prefix}_{TaskContext.get().partitionId():05d}.zip"
-        buf = io.BytesIO()
         n = 0
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
+        with filesystem.open_output_stream(f"{root}/{name}") as out, \
+                zipfile.ZipFile(_Unseekable(out), "w", compression=zipfile.ZIP_DEFLATED) as z:
             for pdf in batches:
                 for entry, content in zip(pdf[name_col], pdf[content_col]):
                     z.writestr(entry, content if isinstance(content, (bytes, bytearray)) else str(content))
                     n += 1
-        if n:
-            with filesystem.open_output_stream(f"{root}/{name}") as f:
-                f.write(buf.getvalue())
-        yield pd.DataFrame({"archive": [name if n else None], "n_entries": [n]})
+        yield pd.DataFrame({"archive": [name], "n_entries": [n]})
 
     return df.select(name_col, content_col).mapInPandas(run, "archive STRING, n_entries BIGINT")
+
+
+class _Unseekable(io.RawIOBase):
+    """A write-only stream without seek, so ``zipfile`` writes data descriptors as it goes."""
+
+    def __init__(self, out):
+        self.out = out
+        self.pos = 0
+
+    def writable(self):
+        return True
+
+    def write(self, b):
+        self.out.write(b)
+        self.pos += len(b)
+        return len(b)
+
+    def tell(self):
+        return self.pos
+
+    def flush(self):
+        pass
