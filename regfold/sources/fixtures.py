@@ -142,9 +142,12 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
         F.min(_when(ln == 1, F.col("l_shipdate"))).alias("ulpfreg_first"),
         F.min(_when(ln == 2, F.col("l_shipdate"))).alias("ulfssreg_first"),
         F.max(_when(ln == 4, F.col("l_quantity"))).alias("ulustcapdol_max"),
-        F.max(_when(ln == 5, F.struct("l_extendedprice", "l_orderkey", "l_partkey", "l_quantity", "_row_id"))
-              ).alias("ulokved_main"),
     )
+    # The main activity code is a max over a struct, which only a sort-based aggregate can
+    # compute; it runs over the line-5 rows alone, so the all-rows aggregate above stays hashed.
+    okv = li.where(ln == 5).groupBy("l_suppkey").agg(
+        F.max(F.struct("l_extendedprice", "l_orderkey", "l_partkey", "l_quantity", "_row_id")).alias("ulokved_main"))
+    lstats = lstats.join(okv, "l_suppkey", "left")
 
     geo = _geo(spark, sf_dir)
     h = (sup.join(geo, sup.s_nationkey == geo.n_nationkey, "left")
