@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Notice codes of the source: 01 source access, 02 no new data, 03 transfer (fixed values).
+# Notice codes of the source: 01 source access, 02 no new data, 03 transfer (fixed values);
+# 04 is ours: the source never parsed XML itself, so it had no code for a damaged record.
 NOTICE_CODES = (
     ("01", "source access check failed"),
     ("02", "new files or data not found"),
     ("03", "file transfer failed"),
+    ("04", "record could not be parsed"),
 )
 SUBJECT_PREFIX = "REGLOAD_FILECOPY_"
 

@@ -5,7 +5,7 @@ Mirrors the data path of the source's daily job without its scheduler and networ
   1. S7   expand every landed archive on the executors; bad archives become audit rows
   2. S8   one XML read per register over all parts and schema versions (U2), explicit schema,
           provenance from file names (registry, schema_version, load_date, is_full, part, src_file)
-  3. N3   corrupt records split off into the audit
+  3. N3   corrupt records split off into the audit (code 04), bad archives too (code 03)
   4. S13  the main table is staged once as Parquet in a folder owned by the run
   5. P0   every detail table is a projection of the staged main table, published by date slice
   6. N2   a report row per (registry, table): rows published, or ``empty`` (D7)
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from regfold.functions.dates import is_new_year
 from regfold.functions.names import date_key, file_stem
 from regfold.operators.audit import failure_notices
-from regfold.plans.fanout import fan_out, stage
+from regfold.plans.fanout import fan_out_all, stage
 from regfold.plans.publish import read_published
 from regfold.plans.specs import REGISTRIES, specs_for, schema_of
 from regfold.session import staging_dir
@@ -80,31 +80,31 @@ class DailyResult:
 
 
 def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_root: str,
-              run_date: str, parallel: int = 4) -> DailyResult:
+              run_date: str, parallel: int = 8) -> DailyResult:
     """``archive_dirs``: {registry: {schema_version: folder of landed zips}}."""
     run = staging_dir(spark, f"daily-{run_date}")
     audits = []
     staged = {}
-    reports = []
+    mains = {}
     for registry in REGISTRIES:
-        versions = archive_dirs.get(registry, {})
         xml_dirs = {}
-        for version, zdir in versions.items():
+        for version, zdir in archive_dirs.get(registry, {}).items():
             xdir = os.path.join(run, "xml", registry, version)
-            rep = archive.extract_archives(spark, zdir, xdir)
-            rep = stage(rep, os.path.join(run, "extract", registry, version))  # runs the expansion once
+            rep = stage(archive.extract_archives(spark, zdir, xdir),  # runs the expansion once
+                        os.path.join(run, "extract", registry, version))
             audits.append(failure_notices(rep.where(F.col("error").isNotNull()), F.lit("03"),
                                           file=F.col("archive"), directory=F.lit(zdir), run_date=F.lit(run_date)))
             if rep.where(F.col("error").isNull()).limit(1).count():
-                xml_dirs[version] = xdir
+                xml_dirs[version] = xdir + "/*"  # one folder per archive
         if xml_dirs:
-            raw = read_drop(spark, xml_dirs, registry)
-            main = stage(raw, os.path.join(run, "main", registry))
-            good, bad = xmlsource.split_errors(main)
-            audits.append(failure_notices(bad, F.lit("02"), file=F.col("src_file"), run_date=F.lit(run_date)))
             staged[registry] = os.path.join(run, "main", registry)
-            fan_out(spark, good.drop("_corrupt_record"), registry, out_root, parallel=parallel)
-        reports.append(run_report(spark, out_root, registry))
+            main = stage(read_drop(spark, xml_dirs, registry), staged[registry])
+            good, bad = xmlsource.split_errors(main)
+            audits.append(failure_notices(bad, F.lit("04"), file=F.col("src_file"), run_date=F.lit(run_date)))
+            mains[registry] = good
+    if mains:
+        fan_out_all(spark, mains, out_root, parallel=parallel)
+    reports = [run_report(spark, out_root, r) for r in REGISTRIES]
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)

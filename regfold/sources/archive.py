@@ -34,7 +34,7 @@ def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") ->
 
 
 def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]:
-    """Open each archive of the batch and hand every entry stream to ``sink(entry, stream)``."""
+    """Open each archive of the batch and hand every entry stream to ``sink(archive, entry, stream)``."""
     for pdf in batches:
         rows = []
         for name, path in zip(pdf["archive"], pdf["path"]):
@@ -46,7 +46,7 @@ def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]
                             continue
                         try:
                             with z.open(info) as stream:
-                                rows.append((name, info.filename, *sink(info.filename, stream), None))
+                                rows.append((name, info.filename, *sink(name, info.filename, stream), None))
                         except Exception as e:  # a damaged entry: report it, keep the others
                             rows.append((name, info.filename, *sink.empty, f"{type(e).__name__}: {e}"))
             except Exception as e:  # not an archive at all
@@ -60,7 +60,7 @@ class _Count:
     columns = ["archive", "entry", "size", "error"]
     empty = (None,)
 
-    def __call__(self, entry, stream):
+    def __call__(self, archive, entry, stream):
         n = 0
         while chunk := stream.read(CHUNK):
             n += len(chunk)
@@ -68,7 +68,11 @@ class _Count:
 
 
 class _Write:
-    """Stream an entry into ``<root>/<base name>``; a retried task rewrites the same file."""
+    """Stream an entry into ``<root>/<archive stem>/<base name>``.
+
+    A folder per archive keeps entries of the same name in two archives apart (a flat extract
+    would let one overwrite the other); a retried task rewrites the same file.
+    """
 
     columns = ["archive", "entry", "path", "size", "error"]
     empty = (None, None)
@@ -77,11 +81,12 @@ class _Write:
         self.out_dir = out_dir
         self.filesystem = None
 
-    def __call__(self, entry, stream):
+    def __call__(self, archive, entry, stream):
         if self.filesystem is None:
             self.filesystem, self.root = _fs(self.out_dir)
-            self.filesystem.create_dir(self.root, recursive=True)
-        target = f"{self.root}/{entry.rsplit('/', 1)[-1]}"
+        folder = f"{self.root}/{archive.rsplit('.', 1)[0]}"
+        self.filesystem.create_dir(folder, recursive=True)
+        target = f"{folder}/{entry.rsplit('/', 1)[-1]}"
         with self.filesystem.open_output_stream(target) as out:
             shutil.copyfileobj(stream, out, CHUNK)
         return target, self.filesystem.get_file_info(target).size
@@ -93,7 +98,8 @@ def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip")
 
 
 def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip") -> DataFrame:
-    """Write every entry under ``out_dir`` (flat, like the source's extract); return a report."""
+    """Write every entry under ``out_dir/<archive stem>/``; return a report (read the drop with
+    the path ``out_dir/*``)."""
     return list_archives(spark, archive_dir, glob).mapInPandas(
         lambda it: _each_entry(it, _Write(out_dir)), EXTRACT_SCHEMA)
 

@@ -47,7 +47,7 @@ def test_archives_good_and_bad(spark, tmp_path):
 
     out = tmp_path / "xml"
     rep = archive.extract_archives(spark, str(zdir), str(out)).collect()
-    assert sorted(os.listdir(out)) == good
+    assert sorted(os.listdir(out / "good")) == good
     assert sum(r.error is not None for r in rep) == 1
 
 
@@ -229,3 +229,14 @@ def test_type_errors_split_after_read(spark, tmp_path):
     assert dict(good.dtypes)["value"] == "double"
     b = bad.collect()
     assert sorted(int(r.event_id) for r in b) == [0, 3, 6] and all(r.bad_fields == ["value"] for r in b)
+
+
+def test_same_entry_name_in_two_archives_kept_apart(spark, tmp_path):
+    zdir = tmp_path / "zips"
+    zdir.mkdir()
+    _zip(zdir / "a.zip", {"X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=1, b=2)})
+    _zip(zdir / "b.zip", {"X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=3, b=4)})
+    out = tmp_path / "xml"
+    archive.extract_archives(spark, str(zdir), str(out)).collect()
+    df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+    assert sorted(int(r.entity_id) for r in df.collect()) == [1, 2, 3, 4]
