@@ -39,10 +39,11 @@ def sorted_list(item: Column) -> Column:
 def nest_groups(df: DataFrame, keys: list[str], group: list[Column], row: Column, name: str) -> DataFrame:
     """NN: rows grouped per (keys, group) into ``rows``, then the groups into one array per keys.
 
-    Both aggregations group by a superset of ``keys``, so data partitioned by ``keys`` (e.g. by
-    ``with_pages``'s join) is not shuffled again.
+    One shuffle by ``keys`` serves both levels: each groups by a superset of ``keys``, so the
+    second aggregation finds its input already clustered. (Map-side combining would gain nothing:
+    collected lists do not shrink.)
     """
-    grouped = df.groupBy(*keys, *group).agg(sorted_list(row).alias("rows"))
+    grouped = df.repartition(*keys).groupBy(*keys, *group).agg(sorted_list(row).alias("rows"))
     group_names = [c for c in grouped.columns if c not in keys and c != "rows"]
     return grouped.groupBy(*keys).agg(
         sorted_list(F.struct(*[F.col(c) for c in group_names], F.col("rows"))).alias(name))
