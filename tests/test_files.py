@@ -240,3 +240,17 @@ def test_same_entry_name_in_two_archives_kept_apart(spark, tmp_path):
     archive.extract_archives(spark, str(zdir), str(out)).collect()
     df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
     assert sorted(int(r.entity_id) for r in df.collect()) == [1, 2, 3, 4]
+
+
+def test_stream_takes_xml_drops_once(spark, tmp_path):
+    land = tmp_path / "xml"
+    land.mkdir()
+    (land / "X_EGRUL_2022-01-01_1.XML").write_text(ORG_XML.format(a=1, b=2))
+    schema = T.StructType.fromDDL("entity_id STRING, page STRING, s_name STRING, s_acctbal STRING")
+    args = dict(src_dir=str(land), schema=schema, sink_dir=str(tmp_path / "sink"),
+                checkpoint_dir=str(tmp_path / "ckpt"), fmt="xml", options={"rowTag": "Entity"})
+    assert consume_once(spark, **args)["rows"] == 2
+    (land / "X_EGRUL_2022-01-02_1.XML").write_text(ORG_XML.format(a=3, b=4))
+    assert consume_once(spark, **args)["rows"] == 2
+    assert consume_once(spark, **args)["rows"] == 0
+    assert sorted(int(r.entity_id) for r in read_sink(spark, args["sink_dir"]).collect()) == [1, 2, 3, 4]
