@@ -25,10 +25,16 @@ def page_of(row_id: Column, n: Column, page_size: int = PAGE_SIZE) -> Column:
 
 def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "_row_id",
                n: str = "_n", page_size: int = PAGE_SIZE) -> DataFrame:
-    """Join each child to its entity's count and give it a page; drops the count."""
+    """Join each child to its entity's count, give it a page, and distribute by (key, page).
+
+    The distribution is what spreads a hot key over tasks: a join partitioned by the key alone
+    would hand all its pages to one task. Every later aggregation groups by (key, page, ...) and
+    so runs without another shuffle.
+    """
     return (children.join(counts, key)
             .withColumn("page", page_of(F.col(row_id), F.col(n), page_size))
-            .drop(n))
+            .drop(n)
+            .repartition(key, "page"))
 
 
 def sorted_list(item: Column) -> Column:
@@ -40,8 +46,9 @@ def nest_groups(df: DataFrame, keys: list[str], group: list[Column], row: Column
     """NN: rows grouped per (keys, group) into ``rows``, then the groups into one array per keys.
 
     One shuffle by ``keys`` serves both levels: each groups by a superset of ``keys``, so the
-    second aggregation finds its input already clustered. (Map-side combining would gain nothing:
-    collected lists do not shrink.)
+    second aggregation finds its input already clustered (after ``with_pages`` that shuffle is
+    already done, and Catalyst merges the two). Map-side combining would gain nothing: collected
+    lists do not shrink.
     """
     grouped = df.repartition(*keys).groupBy(*keys, *group).agg(sorted_list(row).alias("rows"))
     group_names = [c for c in grouped.columns if c not in keys and c != "rows"]
