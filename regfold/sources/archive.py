@@ -1,17 +1,25 @@
 """Expand zip archives on the executors; a bad archive is reported and skipped.
 
-The archive list comes from the ``binaryFile`` source without its ``content`` column (only
-names, sizes, paths are read). Each task opens its archives through ``pyarrow.fs`` (a seekable
-file on local disk, HDFS or an object store) and streams every entry in chunks: to a landing
-folder for the XML reader (``extract_archives``) or through a byte count and CRC check
-(``archive_entries``). No archive or entry is ever held whole in memory or passes through the
-driver; a bad archive or entry yields one row with its error and the others go on.
+Two steps, both Spark jobs. First every archive's central directory is read (names and sizes
+only; the archive list comes from ``binaryFile`` without its ``content`` column), giving one
+row per entry, or one error row per archive that is not a zip. Then the entry list is
+range-partitioned, so the entries of a big archive spread over many tasks. Each task opens an
+archive once through ``pyarrow.fs`` (a seekable file on local disk, HDFS or an object store)
+for its run of entries and streams each entry in chunks: to a landing folder for the XML
+reader (``extract_archives``) or through a byte count and CRC check (``archive_entries``). No
+archive or entry is ever held whole in memory or passes through the driver.
+
+The XML source parses one file per task, so an entry larger than ``split_bytes`` is cut, while
+it streams, right after a closing row tag into files of about that size. Each piece is wrapped
+in the file's own prologue and root tag and named ``<entry>.<nnnnn>.XML``, so the text before
+the first ``.XML`` (register, date, part) is unchanged. The cut works on bytes, which is exact for
+ASCII-compatible encodings (UTF-8, windows-1251).
 """
 
 from __future__ import annotations
 
 import io
-import shutil
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -21,9 +29,14 @@ from pyspark.sql import functions as F
 
 from regfold.sources.files import filesystem_for as _fs
 
+LIST_SCHEMA = "archive STRING, path STRING, entry STRING, size BIGINT, error STRING"
 ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, error STRING"
 EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
 CHUNK = 4 * 1024 * 1024
+SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse task each
+ROW_TAG = "Entity"
+MAX_TASKS = 100_000
+TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction task
 
 
 def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
@@ -33,27 +46,69 @@ def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") ->
                     F.col("_metadata.file_size").alias("size")))
 
 
-def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]:
-    """Open each archive of the batch and hand every entry stream to ``sink(archive, entry, stream)``."""
+def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for name, path in zip(pdf["archive"], pdf["path"]):
             try:
                 filesystem, p = _fs(path)
                 with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        try:
-                            with z.open(info) as stream:
-                                rows.append((name, info.filename, *sink(name, info.filename, stream), None))
-                        except Exception as e:  # a damaged entry: report it, keep the others
-                            rows.append((name, info.filename, *sink.empty, f"{type(e).__name__}: {e}"))
-            except Exception as e:  # not an archive at all
-                rows.append((name, None, *sink.empty, f"{type(e).__name__}: {e}"))
+                    rows += [(name, path, i.filename, i.file_size, None) for i in z.infolist() if not i.is_dir()]
+            except Exception as e:  # not an archive at all: one error row, the others go on
+                rows.append((name, path, None, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["archive", "path", "entry", "size", "error"])
+
+
+def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+    """One row per archive entry (from the central directories), or per unreadable archive."""
+    return list_archives(spark, archive_dir, glob).mapInPandas(_directory, LIST_SCHEMA)
+
+
+def _spread(entries: DataFrame) -> DataFrame:
+    """Good entries range-partitioned by (archive, entry) into about one task per
+    ``TASK_BYTES`` of uncompressed data (at most one per entry); each task sees a contiguous run
+    of one archive's entries, so it opens that archive once."""
+    good = entries.where(F.col("error").isNull())
+    # one small aggregate over the entry list (a row per file in the drop)
+    n, total = good.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(1, min(n, MAX_TASKS, -(-int(total) // TASK_BYTES)))
+    return good.repartitionByRange(tasks, "archive", "entry")
+
+
+def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]:
+    """Hand every assigned entry stream to ``sink(archive, entry, stream)``; archives are opened
+    once per run of their entries."""
+    for pdf in batches:
+        rows = []
+        opened = (None, None, None)
+        try:
+            for name, path, entry in zip(pdf["archive"], pdf["path"], pdf["entry"]):
+                try:
+                    if opened[0] != path:
+                        if opened[1] is not None:
+                            opened[2].close()
+                            opened[1].close()
+                        filesystem, p = _fs(path)
+                        raw = filesystem.open_input_file(p)
+                        opened = (path, raw, zipfile.ZipFile(raw))
+                    with opened[2].open(entry) as stream:
+                        rows.append((name, entry, *sink(name, entry, stream), None))
+                except Exception as e:  # a damaged entry: report it, keep the others
+                    rows.append((name, entry, *sink.empty, f"{type(e).__name__}: {e}"))
+        finally:
+            if opened[1] is not None:
+                opened[2].close()
+                opened[1].close()
         yield pd.DataFrame(rows, columns=sink.columns)
 
 
+def _with_errors(spark: SparkSession, entries: DataFrame, done: DataFrame, schema: str) -> DataFrame:
+    cols = [c.split()[0] for c in schema.split(", ")]
+    bad = entries.where(F.col("error").isNotNull()).select(
+        *[F.col(c) if c in ("archive", "error") else F.lit(None).alias(c) for c in cols])
+    return done.unionByName(bad.select(*[F.col(c).cast(t) for c, t in (x.split() for x in schema.split(", "))]))
+
+
 class _Count:
     """Read an entry to its end (the zip module checks its CRC there) and count the bytes."""
 
@@ -67,18 +122,24 @@ class _Count:
         return (n,)
 
 
+_LAST_START_TAG = re.compile(rb"<([A-Za-z_][\w.:-]*)[^>]*>\s*$")
+
+
 class _Write:
-    """Stream an entry into ``<root>/<archive stem>/<base name>``.
+    """Stream an entry into ``<root>/<archive stem>/``, cut into pieces above ``split_bytes``.
 
     A folder per archive keeps entries of the same name in two archives apart (a flat extract
-    would let one overwrite the other); a retried task rewrites the same file.
+    would let one overwrite the other); a retried task rewrites the same files.
     """
 
     columns = ["archive", "entry", "path", "size", "error"]
     empty = (None, None)
 
-    def __init__(self, out_dir: str):
+    def __init__(self, out_dir: str, split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG):
         self.out_dir = out_dir
+        self.split_bytes = split_bytes
+        self.close_tag = f"</{row_tag}>".encode()
+        self.open_tag = re.compile(rb"<" + re.escape(row_tag.encode()) + rb"[\s>/]")
         self.filesystem = None
 
     def __call__(self, archive, entry, stream):
@@ -86,22 +147,69 @@ class _Write:
             self.filesystem, self.root = _fs(self.out_dir)
         folder = f"{self.root}/{archive.rsplit('.', 1)[0]}"
         self.filesystem.create_dir(folder, recursive=True)
-        target = f"{folder}/{entry.rsplit('/', 1)[-1]}"
-        with self.filesystem.open_output_stream(target) as out:
-            shutil.copyfileobj(stream, out, CHUNK)
-        return target, self.filesystem.get_file_info(target).size
+        base = entry.rsplit("/", 1)[-1]
+        first = stream.read(CHUNK)
+        m = self.open_tag.search(first)
+        whole = len(first) < CHUNK  # the first read already holds the whole entry
+        if m is None or (whole and len(first) <= self.split_bytes):  # small entry: copy as it is
+            target = f"{folder}/{base}"
+            with self.filesystem.open_output_stream(target) as out:
+                out.write(first)
+                while chunk := stream.read(CHUNK):
+                    out.write(chunk)
+            return target, self.filesystem.get_file_info(target).size
+        return self._split(folder, base, first, m.start(), stream)
+
+    def _split(self, folder, base, first, body_start, stream):
+        """Write pieces: each is cut after the first closing row tag that ends at or beyond
+        ``split_bytes``. Memory stays at one read plus a tag's length."""
+        header = first[:body_start]
+        root = _LAST_START_TAG.search(header)
+        trailer = b"</" + root.group(1) + b">\n" if root else b""
+        tag, keep = self.close_tag, len(self.close_tag) - 1
+        piece, written, total, out = 0, 0, 0, None
+        buf = first[body_start:]
+        while True:
+            if out is None:
+                piece += 1
+                out = self.filesystem.open_output_stream(f"{folder}/{base}.{piece:05d}.XML")
+                out.write(header)
+                written = len(header)
+            k = buf.find(tag, max(0, self.split_bytes - len(tag) - written))
+            if k >= 0:  # this record ends at or beyond the target size: close the piece here
+                cut = k + len(tag)
+                out.write(buf[:cut])
+                out.write(trailer)
+                out.close()
+                total, out, buf = total + written + cut, None, buf[cut:]
+                continue
+            if len(buf) > keep:  # nothing to cut yet: write all but a possible partial tag
+                out.write(buf[:-keep])
+                written += len(buf) - keep
+                buf = buf[-keep:]
+            more = stream.read(CHUNK)
+            if not more:
+                out.write(buf)  # the tail holds the root's own closing tag
+                out.close()
+                return f"{folder}/{base}.00001.XML", total + written + len(buf)
+            buf += more
 
 
 def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
     """(archive, entry, size, error): every entry read through and counted, bad ones reported."""
-    return list_archives(spark, archive_dir, glob).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
-
-
-def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip") -> DataFrame:
-    """Write every entry under ``out_dir/<archive stem>/``; return a report (read the drop with
-    the path ``out_dir/*``)."""
-    return list_archives(spark, archive_dir, glob).mapInPandas(
-        lambda it: _each_entry(it, _Write(out_dir)), EXTRACT_SCHEMA)
+    entries = list_entries(spark, archive_dir, glob).cache()
+    done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
+    return _with_errors(spark, entries, done, ENTRY_SCHEMA)
+
+
+def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip",
+                     split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG) -> DataFrame:
+    """Write every entry under ``out_dir/<archive stem>/`` (big ones in pieces); return a report.
+    Read the drop with the path ``out_dir/*``."""
+    entries = list_entries(spark, archive_dir, glob).cache()
+    done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Write(out_dir, split_bytes, row_tag)),
+                                        EXTRACT_SCHEMA)
+    return _with_errors(spark, entries, done, EXTRACT_SCHEMA)
 
 
 def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop") -> DataFrame:

@@ -254,3 +254,25 @@ def test_stream_takes_xml_drops_once(spark, tmp_path):
     assert consume_once(spark, **args)["rows"] == 2
     assert consume_once(spark, **args)["rows"] == 0
     assert sorted(int(r.entity_id) for r in read_sink(spark, args["sink_dir"]).collect()) == [1, 2, 3, 4]
+
+
+def test_big_xml_entries_are_cut_at_record_ends(spark, tmp_path):
+    """An entry above split_bytes lands as several well-formed pieces with the same rows."""
+    recs = "".join(f"<Entity><entity_id>{i}</entity_id><page>0</page><s_name>Орг {i}</s_name></Entity>\n"
+                   for i in range(300))
+    for enc in ("utf-8", "windows-1251"):
+        text = f'<?xml version="1.0" encoding="{enc}"?>\n<Entities>\n{recs}</Entities>\n'
+        zdir = tmp_path / enc / "zips"
+        zdir.mkdir(parents=True)
+        with zipfile.ZipFile(zdir / "d.zip", "w") as z:
+            z.writestr("X_EGRUL_2022-01-03_7.XML", text.encode(enc))
+        out = tmp_path / enc / "xml"
+        archive.extract_archives(spark, str(zdir), str(out), split_bytes=2000).collect()
+        pieces = sorted(os.listdir(out / "d"))
+        assert len(pieces) > 5 and pieces[0] == "X_EGRUL_2022-01-03_7.XML.00001.XML"
+        df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+        rows = df.collect()
+        assert sorted(int(r.entity_id) for r in rows) == list(range(300))
+        assert {r.s_name for r in rows if r.entity_id == "5"} == {"Орг 5"}
+        assert {(str(r.load_date), r.part) for r in rows} == {("2022-01-03", "7")}
+        assert all(r._corrupt_record is None for r in rows)
