@@ -276,3 +276,14 @@ def test_big_xml_entries_are_cut_at_record_ends(spark, tmp_path):
         assert {r.s_name for r in rows if r.entity_id == "5"} == {"Орг 5"}
         assert {(str(r.load_date), r.part) for r in rows} == {("2022-01-03", "7")}
         assert all(r._corrupt_record is None for r in rows)
+
+
+def test_cli_retention(spark, tmp_path, capsys):
+    from regfold.__main__ import main
+
+    for name in ("2024-01-09_12-00-00.parquet", "2024-01-20_00-00-00.parquet", "junk.parquet"):
+        (tmp_path / name).write_bytes(b"x")
+    assert main(["retention", "--names", str(tmp_path), "--now", "2024-01-30 12:00:00"]) == 0
+    out = capsys.readouterr().out
+    assert "2024-01-09_12-00-00.parquet" in out and "junk.parquet" in out
+    assert "2024-01-20_00-00-00.parquet" not in out
