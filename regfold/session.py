@@ -34,6 +34,16 @@ BASE_CONF = {
 }
 
 
+# On a cluster: start every shuffle wide and let AQE merge it to ~256 MB partitions. 20,000 x
+# 256 MB covers a 5 TB shuffle without spilling giant partitions; small shuffles collapse to a
+# few tasks. (AQE merges partitions, it never splits them, so the start must be wide.)
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "regfold",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Get or create the session. ``master`` and ``shuffle_partitions`` are for local runs only."""
@@ -49,6 +59,9 @@ def get_session(master: str | None = None, app_name: str = "regfold",
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     apply_runtime_conf(spark, conf)
+    if not shuffle_partitions and not spark.sparkContext.master.startswith("local"):
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)
     return spark
 
 
