@@ -48,3 +48,8 @@ def failure_notices(failures: DataFrame, code, file=None, directory=None, run_da
         (_c(directory) if directory is not None else F.lit(None).cast("string")).alias("dir"),
         (_c(run_date) if run_date is not None else F.current_date()).alias("run_date"),
     )
+
+
+def append_audit(notices: DataFrame, audit_dir: str) -> None:
+    """Append notices to the audit table (Parquet, partitioned by ``run_date``); never rewritten."""
+    notices.write.mode("append").partitionBy("run_date").parquet(audit_dir)

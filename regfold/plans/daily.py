@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from regfold.functions.dates import is_new_year
 from regfold.functions.names import date_key, file_stem
-from regfold.operators.audit import failure_notices
+from regfold.operators.audit import append_audit, failure_notices
 from regfold.plans.fanout import fan_out_all, stage
 from regfold.plans.publish import read_published
 from regfold.plans.specs import REGISTRIES, specs_for, schema_of
@@ -87,9 +87,17 @@ class DailyResult:
     staged: dict
 
 
+AUDIT_DIR = "_audit"     # under the output root: append-only failure notices (N1)
+RUNS_DIR = "_runs"       # under the output root: one report row per table and run (N2)
+
+
 def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_root: str,
-              run_date: str, parallel: int = 8) -> DailyResult:
-    """``archive_dirs``: {registry: {schema_version: folder of landed zips}}."""
+              run_date: str, parallel: int = 8, record: bool = True) -> DailyResult:
+    """``archive_dirs``: {registry: {schema_version: folder of landed zips}}.
+
+    With ``record`` the run's failure notices and report rows are appended to ``_audit`` and
+    ``_runs`` under ``out_root`` (partitioned by run date); nothing earlier is rewritten.
+    """
     run = staging_dir(spark, f"daily-{run_date}")
     audits = []
     staged = {}
@@ -123,4 +131,8 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
         [], "code STRING, subject STRING, message STRING, file STRING, dir STRING, run_date STRING")
     for a in audits[1:]:
         audit = audit.unionByName(a)
+    if record:
+        append_audit(audit, os.path.join(out_root, AUDIT_DIR))
+        (report.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date")
+         .parquet(os.path.join(out_root, RUNS_DIR)))
     return DailyResult(out_root, report, audit, staged)

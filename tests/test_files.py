@@ -206,6 +206,9 @@ def test_daily_run_end_to_end(spark, tmp_path):
     report = {r.table: r for r in res.report.collect()}
     assert len(report) == 50
     assert res.audit.where("code = '03'").count() == 2
+    audit = spark.read.parquet(os.path.join(out, "_audit"))
+    assert audit.where("code = '03'").count() == 2 and {str(r.run_date) for r in audit.collect()} == {"2024-01-30"}
+    assert spark.read.parquet(os.path.join(out, "_runs")).count() == 50
     for reg in ("egrip", "egrul"):
         main = build_main(spark, SF_SMALL, reg)
         for spec in specs_for(reg):
