@@ -121,7 +121,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store): "
+                           "staged tables must survive lost executors")
+    if not path:  # local runs and tests only
         path = tempfile.mkdtemp(prefix="regfold-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)
