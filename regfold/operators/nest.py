@@ -42,18 +42,37 @@ def sorted_list(item: Column) -> Column:
     return F.array_sort(F.collect_list(item))
 
 
-def nest_groups(df: DataFrame, keys: list[str], group: list[Column], row: Column, name: str) -> DataFrame:
-    """NN: rows grouped per (keys, group) into ``rows``, then the groups into one array per keys.
+class NestSpec:
+    """One NN element: rows where ``cond`` holds, grouped by ``group`` ((name, expression) pairs)
+    into outer elements, each holding its rows as ``rows``."""
 
-    One shuffle by ``keys`` serves both levels: each groups by a superset of ``keys``, so the
-    second aggregation finds its input already clustered (after ``with_pages`` that shuffle is
-    already done, and Catalyst merges the two). Map-side combining would gain nothing: collected
-    lists do not shrink.
+    def __init__(self, name: str, cond: Column, group: list[tuple[str, Column]], row: Column):
+        self.name, self.cond, self.group, self.row = name, cond, group, row
+
+
+def nest_many(df: DataFrame, keys: list[str], specs: list[NestSpec]) -> DataFrame:
+    """NN elements from one set of rows distributed by ``keys``: one row per ``keys`` with one
+    array column per spec.
+
+    A row that belongs to several elements is copied once per element (``explode`` of its tags),
+    so the rows are read and shuffled once for all elements. Both grouping levels group by a
+    superset of ``keys`` and run on the existing distribution (after ``with_pages`` Catalyst
+    merges the repartition below into that one): no further shuffle, and no map-side combine,
+    which would gain nothing since collected lists do not shrink.
     """
-    grouped = df.repartition(*keys).groupBy(*keys, *group).agg(sorted_list(row).alias("rows"))
-    group_names = [c for c in grouped.columns if c not in keys and c != "rows"]
-    return grouped.groupBy(*keys).agg(
-        sorted_list(F.struct(*[F.col(c) for c in group_names], F.col("rows"))).alias(name))
+    tag = F.explode(F.array_compact(F.array(*[F.when(sp.cond, F.lit(i)) for i, sp in enumerate(specs)])))
+    el = F.col("_el")
+    tagged = df.repartition(*keys).select("*", tag.alias("_el"))
+    gcols, rows = [], []
+    for i, sp in enumerate(specs):
+        gcols += [F.when(el == i, g).alias(f"_g{i}_{j}") for j, (_, g) in enumerate(sp.group)]
+        rows.append(sorted_list(F.when(el == i, sp.row)).alias(f"_r{i}"))
+    inner = tagged.groupBy(*keys, el, *gcols).agg(*rows)
+    outs = []
+    for i, sp in enumerate(specs):
+        fields = [F.col(f"_g{i}_{j}").alias(n) for j, (n, _) in enumerate(sp.group)]
+        outs.append(sorted_list(F.when(el == i, F.struct(*fields, F.col(f"_r{i}").alias("rows")))).alias(sp.name))
+    return inner.groupBy(*keys).agg(*outs)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

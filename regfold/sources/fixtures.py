@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfold.operators.nest import PAGE_SIZE, conform, nest_groups, sorted_list, union_all, with_pages
+from regfold.operators.nest import PAGE_SIZE, NestSpec, conform, nest_many, sorted_list, union_all, with_pages
 from regfold.plans.specs import FOUNDER_KINDS, SUBDIV_KINDS, schema_of
 from regfold.sources.tables import read_table, row_id
 
@@ -106,16 +106,15 @@ def person_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) ->
     lo = li.join(sel, li.l_orderkey == sel.o_orderkey)
     lcounts = lo.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_n"))
     lp = with_pages(lo, "o_custkey", lcounts, page_size=page_size)
-    keys = ["o_custkey", "page"]
-    lic = nest_groups(lp.where("_lic"), keys, [F.col("o_orderkey")],
-                      F.struct("l_linenumber", "l_partkey"), "lic")
-    note = nest_groups(lp.where("_note"), keys, [F.col("o_orderkey")],
-                       F.struct("l_linenumber", "l_returnflag", "l_shipdate"), "noteegrip")
+    nested = nest_many(lp, ["o_custkey", "page"], [
+        NestSpec("lic", F.col("_lic"), [("o_orderkey", F.col("o_orderkey"))],
+                 F.struct("l_linenumber", "l_partkey")),
+        NestSpec("noteegrip", F.col("_note"), [("o_orderkey", F.col("o_orderkey"))],
+                 F.struct("l_linenumber", "l_returnflag", "l_shipdate")),
+    ])
 
     schema = schema_of("egrip")
-    parts = [head, order_pages,
-             lic.withColumnRenamed("o_custkey", "entity_id"),
-             note.withColumnRenamed("o_custkey", "entity_id")]
+    parts = [head, order_pages, nested.withColumnRenamed("o_custkey", "entity_id")]
     return union_all([conform(p, schema) for p in parts])
 
 
@@ -204,16 +203,16 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
         sorted_list(_when((ln == 5) & (rf == "A"), li3)).alias("ulpreemnik"),
     ).withColumn("ulokved", _main_extra("egrul", "ulokved", extra=F.col("ulokved_extra")))
 
-    keys = ["l_suppkey", "page"]
-    lic = nest_groups(lp.where(ln == 6), keys, [F.col("l_orderkey")],
-                      F.struct("l_partkey", "l_quantity"), "ullicenses")
-    reorg = nest_groups(lp.where(ln == 7), keys, [F.col("l_returnflag")],
-                        F.struct("l_orderkey", "l_partkey"), "ulreorg")
-    egrul = nest_groups(lp.where(ln == 1), keys, [F.year("l_shipdate").cast("bigint").alias("ship_year")],
-                        F.struct("l_orderkey", "l_partkey"), "ulegrul")
+    # the same distributed page rows feed the flat arrays and the nested ones: one shuffle
+    nested = nest_many(lp, ["l_suppkey", "page"], [
+        NestSpec("ullicenses", ln == 6, [("l_orderkey", F.col("l_orderkey"))], F.struct("l_partkey", "l_quantity")),
+        NestSpec("ulreorg", ln == 7, [("l_returnflag", F.col("l_returnflag"))], F.struct("l_orderkey", "l_partkey")),
+        NestSpec("ulegrul", ln == 1, [("ship_year", F.year("l_shipdate").cast("bigint"))],
+                 F.struct("l_orderkey", "l_partkey")),
+    ])
 
     schema = schema_of("egrul")
-    parts = [head] + [p.withColumnRenamed("l_suppkey", "entity_id") for p in (flat, lic, reorg, egrul)]
+    parts = [head] + [p.withColumnRenamed("l_suppkey", "entity_id") for p in (flat, nested)]
     return union_all([conform(p, schema) for p in parts])
 
 
