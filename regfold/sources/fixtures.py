@@ -60,8 +60,11 @@ def person_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) ->
         F.max(_when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))).alias("stop_last"),
         F.min(_when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderdate"))).alias("regpf_first"),
         F.min(_when(F.col("o_orderpriority") == "2-HIGH", F.col("o_orderdate"))).alias("regfss_first"),
-        F.max(F.struct("o_totalprice", "o_orderkey", "_row_id")).alias("okved_main"),
     )
+    # the argmax over a struct needs a sort-based aggregate: kept apart and narrow, so the
+    # aggregate above stays hashed
+    okv = orders.groupBy("o_custkey").agg(F.max(F.struct("o_totalprice", "o_orderkey", "_row_id")).alias("okved_main"))
+    ostats = ostats.join(okv, "o_custkey", "left")
 
     geo = _geo(spark, sf_dir)
     h = (cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
