@@ -1,7 +1,6 @@
 """File fixtures (FIXTURES.md section 5): archives, XML, merge, publish, retention, streams, runs."""
 
 import glob
-import io
 import os
 import zipfile
 
