@@ -114,7 +114,25 @@ SHAPE_OPS = {
 
 def project(main: DataFrame, spec: TableSpec) -> DataFrame:
     """Build one detail table from a main table by its spec."""
-    return SHAPE_OPS[spec.shape](main, spec)
+    out = SHAPE_OPS[spec.shape](main, spec)
+    if spec.keep_missing and spec.shape != "S":
+        out = out.unionByName(_missing(main, spec, out))
+    return out
+
+
+def _missing(main: DataFrame, spec: TableSpec, found: DataFrame) -> DataFrame:
+    """One row of nulls per entity (head row) that yielded no row of ``spec``.
+
+    For a struct the head row says it; an array may sit on any page of the entity, so the heads
+    are anti-joined with the entities that produced rows (a partially aggregated distinct).
+    """
+    if spec.shape == "O":
+        heads = main.where(_head(main) & F.col(spec.element).isNull()).select(*_base(main))
+    else:
+        heads = (main.where(_head(main)).select(*_base(main))
+                 .join(found.select("entity_id").distinct(), "entity_id", "left_anti"))
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c not in heads.columns]
+    return heads.select("*", *nulls).select(*found.columns)
 
 
 def element_rows(main: DataFrame, spec: TableSpec) -> Column:

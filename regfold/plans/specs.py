@@ -109,6 +109,7 @@ class TableSpec:
     group    NN only: fields of the outer element, output before ``fields``
     kind     P only: value of the element's ``kind`` field
     rare     O*: the element is mostly absent (documentation only)
+    keep_missing  D2: an entity without the element still gives one row, its fields null
     """
 
     name: str
@@ -119,6 +120,7 @@ class TableSpec:
     group: tuple[str, ...] = field(default=())
     kind: str | None = None
     rare: bool = False
+    keep_missing: bool = False
 
     @property
     def key(self) -> str:

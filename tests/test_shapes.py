@@ -74,3 +74,20 @@ def test_projection_is_narrow(spark, tmp_path):
     for name in ("ulreorg_info", "ulokved_info", "uluch_in_info", "ul_info"):
         plan = project(main, SPEC_BY_NAME[name])._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["stop_info", "ulpolnom_info", "lic_info", "uluch_pif_info", "ulokved_info"])
+def test_keep_missing_gives_one_null_row(spark, name):
+    """With keep_missing every entity appears; those without the element once, with nulls."""
+    from dataclasses import replace
+
+    spec = SPEC_BY_NAME[name]
+    main = build_main(spark, SF_SMALL, spec.registry, page_size=3)
+    inner = project(main, spec)
+    outer = project(main, replace(spec, keep_missing=True))
+    n_entities = main.where("page = 0").count()
+    have = inner.select("entity_id").distinct().count()
+    assert outer.count() == inner.count() + (n_entities - have)
+    assert outer.select("entity_id").distinct().count() == n_entities
+    field = spec.fields[-1]
+    assert outer.where(F.col(field).isNull()).count() >= n_entities - have
