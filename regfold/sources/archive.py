@@ -147,7 +147,7 @@ class _Write:
             self.filesystem, self.root = _fs(self.out_dir)
         folder = f"{self.root}/{archive.rsplit('.', 1)[0]}"
         self.filesystem.create_dir(folder, recursive=True)
-        base = entry.rsplit("/", 1)[-1]
+        base = entry.strip("/").replace("/", "__")  # sub-folders of the archive flattened, kept apart
         first = stream.read(CHUNK)
         m = self.open_tag.search(first)
         whole = len(first) < CHUNK  # the first read already holds the whole entry

@@ -289,3 +289,16 @@ def test_cli_retention(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "2024-01-09_12-00-00.parquet" in out and "junk.parquet" in out
     assert "2024-01-20_00-00-00.parquet" not in out
+
+
+def test_entries_in_archive_subfolders_kept_apart(spark, tmp_path):
+    zdir = tmp_path / "zips"
+    zdir.mkdir()
+    _zip(zdir / "a.zip", {"one/X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=1, b=2),
+                          "two/X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=3, b=4)})
+    out = tmp_path / "xml"
+    archive.extract_archives(spark, str(zdir), str(out)).collect()
+    df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+    rows = df.collect()
+    assert sorted(int(r.entity_id) for r in rows) == [1, 2, 3, 4]
+    assert {(str(r.load_date), r.part) for r in rows} == {("2022-01-01", "1")}
