@@ -144,8 +144,9 @@ def element_rows(main: DataFrame, spec: TableSpec) -> Column:
         return F.when(el.isNotNull(), 1).otherwise(0)
     if spec.shape == "N":
         return F.coalesce(F.size(el), F.lit(0))
-    if spec.shape == "P":
-        return F.coalesce(F.size(F.filter(el, lambda e: e.getField("kind") == F.lit(spec.kind))), F.lit(0))
+    if spec.shape == "P":  # count matching kinds without building a filtered array
+        return F.coalesce(F.aggregate(el, F.lit(0), lambda acc, e: acc + F.when(
+            e.getField("kind") == F.lit(spec.kind), 1).otherwise(0)), F.lit(0))
     if spec.shape == "NN":
         return F.coalesce(
             F.aggregate(el, F.lit(0), lambda acc, g: acc + F.coalesce(F.size(g.getField("rows")), F.lit(0))),
