@@ -14,6 +14,7 @@ Mirrors the data path of the source's daily job without its scheduler and networ
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,25 +100,31 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
     ``_runs`` under ``out_root`` (partitioned by run date); nothing earlier is rewritten.
     """
     run = staging_dir(spark, f"daily-{run_date}")
-    audits = []
-    staged = {}
-    mains = {}
-    for registry in REGISTRIES:
-        xml_dirs = {}
+
+    def load(registry: str):
+        """Expand, read, stage and split one register; returns (good rows, notices, staged path)."""
+        notices, xml_dirs = [], {}
         for version, zdir in archive_dirs.get(registry, {}).items():
             xdir = os.path.join(run, "xml", registry, version)
             rep = stage(archive.extract_archives(spark, zdir, xdir),  # runs the expansion once
                         os.path.join(run, "extract", registry, version))
-            audits.append(failure_notices(rep.where(F.col("error").isNotNull()), F.lit("03"),
-                                          file=F.col("archive"), directory=F.lit(zdir), run_date=F.lit(run_date)))
+            notices.append(failure_notices(rep.where(F.col("error").isNotNull()), F.lit("03"),
+                                           file=F.col("archive"), directory=F.lit(zdir), run_date=F.lit(run_date)))
             if rep.where(F.col("error").isNull()).limit(1).count():
                 xml_dirs[version] = xdir + "/*"  # one folder per archive
-        if xml_dirs:
-            staged[registry] = os.path.join(run, "main", registry)
-            main = stage(read_drop(spark, xml_dirs, registry), staged[registry])
-            good, bad = xmlsource.split_errors(main)
-            audits.append(failure_notices(bad, F.lit("04"), file=F.col("src_file"), run_date=F.lit(run_date)))
-            mains[registry] = good
+        if not xml_dirs:
+            return None, notices, None
+        path = os.path.join(run, "main", registry)
+        good, bad = xmlsource.split_errors(stage(read_drop(spark, xml_dirs, registry), path))
+        notices.append(failure_notices(bad, F.lit("04"), file=F.col("src_file"), run_date=F.lit(run_date)))
+        return good, notices, path
+
+    # the registers are independent until the fan-out: load them at once
+    with ThreadPoolExecutor(max_workers=len(REGISTRIES)) as pool:
+        loaded = dict(zip(REGISTRIES, pool.map(load, REGISTRIES)))
+    mains = {r: g for r, (g, _, _) in loaded.items() if g is not None}
+    staged = {r: p for r, (_, _, p) in loaded.items() if p is not None}
+    audits = [n for _, ns, _ in loaded.values() for n in ns]
     if mains:
         fan_out_all(spark, mains, out_root, parallel=parallel)
     # the dates of this drop: a handful of values, used only to prune the report's read
