@@ -174,3 +174,56 @@ def fan_out_counts(mains: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _bad(parent: Column, spec: TableSpec, names, level: str = "leaf") -> Column:
+    """Leaves of ``parent`` with text that does not cast to their type (strings always cast)."""
+    from pyspark.sql import types as T
+
+    out = F.lit(0)
+    for n in names:
+        t = field_type(spec.registry, spec, n, level)
+        if isinstance(t, T.StringType):
+            continue
+        v = parent.getField(n) if parent is not None else F.col(n)
+        out = out + F.when(v.isNotNull() & v.try_cast(t).isNull(), 1).otherwise(0)
+    return out
+
+
+def bad_values(main: DataFrame, spec: TableSpec) -> Column:
+    """Per main row: values of ``spec`` that would turn null by ``try_cast``."""
+    if spec.shape == "S":
+        return F.when(_head(main), _bad(None, spec, spec.fields)).otherwise(0)
+    el = F.col(spec.element)
+    if spec.shape == "O":
+        return F.when(el.isNotNull(), _bad(el, spec, spec.fields)).otherwise(0)
+    if spec.shape in ("N", "P"):
+        keep = (lambda e: e.getField("kind") == F.lit(spec.kind)) if spec.shape == "P" else (lambda e: F.lit(True))
+        return F.coalesce(F.aggregate(el, F.lit(0), lambda acc, e: acc + F.when(keep(e), _bad(e, spec, spec.fields))
+                                      .otherwise(0)), F.lit(0))
+    if spec.shape == "NN":
+        return F.coalesce(F.aggregate(el, F.lit(0), lambda acc, g: acc + _bad(g, spec, spec.group, "group")
+                                      + F.coalesce(F.aggregate(g.getField("rows"), F.lit(0),
+                                                               lambda a, r: a + _bad(r, spec, spec.fields)), F.lit(0))),
+                          F.lit(0))
+    if spec.shape == "M":
+        m = el.getField("main")
+        return (F.when(m.isNotNull(), _bad(m, spec, spec.fields)).otherwise(0)
+                + F.coalesce(F.aggregate(el.getField("extra"), F.lit(0), lambda acc, e: acc + _bad(e, spec, spec.fields)),
+                             F.lit(0)))
+    raise ValueError(spec.shape)
+
+
+def bad_value_counts(mains: dict[str, DataFrame]) -> DataFrame:
+    """(registry, table_name, n_bad_values): one pass per main table, like ``fan_out_counts``."""
+    parts = []
+    for registry, main in mains.items():
+        specs = [s for s in SPECS if s.registry == registry]
+        sums = main.agg(*[F.sum(bad_values(main, s)).cast("bigint").alias(s.name) for s in specs])
+        stack = "stack({}, {}) as (table_name, n_bad_values)".format(
+            len(specs), ", ".join(f"'{s.name}', `{s.name}`" for s in specs))
+        parts.append(sums.selectExpr(f"'{registry}' as registry", stack))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

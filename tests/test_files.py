@@ -204,6 +204,7 @@ def test_daily_run_end_to_end(spark, tmp_path):
     res = daily_run(spark, zips, out, "2024-01-30", parallel=4)
     report = {r.table: r for r in res.report.collect()}
     assert len(report) == 50
+    assert all(r.n_bad_values == 0 for r in report.values())  # typed values survive the XML trip
     assert res.audit.where("code = '03'").count() == 2
     audit = spark.read.parquet(os.path.join(out, "_audit"))
     assert audit.where("code = '03'").count() == 2 and {str(r.run_date) for r in audit.collect()} == {"2024-01-30"}
@@ -302,3 +303,19 @@ def test_entries_in_archive_subfolders_kept_apart(spark, tmp_path):
     rows = df.collect()
     assert sorted(int(r.entity_id) for r in rows) == [1, 2, 3, 4]
     assert {(str(r.load_date), r.part) for r in rows} == {("2022-01-01", "1")}
+
+
+def test_bad_nested_values_are_counted(spark, tmp_path):
+    """A leaf that does not cast turns null in its table and is counted in the report."""
+    from regfold.operators.shapes import bad_value_counts
+
+    rec = ("<Entity><entity_id>{i}</entity_id><page>{p}</page><s_name>n</s_name><s_acctbal>{a}</s_acctbal>"
+           "<ulstatus><l_orderkey>{i}</l_orderkey><l_partkey>7</l_partkey><l_quantity>{q}</l_quantity></ulstatus>"
+           "</Entity>")
+    body = rec.format(i=1, p=0, a="1.5", q="2.0") + rec.format(i=2, p=0, a="oops", q="x") + rec.format(i=3, p=0, a="2", q="3")
+    (tmp_path / "X_EGRUL_2022-01-01_1.XML").write_text(f"<Entities>{body}</Entities>")
+    df = read_drop(spark, {"new": str(tmp_path)}, "egrul")
+    counts = {r.table_name: r.n_bad_values for r in bad_value_counts({"egrul": df}).collect()}
+    assert counts["ul_info"] == 1 and counts["ulstatus_info"] == 1 and counts["ulpolnom_info"] == 0
+    t = {r.entity_id: r for r in project(df, SPEC_BY_NAME["ulstatus_info"]).collect()}
+    assert t[2].l_quantity is None and t[1].l_quantity == 2.0
