@@ -1,7 +1,7 @@
 """Command line: ``python -m regfold <command>`` (submit the same with ``spark-submit``).
 
   daily      expand landed archives, load, fan out and publish every detail table
-  retention  list the drop files of a published folder that are at least 21 days old
+  retention  list (or, with --delete, remove) drop files at least 21 days old
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("retention", help="drop files at least 21 days old")
     r.add_argument("--names", required=True, help="folder of drop files to check")
     r.add_argument("--now", required=True, help="yyyy-MM-dd HH:mm:ss")
+    r.add_argument("--delete", action="store_true", help="remove the expired drop files")
     a = ap.parse_args(argv)
 
     from pyspark.sql import functions as F
@@ -49,12 +50,11 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"failures": n_fail}))
         return 0
     if a.cmd == "retention":
-        from regfold.plans.publish import retention
-        from regfold.sources.landing import file_manifest
+        from regfold.plans.publish import expire_drops
 
-        drops = file_manifest(spark, a.names, "*.parquet").select(F.col("file_name").alias("drop_name"))
-        for row in retention(drops, F.to_timestamp(F.lit(a.now))).where("expired or unparsable").collect():
-            print(json.dumps({"drop_name": row.drop_name, "age_days": row.age_days, "expired": row.expired}))
+        for row in expire_drops(spark, a.names, F.to_timestamp(F.lit(a.now)), delete=a.delete):
+            print(json.dumps({"drop_name": row.drop_name, "age_days": row.age_days, "expired": row.expired,
+                              "deleted": bool(a.delete and row.expired)}))
         return 0
     return 2
 

@@ -89,3 +89,25 @@ def retention(drops: DataFrame, now: Column, name_col: str = "drop_name") -> Dat
         F.coalesce(is_expired(ts, now), F.lit(False)).alias("expired"),
         ts.isNull().alias("unparsable"),
     )
+
+
+def expire_drops(spark: SparkSession, drop_dir: str, now: Column, delete: bool = False) -> list:
+    """The drop files in ``drop_dir`` that are expired or unparsable, as rows; with
+    ``delete``, the expired ones are removed.
+
+    The listing reads metadata only. The rows to act on are a short list (one file per published
+    slice within the retention window), collected before anything is deleted and removed from
+    the driver through ``pyarrow.fs``; unparsable names are never deleted.
+    """
+    from regfold.sources.files import filesystem_for
+    from regfold.sources.landing import file_manifest
+
+    listed = file_manifest(spark, drop_dir, "*" + PARQUET_EXT).select(
+        F.col("file_name").alias("drop_name"), F.concat_ws("/", "dir", "file_name").alias("path"))
+    rows = retention(listed, now).where("expired or unparsable").collect()
+    if delete:
+        for row in rows:
+            if row.expired:
+                filesystem, p = filesystem_for(row.path)
+                filesystem.delete_file(p)
+    return rows

@@ -319,3 +319,12 @@ def test_bad_nested_values_are_counted(spark, tmp_path):
     assert counts["ul_info"] == 1 and counts["ulstatus_info"] == 1 and counts["ulpolnom_info"] == 0
     t = {r.entity_id: r for r in project(df, SPEC_BY_NAME["ulstatus_info"]).collect()}
     assert t[2].l_quantity is None and t[1].l_quantity == 2.0
+
+
+def test_cli_retention_delete(spark, tmp_path, capsys):
+    from regfold.__main__ import main
+
+    for name in ("2024-01-09_12-00-00.parquet", "2024-01-20_00-00-00.parquet", "junk.parquet"):
+        (tmp_path / name).write_bytes(b"x")
+    assert main(["retention", "--names", str(tmp_path), "--now", "2024-01-30 12:00:00", "--delete"]) == 0
+    assert sorted(os.listdir(tmp_path)) == ["2024-01-20_00-00-00.parquet", "junk.parquet"]
