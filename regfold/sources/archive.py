@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regfold.sources.files import filesystem_for as _fs
+from regfold.sources.xmlsource import ROW_TAG
 
 LIST_SCHEMA = "archive STRING, path STRING, entry STRING, size BIGINT, error STRING"
 ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, error STRING"
 EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
 CHUNK = 4 * 1024 * 1024
 SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse task each
-ROW_TAG = "Entity"
 MAX_TASKS = 100_000
 TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction task
 
