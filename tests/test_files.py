@@ -328,3 +328,17 @@ def test_cli_retention_delete(spark, tmp_path, capsys):
         (tmp_path / name).write_bytes(b"x")
     assert main(["retention", "--names", str(tmp_path), "--now", "2024-01-30 12:00:00", "--delete"]) == 0
     assert sorted(os.listdir(tmp_path)) == ["2024-01-20_00-00-00.parquet", "junk.parquet"]
+
+
+def test_daily_run_with_nothing_usable(spark, tmp_path):
+    """Only a broken archive landed: the run finishes, every table is reported empty and the
+    archive failure is recorded."""
+    zdir = tmp_path / "zips"
+    zdir.mkdir()
+    (zdir / "broken.zip").write_bytes(b"not a zip")
+    out = str(tmp_path / "out")
+    res = daily_run(spark, {"egrul": {"new": str(zdir)}}, out, "2024-02-01")
+    rep = res.report.collect()
+    assert len(rep) == 50 and all(r.status == "empty" and r.n_rows == 0 for r in rep)
+    assert [r.code for r in res.audit.collect()] == ["03"]
+    assert spark.read.parquet(os.path.join(out, "_audit")).count() == 1
