@@ -214,16 +214,25 @@ def bad_values(main: DataFrame, spec: TableSpec) -> Column:
     raise ValueError(spec.shape)
 
 
-def bad_value_counts(mains: dict[str, DataFrame]) -> DataFrame:
-    """(registry, table_name, n_bad_values): one pass per main table, like ``fan_out_counts``."""
+def table_checks(mains: dict[str, DataFrame]) -> DataFrame:
+    """(registry, table_name, n_expected, n_bad_values) for every detail table, from one pass
+    over each main table: the rows each table must hold and the values that fail their cast."""
     parts = []
     for registry, main in mains.items():
         specs = [s for s in SPECS if s.registry == registry]
-        sums = main.agg(*[F.sum(bad_values(main, s)).cast("bigint").alias(s.name) for s in specs])
-        stack = "stack({}, {}) as (table_name, n_bad_values)".format(
-            len(specs), ", ".join(f"'{s.name}', `{s.name}`" for s in specs))
-        parts.append(sums.selectExpr(f"'{registry}' as registry", stack))
+        aggs = []
+        for s_ in specs:
+            aggs.append(F.sum(element_rows(main, s_)).cast("bigint").alias(f"{s_.name}__n"))
+            aggs.append(F.sum(bad_values(main, s_)).cast("bigint").alias(f"{s_.name}__bad"))
+        stack = "stack({}, {}) as (table_name, n_expected, n_bad_values)".format(
+            len(specs), ", ".join(f"'{s_.name}', `{s_.name}__n`, `{s_.name}__bad`" for s_ in specs))
+        parts.append(main.agg(*aggs).selectExpr(f"'{registry}' as registry", stack))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def bad_value_counts(mains: dict[str, DataFrame]) -> DataFrame:
+    """(registry, table_name, n_bad_values)."""
+    return table_checks(mains).select("registry", "table_name", "n_bad_values")

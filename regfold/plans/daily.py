@@ -8,8 +8,9 @@ Mirrors the data path of the source's daily job without its scheduler and networ
   3. N3   corrupt records split off into the audit (code 04), bad archives too (code 03)
   4. S13  the main table is staged once as Parquet in a folder owned by the run
   5. P0   every detail table is a projection of the staged main table, published by date slice
-  6. N2   a report row per (registry, table): rows published, or ``empty`` (D7), and the
-          values that did not cast to their type (``n_bad_values``)
+  6. N2   a report row per (registry, table): rows published against rows expected from the
+          main table (``ok``, ``empty`` (D7) or ``mismatch``) and the values that did not cast
+          to their type (``n_bad_values``)
 """
 
 from __future__ import annotations
@@ -24,14 +25,14 @@ from pyspark.sql import functions as F
 from regfold.functions.dates import is_new_year
 from regfold.functions.names import date_key, file_stem
 from regfold.operators.audit import append_audit, failure_notices
-from regfold.operators.shapes import bad_value_counts
+from regfold.operators.shapes import table_checks
 from regfold.plans.fanout import fan_out_all, stage
 from regfold.plans.publish import read_published
 from regfold.plans.specs import REGISTRIES, specs_for, schema_of
 from regfold.session import staging_dir
 from regfold.sources import archive, xmlsource
 
-STATUS_OK, STATUS_EMPTY = "ok", "empty"
+STATUS_OK, STATUS_EMPTY, STATUS_MISMATCH = "ok", "empty", "mismatch"
 
 
 def with_provenance(df: DataFrame, registry: str, schema_version: str | None = None,
@@ -136,13 +137,18 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)
-    # values that turned null by try_cast (D1), per table: one pass over each staged main table
+    # one pass over each staged main table: rows each table must hold, and values that turned
+    # null by try_cast (D1); a table whose published rows differ is marked ``mismatch``
     if mains:
-        bad = bad_value_counts(mains).withColumnRenamed("table_name", "table")
-        report = (report.join(bad, ["registry", "table"], "left")
-                  .withColumn("n_bad_values", F.coalesce("n_bad_values", F.lit(0)).cast("bigint")))
+        checks = table_checks(mains).withColumnRenamed("table_name", "table")
+        report = report.join(checks, ["registry", "table"], "left")
     else:
-        report = report.withColumn("n_bad_values", F.lit(0).cast("bigint"))
+        report = report.withColumn("n_expected", F.lit(None)).withColumn("n_bad_values", F.lit(None))
+    n_exp = F.coalesce("n_expected", F.lit(0)).cast("bigint")
+    report = report.select(
+        "registry", "table", "n_rows", n_exp.alias("n_expected"),
+        F.coalesce("n_bad_values", F.lit(0)).cast("bigint").alias("n_bad_values"),
+        F.when(F.col("n_rows") != n_exp, STATUS_MISMATCH).otherwise(F.col("status")).alias("status"))
     audit = audits[0] if audits else spark.createDataFrame(
         [], "code STRING, subject STRING, message STRING, file STRING, dir STRING, run_date STRING")
     for a in audits[1:]:

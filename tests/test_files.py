@@ -205,6 +205,7 @@ def test_daily_run_end_to_end(spark, tmp_path):
     report = {r.table: r for r in res.report.collect()}
     assert len(report) == 50
     assert all(r.n_bad_values == 0 for r in report.values())  # typed values survive the XML trip
+    assert all(r.n_rows == r.n_expected and r.status in ("ok", "empty") for r in report.values())
     assert res.audit.where("code = '03'").count() == 2
     audit = spark.read.parquet(os.path.join(out, "_audit"))
     assert audit.where("code = '03'").count() == 2 and {str(r.run_date) for r in audit.collect()} == {"2024-01-30"}
