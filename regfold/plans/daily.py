@@ -83,6 +83,20 @@ def run_report(spark: SparkSession, out_root: str, registry: str, load_dates: li
                       F.when(F.coalesce("n_rows", F.lit(0)) > 0, STATUS_OK).otherwise(STATUS_EMPTY).alias("status"))
 
 
+def check_report(report: DataFrame, checks: DataFrame | None) -> DataFrame:
+    """Join the published counts with the expected ones (``table_checks``); a table whose
+    published rows differ from the rows its main table holds becomes ``mismatch``."""
+    if checks is not None:
+        report = report.join(checks.withColumnRenamed("table_name", "table"), ["registry", "table"], "left")
+    else:
+        report = report.withColumn("n_expected", F.lit(None)).withColumn("n_bad_values", F.lit(None))
+    n_exp = F.coalesce("n_expected", F.lit(0)).cast("bigint")
+    return report.select(
+        "registry", "table", "n_rows", n_exp.alias("n_expected"),
+        F.coalesce("n_bad_values", F.lit(0)).cast("bigint").alias("n_bad_values"),
+        F.when(F.col("n_rows") != n_exp, STATUS_MISMATCH).otherwise(F.col("status")).alias("status"))
+
+
 @dataclass
 class DailyResult:
     out_root: str
@@ -139,16 +153,7 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
         report = report.unionByName(r)
     # one pass over each staged main table: rows each table must hold, and values that turned
     # null by try_cast (D1); a table whose published rows differ is marked ``mismatch``
-    if mains:
-        checks = table_checks(mains).withColumnRenamed("table_name", "table")
-        report = report.join(checks, ["registry", "table"], "left")
-    else:
-        report = report.withColumn("n_expected", F.lit(None)).withColumn("n_bad_values", F.lit(None))
-    n_exp = F.coalesce("n_expected", F.lit(0)).cast("bigint")
-    report = report.select(
-        "registry", "table", "n_rows", n_exp.alias("n_expected"),
-        F.coalesce("n_bad_values", F.lit(0)).cast("bigint").alias("n_bad_values"),
-        F.when(F.col("n_rows") != n_exp, STATUS_MISMATCH).otherwise(F.col("status")).alias("status"))
+    report = check_report(report, table_checks(mains) if mains else None)
     audit = audits[0] if audits else spark.createDataFrame(
         [], "code STRING, subject STRING, message STRING, file STRING, dir STRING, run_date STRING")
     for a in audits[1:]:

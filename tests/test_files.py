@@ -343,3 +343,14 @@ def test_daily_run_with_nothing_usable(spark, tmp_path):
     assert len(rep) == 50 and all(r.status == "empty" and r.n_rows == 0 for r in rep)
     assert [r.code for r in res.audit.collect()] == ["03"]
     assert spark.read.parquet(os.path.join(out, "_audit")).count() == 1
+
+
+def test_report_marks_mismatch(spark):
+    from regfold.plans.daily import check_report
+
+    report = spark.createDataFrame([("egrul", "ul_info", 10, "ok"), ("egrul", "ulkvhp", 0, "empty")],
+                                   "registry STRING, table STRING, n_rows BIGINT, status STRING")
+    checks = spark.createDataFrame([("egrul", "ul_info", 11, 0), ("egrul", "ulkvhp", 0, 0)],
+                                   "registry STRING, table_name STRING, n_expected BIGINT, n_bad_values BIGINT")
+    got = {r.table: r.status for r in check_report(report, checks).collect()}
+    assert got == {"ul_info": "mismatch", "ulkvhp": "empty"}
