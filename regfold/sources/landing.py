@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from regfold.functions.dates import drop_folder
 from regfold.functions.paths import base_name, join_path, remote_dir
 
-# Listing verdicts of S4.
+# Listing verdicts of S4 (our names).
 FOUND, NONE, FAILED = "found", "none", "failed"
-# Tag whose presence on a listing page means "no such drop" (fixed value of the source).
+# Fixed values of the source's listing pages: the tag whose presence means "no such drop", and
+# the class that marks a file link.
 ERROR_TAG = "b"
 LINK_CLASS = "clearfix"
 
