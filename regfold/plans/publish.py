@@ -51,16 +51,20 @@ def read_published(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def slices(published: DataFrame) -> DataFrame:
-    """Published slices with their rows, files and bytes (partial aggregation per task)."""
-    return (published.groupBy("registry", "table", "load_date")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count_distinct(F.col("_metadata.file_path")).alias("n_files")))
+    """Published slices with their rows, files and bytes: rows are counted per file first
+    (partial aggregation), then files are summed per slice, so no file size counts twice."""
+    keys = ["registry", "table", "load_date"]
+    per_file = (published.groupBy(*keys, F.col("_metadata.file_path").alias("_file"))
+                .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("_metadata.file_size")).alias("_bytes")))
+    return per_file.groupBy(*keys).agg(F.sum("_rows").cast("bigint").alias("n_rows"),
+                                       F.count(F.lit(1)).alias("n_files"),
+                                       F.sum("_bytes").cast("bigint").alias("n_bytes"))
 
 
 def manifest(published: DataFrame) -> DataFrame:
-    """One row per (registry, table, load_date) with rows, files and the notice flags."""
+    """One row per (registry, table, load_date) with rows, files, bytes and the notice flags."""
     flags = [F.lit(v).alias(k) for k, v in NOTICE_FLAGS]
-    return slices(published).select("registry", "table", "load_date", "n_rows", "n_files", *flags)
+    return slices(published).select("registry", "table", "load_date", "n_rows", "n_files", "n_bytes", *flags)
 
 
 def drop_index(slice_df: DataFrame, run_ts: Column) -> DataFrame:

@@ -133,7 +133,8 @@ def test_publish_twice_equals_once(spark, tmp_path):
     pub.publish(df.where(F.year("o_orderdate") == 1995), root, "egrip", "orders")
     assert pub.read_published(spark, root).count() == df.count()
     m = pub.manifest(pub.read_published(spark, root)).collect()
-    assert all(r.n_files >= 1 and r.mem_limit == 30 for r in m)
+    assert all(r.n_files >= 1 and r.n_bytes > 0 and r.mem_limit == 30 for r in m)
+    assert sum(r.n_rows for r in m) == df.count()
 
 
 def test_retention_ages(spark):
