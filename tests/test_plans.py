@@ -18,8 +18,10 @@ def _plan(df) -> str:
 
 @pytest.mark.parametrize("key", LAZY)
 def test_no_cartesian_or_row_python(spark, key):
+    """No pair-producing joins, no row-at-a-time Python, and no row caps or sampling."""
     plan = _plan(E.queries()[key](spark, SF_SMALL))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                "GlobalLimit", "CollectLimit", "Sample"):
         assert bad not in plan, f"{key}: {bad}"
 
 
