@@ -4,12 +4,13 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL, digest
+from regfold.plans import catalog
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.queries())
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
 
 
 def test_fifty_detail_tables_registered():
