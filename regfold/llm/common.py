@@ -167,3 +167,13 @@ def first_equal(ids: np.ndarray, starts: np.ndarray, width: int, hashes: np.ndar
 def doc_order(doc_id: Column) -> Column:
     """Sort key of a document id: nulls last."""
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
+
+
+def link_tree(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Links that connect what ``linked`` (left x right) connects: one per member and component."""
+    root = np.arange(n)
+    for i in np.flatnonzero(linked.any(axis=1)):
+        members = np.append(right[linked[i]], left[i])
+        olds = np.unique(root[members])
+        root[np.isin(root, olds)] = olds[0]
+    return [(i, int(r)) for i, r in enumerate(root) if r != i]

@@ -50,3 +50,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             raise RuntimeError("components did not settle")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())
+
+
+def link_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes of ``rows`` (id, content) from what comparisons of distinct contents ``found``.
+
+    ``found`` has, per content and comparison, ``links`` (linked rows of other contents) and
+    ``parent`` (a content linked directly or over others, or null). Returned per row: id, content,
+    n_links (other rows linked directly, its copies among them), class_id (smallest id of its
+    class) and root (null for a row without any link). Rows with null content link with nothing.
+    Rows are counted per content before the shuffle; rows without links join with nothing.
+    """
+    contents = rows.filter("content is not null").groupBy("content").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("low_id"))
+    links = found.groupBy("content").agg(F.sum("links").alias("links"))
+    roots = components(found, "content", "parent").withColumnRenamed("node", "content")
+    classes = (contents.join(roots, "content", "left").join(links, "content", "left")
+               .filter("n_rows > 1 or root is not null").withColumn("root", F.coalesce("root", "content")))
+    ids = classes.groupBy("root").agg(F.min("low_id").alias("low_id"))
+    known = (classes.drop("low_id").join(ids, "root")
+             .withColumn("n_links", F.col("n_rows") - 1 + F.coalesce("links", F.lit(0)))
+             .select("content", "root", "low_id", "n_links"))
+    return rows.join(known, "content", "left").select(
+        "id", "content", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("low_id")).alias("class_id"), "root")

@@ -26,8 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfold.llm.common import factorize, map_batches, mix64, portions, prepare, rolling_hash, row_groups
-from regfold.llm.components import components
+from regfold.llm.common import factorize, link_tree, map_batches, mix64, portions, prepare, rolling_hash, row_groups
+from regfold.llm.components import components, link_classes
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -126,16 +126,6 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     return out
 
 
-def _tree(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Links that connect what ``linked`` (left x right) connects: one per member and component."""
-    root = np.arange(n)
-    for i in np.flatnonzero(linked.any(axis=1)):
-        members = np.append(right[linked[i]], left[i])
-        olds = np.unique(root[members])
-        root[np.isin(root, olds)] = olds[0]
-    return [(i, int(r)) for i, r in enumerate(root) if r != i]
-
-
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for group in row_groups(batches, ["cluster", "i", "j"]):
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
@@ -156,7 +146,7 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         if i != j:
             links[right] += n_rows[left] @ linked
         parent: list[bytes | None] = [None] * len(sets)
-        for a, b in _tree(linked, left, right, len(sets)):
+        for a, b in link_tree(linked, left, right, len(sets)):
             parent[a] = content[b]
         keep = np.flatnonzero(links)
         yield pa.record_batch([pa.array([content[k] for k in keep], pa.binary()), pa.array(links[keep], pa.int64()),
@@ -218,20 +208,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
                      "block", "content", "n_rows", "shingles"))
     found = map_batches(tasks.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j"),
                         lambda it: _verify(it, threshold), "content binary, links long, parent binary").checkpoint()
-    links = found.groupBy("content").agg(F.sum("links").alias("links"))
-    roots = components(found.select("content", "parent"), "content", "parent").withColumnRenamed("node", "content")
-    classes = (texts.select("content", "n_rows", "low_id").join(roots, "content", "left")
-               .join(links, "content", "left").filter("n_rows > 1 or root is not null")
-               .withColumn("root", F.coalesce("root", "content")))
-    ids = classes.groupBy("root").agg(F.min("low_id").alias("class_id"))
-    known = (classes.join(ids, "root")
-             .select("content", "class_id", (F.col("n_rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.lit(True).alias("in_class"), "root"))
-    out = rows.select("doc_id", "content").join(known, "content", "left")
-    class_id = F.when(F.col("in_class"), F.col("class_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      class_id.alias("class_id"), class_id.eqNullSafe(F.col("doc_id")).alias("kept"), "content",
-                      "root")
+    ids = rows.select(F.col("doc_id").alias("id"), F.when(F.col("n_shingles") > 0, F.col("content")).alias("content"))
+    return (link_classes(ids, found)
+            .select(F.col("id").alias("doc_id"), "n_links", "class_id",
+                    F.col("class_id").eqNullSafe(F.col("id")).alias("kept"), "content", "root"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfold.llm import pieces, quality, repeats
+from regfold.llm import embed_dedup, mixing, near_dup, pieces, quality, repeats
 from regfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -26,6 +30,16 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_piece_tokens, op3_substring_dedup, op4_quality)}
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("content", "root")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_embedding_dedup, op2_piece_tokens, op3_substring_dedup, op4_quality, op8_ngram_jaccard, op10_mixing)}
 
 ORACLE: dict[str, str] = {}
