@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfold.llm import embed_dedup, mixing, near_dup, pieces, quality, repeats
+from regfold.llm import embed_dedup, mixing, near_dup, pieces, pii, quality, repeats, secrets, toxicity, url_filter
 from regfold.llm.common import table
+from regfold.session import staging_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,16 +32,36 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first scan, with an empty ledger: every distinct text of the table is unseen."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(secrets.scan(docs, os.path.join(staging_dir(spark, "secrets"), "ledger")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("segments").alias("n_segments"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("content", "root")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_piece_tokens, op3_substring_dedup, op4_quality, op8_ngram_jaccard, op10_mixing)}
+    op1_embedding_dedup, op2_piece_tokens, op3_substring_dedup, op4_quality, op5_pii, op6_secret_scan, op7_toxicity,
+    op8_ngram_jaccard, op9_url_filter, op10_mixing)}
 
 ORACLE: dict[str, str] = {}
