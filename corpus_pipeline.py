@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regfold.llm import pieces, quality
+from regfold.llm import mixing, near_dup, pieces, pii, quality
 from regfold.session import staging_dir
 
 
@@ -18,12 +18,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.mask(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, with_ids=True)
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mixing", source_mixing),
     ("piece_encoding", piece_encoding),
 ]
 
