@@ -14,7 +14,7 @@ of patterns and features leave it. All patterns run in linear time on any text.
 
 Cases: null text counts as empty: no spans. Very long texts are searched whole. Repeated rows and
 null ids give a row each. An empty table or one without candidates leaves the base spans. Extra
-columns are ignored.
+columns are passed through; names that begin with an underscore are the operator's own.
 """
 
 from __future__ import annotations
@@ -136,7 +136,7 @@ def _char_class(char: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``cand``: all candidates, strict (base spans) or not, with their traits."""
+    """``docs`` with ``_cand``: all candidates, strict (base spans) or not, with their traits."""
     text = "_text"
     df = docs.withColumn(text, F.coalesce("text", F.lit("")))
     has = lambda c: F.contains(F.col(text), F.lit(c))
@@ -156,8 +156,8 @@ def candidates(docs: DataFrame) -> DataFrame:
             fixed = f"{column}_c"
             df = df.withColumn(fixed, F.transform(column, _judge(kind, rank, strict)))
             parts.append(F.col(fixed))
-    df = df.withColumn("cand", F.concat(*parts))
-    return df.select(*docs.columns, "cand")
+    df = df.withColumn("_cand", F.concat(*parts))
+    return df.select(*docs.columns, "_cand")
 
 
 def _judge(kind: str, rank: int, strict: bool | None):
@@ -208,7 +208,7 @@ def train(cands: DataFrame) -> dict[str, tuple[float, dict[str, float]]]:
     """Per kind the prior log-odds and the log-odds of every trait, from counts alone."""
     votes = F.slice(F.col("c.traits"), 1, len(LABELERS))
     # explode() would push a filter on the array below the columns it is made of, and compute those twice and more
-    rows = (cands.select(F.explode_outer("cand").alias("c")).filter("c is not null")
+    rows = (cands.select(F.explode_outer("_cand").alias("c")).filter("c is not null")
             .select(F.col("c.kind").alias("kind"), "c.traits", votes.alias("votes")))
     counted = rows.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 81 a kind
     posterior: dict[tuple, float] = {}
@@ -253,35 +253,35 @@ def _chance(model: dict, c: Column) -> Column:
 
 
 def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
-    """``docs`` with ``base`` and ``spans``: sorted marks (start, rank, end, kind) of base and of all spans."""
+    """``docs`` with ``_base`` and ``_spans``: sorted marks (start, rank, end, kind) of base and of all spans."""
     prepare(docs.sparkSession)
     found = candidates(docs)
     if model is None:
         model = train(candidates(docs.select("text")))
     mark = lambda c: F.struct(c["start"].alias("start"), c["rank"].alias("rank"), c["end"].alias("end"),
                               c["kind"].alias("kind"))
-    found = found.withColumn("base", F.array_sort(F.transform(F.filter("cand", lambda c: c["strict"]), mark)))
-    loose = F.filter("cand", lambda c: ~c["strict"] & (_chance(model, c) >= ACCEPT) & ~F.exists(
-        F.col("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    found = found.withColumn("spans", F.array_sort(F.concat("base", F.transform(loose, mark))))
-    return found.drop("cand")
+    found = found.withColumn("_base", F.array_sort(F.transform(F.filter("_cand", lambda c: c["strict"]), mark)))
+    loose = F.filter("_cand", lambda c: ~c["strict"] & (_chance(model, c) >= ACCEPT) & ~F.exists(
+        F.col("_base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    found = found.withColumn("_spans", F.array_sort(F.concat("_base", F.transform(loose, mark))))
+    return found.drop("_cand")
 
 
 def report(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """doc_id, a count of base spans of each kind, base_sha256 and spans of every row."""
     found = find(docs.select("doc_id", "text"), model)
-    counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
-                        listed(F.col("spans")).alias("spans"))
+    counts = [F.size(F.filter("_base", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("_base")), 256).alias("base_sha256"),
+                        listed(F.col("_spans")).alias("spans"))
 
 
 def mask(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets, and n_chars (if there) counted anew."""
     names = docs.columns
     found = find(docs, model)
-    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(cover(F.col("text"), F.col("spans")))
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(cover(F.col("text"), F.col("_spans")))
     found = found.withColumn("text", text)
     if "n_chars" in names:
         kind = dict(docs.dtypes)["n_chars"]
-        found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return found.select(names)

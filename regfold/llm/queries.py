@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from regfold.llm import embed_dedup, mixing, near_dup, pieces, pii, quality, repeats, secrets, toxicity, url_filter
 from regfold.llm.common import table
+from regfold.llm.oracle import ORACLE  # noqa: F401
 from regfold.session import staging_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,5 +64,3 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_embedding_dedup, op2_piece_tokens, op3_substring_dedup, op4_quality, op5_pii, op6_secret_scan, op7_toxicity,
     op8_ngram_jaccard, op9_url_filter, op10_mixing)}
-
-ORACLE: dict[str, str] = {}
