@@ -32,8 +32,8 @@ def part_name(table, stem, registry) -> Column:
 
 
 def date_key(name) -> Column:
-    """The second-to-last ``_`` token of a part name (its date)."""
-    return F.element_at(F.split(_c(name), "_"), -2)
+    """The second-to-last ``_`` token of a part name (its date); null for a name without one."""
+    return F.try_element_at(F.split(_c(name), "_"), F.lit(-2))
 
 
 def slice_name(table, load_date) -> Column:

@@ -31,8 +31,8 @@ def _leaf(parent: Column, spec: TableSpec, name: str, level: str = "leaf") -> Co
 
 
 def _head(main: DataFrame) -> Column:
-    # rows without a page column are whole entities
-    return F.col("page").try_cast("int") == 0 if "page" in main.columns else F.lit(True)
+    # a row without a page is a whole entity
+    return F.coalesce(F.col("page").try_cast("int"), F.lit(0)) == 0 if "page" in main.columns else F.lit(True)
 
 
 def project_root(main: DataFrame, spec: TableSpec) -> DataFrame:

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from regfold.functions.dates import is_new_year
 from regfold.functions.names import date_key, file_stem
-from regfold.operators.audit import append_audit, failure_notices
+from regfold.operators.audit import failure_notices
 from regfold.operators.shapes import table_checks
-from regfold.plans.fanout import fan_out_all, stage
-from regfold.plans.publish import read_published
+from regfold.plans.fanout import fan_out_all, slice_path, stage
 from regfold.plans.specs import REGISTRIES, specs_for, schema_of
 from regfold.session import staging_dir
 from regfold.sources import archive, xmlsource
+from regfold.sources.files import delete_folder, folder_exists
 
 STATUS_OK, STATUS_EMPTY, STATUS_MISMATCH = "ok", "empty", "mismatch"
 
@@ -51,32 +51,53 @@ def with_provenance(df: DataFrame, registry: str, schema_version: str | None = N
 def read_drop(spark: SparkSession, xml_dirs: dict[str, str], registry: str) -> DataFrame:
     """All XML of one register, every schema version (``{version: dir}``), as one main table."""
     schema = xmlsource.string_schema(schema_of(registry))
-    parts = [with_provenance(xmlsource.read_xml(spark, d, schema, glob="*.XML", corrupt=True), registry, v)
-             for v, d in xml_dirs.items()]
+    # src_file is the archive's entry, whether it was cut or not
+    entry = F.regexp_replace("src_file", r"\.[0-9]{5}\.XML$", "")
+    parts = [with_provenance(xmlsource.read_xml(spark, d, schema, corrupt=True).withColumn("src_file", entry),
+                             registry, v) for v, d in xml_dirs.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def slice_folders(out_root: str, registry: str, load_date) -> list[str]:
+    """The folder of one date (None: the null partition) in every table of a register."""
+    name = "__HIVE_DEFAULT_PARTITION__" if load_date is None else load_date
+    return [os.path.join(slice_path(out_root, registry, s.name), f"load_date={name}") for s in specs_for(registry)]
+
+
+def clear_slices(out_root: str, registry: str, load_dates: list) -> None:
+    """Drop a run's target slices before it publishes: a table that has become empty keeps no old rows."""
+    for d in load_dates:
+        for p in slice_folders(out_root, registry, d):
+            delete_folder(p)
+
+
+def record_run(df: DataFrame, log_dir: str, run_date: str) -> DataFrame:
+    """Write a run's rows as the log's partition of that run, in place of an earlier try, and read them back."""
+    path = os.path.join(log_dir, f"run_date={run_date}")
+    df.drop("run_date").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.drop("run_date").schema).parquet(path).withColumn("run_date", F.lit(run_date))
+
+
 def run_report(spark: SparkSession, out_root: str, registry: str, load_dates: list | None = None) -> DataFrame:
     """N2 + D7: rows per (registry, table) of this run; tables with no rows get ``empty``.
 
-    ``load_dates`` (the few dates of this drop) prune the read to this run's partitions, so the
-    report never scans the published history.
+    ``load_dates`` (the few dates of this register's drop, None for files without one) prune the
+    read to this run's partitions, so the report never scans the published history.
     """
     expected = spark.createDataFrame([(registry, s.name) for s in specs_for(registry)],
                                      "registry STRING, table STRING")
-    try:
-        if load_dates is not None:  # list only this run's slice folders, not the whole history
-            paths = [os.path.join(out_root, f"registry={registry}", "table=*", f"load_date={d}") for d in load_dates]
-            pub = spark.read.option("basePath", out_root).parquet(*paths) if paths else None
-        else:
-            pub = read_published(spark, out_root).where(F.col("registry") == registry)
-        if pub is None:
-            raise FileNotFoundError(out_root)
+    if load_dates is not None:  # only this run's slice folders, not the whole history
+        paths = [p for d in load_dates for p in slice_folders(out_root, registry, d)]
+    else:
+        paths = [os.path.join(out_root, f"registry={registry}")]
+    paths = [p for p in paths if folder_exists(p)]
+    if paths:
+        pub = spark.read.option("basePath", out_root).parquet(*paths)
         counts = pub.groupBy("registry", "table").agg(F.count(F.lit(1)).alias("n_rows"))
-    except Exception:  # nothing published at all
+    else:  # nothing published
         counts = spark.createDataFrame([], "registry STRING, table STRING, n_rows BIGINT")
     rep = expected.join(counts, ["registry", "table"], "left")
     return rep.select("registry", "table", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
@@ -113,8 +134,10 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
               run_date: str, parallel: int = 8, record: bool = True) -> DailyResult:
     """``archive_dirs``: {registry: {schema_version: folder of landed zips}}.
 
-    With ``record`` the run's failure notices and report rows are appended to ``_audit`` and
-    ``_runs`` under ``out_root`` (partitioned by run date); nothing earlier is rewritten.
+    With ``record`` the run's failure notices and report rows are written to ``_audit`` and
+    ``_runs`` under ``out_root``, one partition per run date: running a date again replaces its
+    rows. The staged XML and main tables are then dropped (S13); without ``record`` they stay, as the
+    report and notices still read them.
     """
     run = staging_dir(spark, f"daily-{run_date}")
 
@@ -127,6 +150,9 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
                         os.path.join(run, "extract", registry, version))
             notices.append(failure_notices(rep.where(F.col("error").isNotNull()), F.lit("03"),
                                            file=F.col("archive"), directory=F.lit(zdir), run_date=F.lit(run_date)))
+            if rep.isEmpty():
+                nothing = spark.createDataFrame([(zdir,)], "dir STRING")
+                notices.append(failure_notices(nothing, F.lit("02"), directory=F.col("dir"), run_date=F.lit(run_date)))
             if rep.where(F.col("error").isNull()).limit(1).count():
                 xml_dirs[version] = xdir + "/*"  # one folder per archive
         if not xml_dirs:
@@ -142,12 +168,13 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
     mains = {r: g for r, (g, _, _) in loaded.items() if g is not None}
     staged = {r: p for r, (_, _, p) in loaded.items() if p is not None}
     audits = [n for _, ns, _ in loaded.values() for n in ns]
+    # the dates of each register's drop: a handful of values
+    dates = {r: [row.load_date for row in m.select("load_date").distinct().collect()] for r, m in mains.items()}
+    for r, d in dates.items():
+        clear_slices(out_root, r, d)
     if mains:
         fan_out_all(spark, mains, out_root, parallel=parallel)
-    # the dates of this drop: a handful of values, used only to prune the report's read
-    dates = sorted({r.load_date for m in mains.values() for r in m.select("load_date").distinct().collect()},
-                   key=str)
-    reports = [run_report(spark, out_root, r, dates) for r in REGISTRIES]
+    reports = [run_report(spark, out_root, r, dates.get(r, [])) for r in REGISTRIES]
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)
@@ -159,7 +186,8 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
     for a in audits[1:]:
         audit = audit.unionByName(a)
     if record:
-        append_audit(audit, os.path.join(out_root, AUDIT_DIR))
-        (report.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date")
-         .parquet(os.path.join(out_root, RUNS_DIR)))
+        audit = record_run(audit, os.path.join(out_root, AUDIT_DIR), run_date)
+        report = record_run(report, os.path.join(out_root, RUNS_DIR), run_date).drop("run_date")
+        delete_folder(run)
+        staged = {}
     return DailyResult(out_root, report, audit, staged)

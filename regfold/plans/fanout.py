@@ -43,7 +43,10 @@ def write_table(df: DataFrame, out_root: str, registry: str, table: str, load_da
     df = df.drop("registry")  # it is the partition folder
     if "load_date" not in df.columns:
         df = df.withColumn("load_date", F.lit(load_date).cast("date"))
-    (df.write.mode("overwrite")
+    # few files a slice, whatever the number of scan tasks: partitions follow bytes, and a slice
+    # larger than one is split
+    (df.hint("rebalance", "load_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")  # on the write itself: no session setting can wipe history
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy("load_date")
      .parquet(slice_path(out_root, registry, table)))

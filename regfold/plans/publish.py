@@ -12,15 +12,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfold.functions.dates import age_days, is_expired, parse_drop_time
 from regfold.functions.names import PARQUET_EXT, drop_name
-
-MAX_RECORDS_PER_FILE = 20_000_000
+from regfold.plans.fanout import slice_path, write_table
 
 # Flags the source passes on with its success notice (fixed values; not acted on here).
 NOTICE_FLAGS = (
@@ -39,10 +36,8 @@ def publish(df: DataFrame, out_root: str, registry: str, table: str, load_date:
         if load_date is None:
             raise ValueError("publish needs a load_date column or expression")
         df = df.withColumn("load_date", load_date)
-    path = os.path.join(out_root, f"registry={registry}", f"table={table}")
-    (df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy("load_date").parquet(path))
-    return path
+    write_table(df, out_root, registry, table, None)
+    return slice_path(out_root, registry, table)
 
 
 def read_published(spark: SparkSession, out_root: str) -> DataFrame:

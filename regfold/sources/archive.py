@@ -11,9 +11,10 @@ archive or entry is ever held whole in memory or passes through the driver.
 
 The XML source parses one file per task, so an entry larger than ``split_bytes`` is cut, while
 it streams, right after a closing row tag into files of about that size. Each piece is wrapped
-in the file's own prologue and root tag and named ``<entry>.<nnnnn>.XML``, so the text before
-the first ``.XML`` (register, date, part) is unchanged. The cut works on bytes, which is exact for
-ASCII-compatible encodings (UTF-8, windows-1251).
+in the file's own prologue and root tag. All entries, cut or not, are named ``<entry>.<nnnnn>.XML``, so the
+text before the first ``.XML`` (register, date, part) is unchanged and a name does not depend on a size. The cut
+works on bytes, with the row tag in the encoding of the XML declaration. An entry that fails (checksum, not
+XML) is reported and leaves no file.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regfold.session import ensure_checkpoint_dir
 from regfold.sources.files import filesystem_for as _fs
 from regfold.sources.xmlsource import ROW_TAG
 
@@ -35,7 +37,6 @@ ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, error STRING"
 EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
 CHUNK = 4 * 1024 * 1024
 SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse task each
-MAX_TASKS = 100_000
 TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction task
 
 
@@ -71,7 +72,7 @@ def _spread(entries: DataFrame) -> DataFrame:
     good = entries.where(F.col("error").isNull())
     # one small aggregate over the entry list (a row per file in the drop)
     n, total = good.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    tasks = max(1, min(n, MAX_TASKS, -(-int(total) // TASK_BYTES)))
+    tasks = max(1, min(n, -(-int(total) // TASK_BYTES)))
     return good.repartitionByRange(tasks, "archive", "entry")
 
 
@@ -93,7 +94,8 @@ def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]
                         opened = (path, raw, zipfile.ZipFile(raw))
                     with opened[2].open(entry) as stream:
                         rows.append((name, entry, *sink(name, entry, stream), None))
-                except Exception as e:  # a damaged entry: report it, keep the others
+                except Exception as e:  # a damaged entry: report it, leave nothing of it, keep the others
+                    sink.undo()
                     rows.append((name, entry, *sink.empty, f"{type(e).__name__}: {e}"))
         finally:
             if opened[1] is not None:
@@ -115,6 +117,9 @@ class _Count:
     columns = ["archive", "entry", "size", "error"]
     empty = (None,)
 
+    def undo(self):
+        pass
+
     def __call__(self, archive, entry, stream):
         n = 0
         while chunk := stream.read(CHUNK):
@@ -122,7 +127,23 @@ class _Count:
         return (n,)
 
 
-_LAST_START_TAG = re.compile(rb"<([A-Za-z_][\w.:-]*)[^>]*>\s*$")
+def piece_name(folder: str, entry: str, number: int) -> str:
+    """Every entry lands under one rule, whatever its size or name: ``<entry>.<nnnnn>.XML``."""
+    return f"{folder}/{entry}.{number:05d}.XML"
+
+
+def _encoding(start: bytes) -> str:
+    """Encoding of the XML declaration (row tags are searched in it), UTF-8 without one."""
+    import codecs
+
+    m = re.search(rb"""^[^<]{0,4}<\?xml[^>]*?encoding=["']([\w.:-]+)["']""", start[:400])
+    try:
+        return codecs.lookup(m.group(1).decode()).name if m else "utf-8"
+    except LookupError:
+        return "utf-8"
+
+
+_LAST_START_TAG = re.compile(rb"<([^\s<>/!?][^\s<>/]*)[^>]*>\s*$")
 
 
 class _Write:
@@ -138,9 +159,23 @@ class _Write:
     def __init__(self, out_dir: str, split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG):
         self.out_dir = out_dir
         self.split_bytes = split_bytes
-        self.close_tag = f"</{row_tag}>".encode()
-        self.open_tag = re.compile(rb"<" + re.escape(row_tag.encode()) + rb"[\s>/]")
+        self.row_tag = row_tag
         self.filesystem = None
+        self.open: list = []  # streams and files of the entry at hand
+        self.files: list[str] = []
+
+    def undo(self):
+        """Remove what a failed entry left, so that it contributes no row."""
+        for out in self.open:
+            if not out.closed:
+                out.close()
+        for f in self.files:
+            self.filesystem.delete_file(f)
+
+    def _create(self, target: str):
+        self.files.append(target)
+        self.open.append(self.filesystem.open_output_stream(target))
+        return self.open[-1]
 
     def __call__(self, archive, entry, stream):
         if self.filesystem is None:
@@ -148,16 +183,20 @@ class _Write:
         folder = f"{self.root}/{archive.rsplit('.', 1)[0]}"
         self.filesystem.create_dir(folder, recursive=True)
         base = entry.strip("/").replace("/", "__")  # sub-folders of the archive flattened, kept apart
+        self.open, self.files = [], []
         first = stream.read(CHUNK)
-        m = self.open_tag.search(first)
-        whole = len(first) < CHUNK  # the first read already holds the whole entry
-        if m is None or (whole and len(first) <= self.split_bytes):  # small entry: copy as it is
-            target = f"{folder}/{base}"
-            with self.filesystem.open_output_stream(target) as out:
+        if first.lstrip(b"\xef\xbb\xbf\xff\xfe \t\r\n\0")[:1] != b"<":
+            raise ValueError("not an XML document")
+        tag = self.row_tag.encode(_encoding(first))
+        m = re.search(rb"<" + re.escape(tag) + rb"[\s>/]", first)
+        if m is None:  # no record to cut at: one piece
+            target = piece_name(folder, base, 1)
+            with self._create(target) as out:
                 out.write(first)
                 while chunk := stream.read(CHUNK):
                     out.write(chunk)
             return target, self.filesystem.get_file_info(target).size
+        self.close_tag = b"</" + tag + b">"
         return self._split(folder, base, first, m.start(), stream)
 
     def _split(self, folder, base, first, body_start, stream):
@@ -172,7 +211,7 @@ class _Write:
         while True:
             if out is None:
                 piece += 1
-                out = self.filesystem.open_output_stream(f"{folder}/{base}.{piece:05d}.XML")
+                out = self._create(piece_name(folder, base, piece))
                 out.write(header)
                 written = len(header)
             k = buf.find(tag, max(0, self.split_bytes - len(tag) - written))
@@ -191,13 +230,19 @@ class _Write:
             if not more:
                 out.write(buf)  # the tail holds the root's own closing tag
                 out.close()
-                return f"{folder}/{base}.00001.XML", total + written + len(buf)
+                return piece_name(folder, base, 1), total + written + len(buf)
             buf += more
 
 
+def _listed(spark: SparkSession, archive_dir: str, glob: str) -> DataFrame:
+    """The entry list, staged: every later step reads the same list, and lost executors don't matter."""
+    ensure_checkpoint_dir(spark)
+    return list_entries(spark, archive_dir, glob).checkpoint()
+
+
 def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
     """(archive, entry, size, error): every entry read through and counted, bad ones reported."""
-    entries = list_entries(spark, archive_dir, glob).cache()
+    entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
     return _with_errors(spark, entries, done, ENTRY_SCHEMA)
 
@@ -206,7 +251,7 @@ def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob:
                      split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG) -> DataFrame:
     """Write every entry under ``out_dir/<archive stem>/`` (big ones in pieces); return a report.
     Read the drop with the path ``out_dir/*``."""
-    entries = list_entries(spark, archive_dir, glob).cache()
+    entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Write(out_dir, split_bytes, row_tag)),
                                         EXTRACT_SCHEMA)
     return _with_errors(spark, entries, done, EXTRACT_SCHEMA)

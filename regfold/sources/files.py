@@ -19,3 +19,17 @@ def filesystem_for(path: str):
     if path.startswith("s3a://"):
         path = "s3://" + path[len("s3a://"):]
     return fs.FileSystem.from_uri(path)
+
+
+def folder_exists(path: str) -> bool:
+    import pyarrow.fs as pafs
+
+    filesystem, p = filesystem_for(path)
+    return filesystem.get_file_info(p).type == pafs.FileType.Directory
+
+
+def delete_folder(path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    if folder_exists(path):
+        filesystem, p = filesystem_for(path)
+        filesystem.delete_dir(p)

@@ -26,7 +26,22 @@ def _c(x) -> Column:
 
 def drop_path(base_url, registry, schema_version, load_date) -> Column:
     """S2 + C8: ``<url>/<remote dir>/<dd.MM.yyyy>[_FULL]``."""
-    return join_path(_c(base_url), remote_dir(registry, schema_version), drop_folder(load_date))
+    parts = [_c(base_url), remote_dir(registry, schema_version), drop_folder(load_date)]
+    return F.concat(parts[0], F.lit("/"), parts[1], F.lit("/"), parts[2])  # null if the route is unknown
+
+
+# Character references that links hold: fixed values. The ampersand comes last, so that none is decoded twice.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&"))
+
+
+def attribute(tag, name: str) -> Column:
+    """Value of an attribute of a start tag, in any of the three quoting forms, decoded; null if absent."""
+    start = r"(?is)^<[a-z0-9]+(?:\s+(?!" + name + r"\s*=)[^\s=>\"']+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*\s+" + name
+    value = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    out = F.concat(*[F.regexp_extract(_c(tag), start + value, k) for k in (1, 2, 3)])
+    for ref, char in ENTITIES:
+        out = F.replace(out, F.lit(ref), F.lit(char))
+    return F.when(_c(tag).rlike(start + value), out)
 
 
 def listing_links(pages: DataFrame, html: str = "html", parent: str | None = None,
@@ -37,14 +52,14 @@ def listing_links(pages: DataFrame, html: str = "html", parent: str | None = Non
     column ``parent`` (e.g. the listing's own directory) are dropped.
     """
     extra = [parent] if parent else []
+    tag = r"""(?i)(<a\s(?:[^>"']|"[^"]*"|'[^']*')*>)"""
     anchors = pages.select(*keep, *extra,
-                           F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r"(<a\s[^>]*>)"), 1))
-                           .alias("pos", "anchor"))
+                           F.posexplode(F.regexp_extract_all(F.col(html), F.lit(tag), 1)).alias("pos", "anchor"))
     if link_class:
-        anchors = anchors.where(F.col("anchor").rlike(r'class="([^"]*\s)?' + link_class + r'(\s[^"]*)?"'))
-    href = F.regexp_extract(F.col("anchor"), r'\shref="([^"]*)"', 1)
-    links = anchors.where(F.col("anchor").rlike(r'\shref="')).select(
-        *keep, *extra, F.col("pos").cast("bigint").alias("pos"), href.alias("href"))
+        classes = F.split(attribute("anchor", "class"), r"\s+")
+        anchors = anchors.where(F.array_contains(classes, link_class))
+    links = anchors.select(*keep, *extra, F.col("pos").cast("bigint").alias("pos"),
+                           attribute("anchor", "href").alias("href")).where("href is not null")
     if parent:
         links = links.where(F.col("href") != F.col(parent))
     return links.select(*keep, "pos", "href", base_name("href").alias("file_name"))
@@ -56,10 +71,11 @@ def has_tag(html, tag: str) -> Column:
 
 
 def listing_status(status, html, tag: str | Column = ERROR_TAG) -> Column:
-    """Status <= 200 and no error tag -> found; error tag -> none; status > 200 -> failed."""
+    """Status <= 200 and no error tag -> found; error tag -> none; status > 200, or no status
+    (the request itself failed) -> failed."""
     tag_present = (has_tag(html, tag) if isinstance(tag, str)
                    else F.regexp_like(_c(html), F.concat(F.lit("<"), tag, F.lit(r"[\s>/]"))))
-    return (F.when(_c(status) > 200, F.lit(FAILED))
+    return (F.when(_c(status).isNull() | (_c(status) > 200), F.lit(FAILED))
             .when(tag_present, F.lit(NONE))
             .otherwise(F.lit(FOUND)))
 

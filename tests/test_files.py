@@ -46,7 +46,7 @@ def test_archives_good_and_bad(spark, tmp_path):
 
     out = tmp_path / "xml"
     rep = archive.extract_archives(spark, str(zdir), str(out)).collect()
-    assert sorted(os.listdir(out / "good")) == good
+    assert sorted(os.listdir(out / "good")) == [g + ".00001.XML" for g in good]  # one naming rule
     assert sum(r.error is not None for r in rep) == 1
 
 
@@ -355,3 +355,81 @@ def test_report_marks_mismatch(spark):
                                    "registry STRING, table_name STRING, n_expected BIGINT, n_bad_values BIGINT")
     got = {r.table: r.status for r in check_report(report, checks).collect()}
     assert got == {"ul_info": "mismatch", "ulkvhp": "empty"}
+
+
+def test_damaged_entries_leave_no_rows_at_any_size(spark, tmp_path):
+    """Good, lower-case, damaged (small, and cut into pieces) and odd entries of one archive: the same rows
+    and notices whatever the piece size."""
+    def xml(ids):
+        recs = "".join(f"<Entity><entity_id>{i}</entity_id><s_name>{'n%d' % i}</s_name></Entity>\n" for i in ids)
+        return f"<Entities>\n{recs}</Entities>\n".encode()
+
+    seen = []
+    for split in (10**9, 500):
+        zdir, out = tmp_path / f"zips{split}", str(tmp_path / f"out{split}")
+        zdir.mkdir()
+        with zipfile.ZipFile(zdir / "d.zip", "w", compression=zipfile.ZIP_STORED) as z:
+            z.writestr("X_EGRUL_2022-01-03_1.XML", xml(range(40)))
+            z.writestr("X_EGRUL_2022-01-03_2.xml", xml(range(100, 140)))
+            z.writestr("X_EGRUL_2022-01-03_3.XML", xml(range(200, 240)))
+            z.writestr("readme.XML", xml([300]))
+            z.writestr("notes.txt", "no document")
+        data = (zdir / "d.zip").read_bytes()
+        (zdir / "d.zip").write_bytes(data.replace(b"n239", b"n23X", 1))  # its checksum no longer fits
+        rep = archive.extract_archives(spark, str(zdir), out, split_bytes=split).collect()
+        rows = read_drop(spark, {"new": out + "/*"}, "egrul").collect()
+        seen.append((sorted((r.entry, r.error is None) for r in rep), sorted(
+            (int(r.entity_id), r.src_file, str(r.load_date)) for r in rows)))
+    assert seen[0] == seen[1]
+    failed = {e for e, ok in seen[0][0] if not ok}
+    assert failed == {"X_EGRUL_2022-01-03_3.XML", "notes.txt"}
+    assert [i for i, _, _ in seen[0][1]] == [*range(40), *range(100, 140), 300]
+    assert {d for i, _, d in seen[0][1] if i == 300} == {"None"}
+
+
+def test_whole_entities_and_reruns(spark, tmp_path):
+    """XML without a page gives root rows; a second run of a date replaces slices, report and notices, also
+    of a table that has become empty; an empty landing is a notice; other dates stay on a plain session."""
+    zdir, empty, out = tmp_path / "z", tmp_path / "e", str(tmp_path / "out")
+    zdir.mkdir()
+    empty.mkdir()
+    el = next(s for s in specs_for("egrul") if s.name == "ulstatus_info")
+
+    def run(date, body):
+        _zip(zdir / "d.zip", {f"X_EGRUL_{date}_1.XML": f"<Entities><Entity><entity_id>1</entity_id>{body}</Entity></Entities>"})
+        return daily_run(spark, {"egrul": {"new": str(zdir)}, "egrip": {"new": str(empty)}}, out, date)
+
+    item = f"<{el.element}><{el.fields[0]}>1</{el.fields[0]}></{el.element}>"
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        run("2024-01-29", item)
+        first = run("2024-01-30", item)
+        rows = {r.table: r.n_rows for r in first.report.collect()}
+        assert rows["ul_info"] == 1 and rows["ulstatus_info"] == 1
+        assert [(r.code, r.dir) for r in first.audit.collect()] == [("02", str(empty))]
+        second = run("2024-01-30", "")
+        rows = {r.table: (r.n_rows, r.status) for r in second.report.collect()}
+        assert rows["ul_info"] == (1, "ok") and rows["ulstatus_info"] == (0, "empty")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert spark.read.parquet(os.path.join(out, "_runs")).count() == 100  # two dates, one of them twice
+    assert spark.read.parquet(os.path.join(out, "_audit")).count() == 2
+    assert {str(r.load_date) for r in read_published(spark, out, "egrul", "ulstatus_info").collect()} == {"2024-01-29"}
+
+
+def test_links_in_any_quoting_and_null_status(spark):
+    html = """<A HREF='a.zip?x=1&amp;y=2' CLASS="b DATA">1</A><a class=DATA href=c.zip>2</a><a data-href="no" class='DATA'>3</a>
+              <a title="a > b" class="DATA" href="d.zip">4</a>"""
+    df = spark.createDataFrame([(1, html)], "page_id INT, html STRING")
+    got = [(r.href, r.file_name) for r in landing.listing_links(df, link_class="DATA").orderBy("pos").collect()]
+    assert got == [("a.zip?x=1&y=2", "a.zip?x=1&y=2"), ("c.zip", "c.zip"), ("d.zip", "d.zip")]
+    st = spark.createDataFrame([(None, "<p>")], "status INT, html STRING")
+    assert st.select(landing.listing_status("status", "html").alias("v")).first().v == "failed"
+
+
+def test_rare_table_is_one_file(spark, tmp_path):
+    df = spark.range(0, 400, 1, 40).selectExpr("id", "date'2024-01-30' AS load_date")
+    path = pub.publish(df, str(tmp_path), "egrul", "rare")
+    assert len(glob.glob(path + "/load_date=2024-01-30/*.parquet")) == 1
+    assert spark.read.parquet(path).count() == 400
