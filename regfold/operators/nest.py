@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 # Elements per page: a few hundred KB per nested row at most.
 PAGE_SIZE = 4096
 
+# The children of one key meet its count in this many tasks. Adaptive execution can't split that
+# join by itself: its right side is an aggregate, not a plain shuffle read.
+SALTS = 16
+
 
 def page_of(row_id: Column, n: Column, page_size: int = PAGE_SIZE) -> Column:
     """Page of one child row among ``n`` children of its entity."""
@@ -31,7 +35,9 @@ def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "
     would hand all its pages to one task. Every later aggregation groups by (key, page, ...) and
     so runs without another shuffle.
     """
-    return (children.join(counts, key)
+    salted = children.withColumn("_salt", F.pmod(F.col(row_id), F.lit(SALTS)).cast("int"))
+    spread = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (salted.join(spread, [key, "_salt"]).drop("_salt")
             .withColumn("page", page_of(F.col(row_id), F.col(n), page_size))
             .drop(n)
             .repartition(key, "page"))

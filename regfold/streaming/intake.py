@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+PROGRESS_CONF = "spark.sql.streaming.numRecentProgressUpdates"
+MAX_BATCHES = 100_000
+
+
 def consume_once(spark: SparkSession, src_dir: str, schema: T.StructType, sink_dir: str, checkpoint_dir: str,
                  fmt: str = "parquet", options: dict | None = None, clean_source: str | None = None,
                  max_files_per_trigger: int | None = None, partition_by: tuple[str, ...] = ()) -> dict:
@@ -30,8 +34,16 @@ def consume_once(spark: SparkSession, src_dir: str, schema: T.StructType, sink_d
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(sink_dir)
-    q.awaitTermination()
+    # the row count is the sum over all micro-batches, and Spark keeps the last 100 by default
+    kept = spark.conf.get(PROGRESS_CONF)
+    spark.conf.set(PROGRESS_CONF, MAX_BATCHES)
+    try:
+        q = w.start(sink_dir)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS_CONF, kept)
+    if len(q.recentProgress) >= MAX_BATCHES:
+        raise RuntimeError(f"a pass took {MAX_BATCHES} micro-batches or more: raise max_files_per_trigger")
     rows = sum(_input_rows(p) for p in q.recentProgress)
     return {"id": q.id, "batches": len(q.recentProgress), "rows": rows}
 

@@ -48,3 +48,25 @@ def test_hot_key_results_are_whole(spark, skewed_dir, duck):
         got = project(build_main(spark, skewed_dir, "egrul", page_size=PAGE), spec).toPandas()
         want = con.execute(E.oracle_sql()[key]).df()
         assert digest(got) == digest(want), key
+
+
+def test_hot_key_meets_its_count_in_many_tasks(spark, skewed_dir):
+    """With broadcasts off, the join of children to counts spreads a key over the salts."""
+    from regfold.operators.nest import SALTS, with_pages
+
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        li = spark.read.parquet(f"{skewed_dir}/lineitem.parquet").select(
+            "l_suppkey", F.monotonically_increasing_id().alias("_row_id"))
+        counts = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_n"))
+        paged = with_pages(li, "l_suppkey", counts, page_size=PAGE)
+        plan = paged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [l_suppkey" in plan and "_salt" in plan.split("SortMergeJoin")[1].splitlines()[0]
+        assert paged.count() == li.count() and SALTS > 8
+        assert paged.where("l_suppkey = 1").select("page").distinct().count() > 20
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
