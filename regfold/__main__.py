@@ -29,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--out", required=True, help="root of the published tables")
     d.add_argument("--run-date", required=True, help="yyyy-MM-dd, for the audit")
     d.add_argument("--parallel", type=int, default=8, help="detail tables written at once")
+    d.add_argument("--again", action="store_true", help="load archive entries that earlier runs have loaded, too")
+    d.add_argument("--drops", metavar="DIR", help="also write the run's slices as flat drop files")
+    d.add_argument("--bucket-name", help="passed on in the manifest")
+    d.add_argument("--pilot-name", help="passed on in the manifest")
     r = sub.add_parser("retention", help="drop files at least 21 days old")
     r.add_argument("--names", required=True, help="folder of drop files to check")
     r.add_argument("--now", required=True, help="yyyy-MM-dd HH:mm:ss")
@@ -43,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "daily":
         from regfold.plans.daily import daily_run
 
-        res = daily_run(spark, _archive_dirs(a.archives), a.out, a.run_date, parallel=a.parallel)
+        res = daily_run(spark, _archive_dirs(a.archives), a.out, a.run_date, parallel=a.parallel, once=not a.again,
+                        drop_dir=a.drops, bucket_name=a.bucket_name, pilot_name=a.pilot_name)
         for row in res.report.collect():  # 50 rows: one per table
             print(json.dumps(row.asDict()))
         n_fail = res.audit.count()
@@ -52,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "retention":
         from regfold.plans.publish import expire_drops
 
-        for row in expire_drops(spark, a.names, F.to_timestamp(F.lit(a.now)), delete=a.delete):
+        for row in expire_drops(spark, a.names, F.to_timestamp(F.lit(a.now)),
+                                delete=a.delete).toLocalIterator():
             print(json.dumps({"drop_name": row.drop_name, "age_days": row.age_days, "expired": row.expired,
                               "deleted": bool(a.delete and row.expired)}))
         return 0

@@ -2,7 +2,9 @@
 
 Mirrors the data path of the source's daily job without its scheduler and network clients:
 
-  1. S7   expand every landed archive on the executors; bad archives become audit rows
+  0. S9   compare the archives' entries with the ledger of earlier runs: only dates with an entry not
+          seen before are loaded, each from all of its entries, so a late part never replaces a slice
+  1. S7   expand these entries on the executors; bad archives become audit rows
   2. S8   one XML read per register over all parts and schema versions (U2), explicit schema,
           provenance from file names (registry, schema_version, load_date, is_full, part, src_file)
   3. N3   corrupt records split off into the audit (code 04), bad archives too (code 03)
@@ -10,7 +12,8 @@ Mirrors the data path of the source's daily job without its scheduler and networ
   5. P0   every detail table is a projection of the staged main table, published by date slice
   6. N2   a report row per (registry, table): rows published against rows expected from the
           main table (``ok``, ``empty`` (D7) or ``mismatch``) and the values that did not cast
-          to their type (``n_bad_values``)
+          to their type (``n_bad_values``); and a manifest row per slice published
+  7. S15  on demand, the run's slices once more as flat drop files
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from regfold.functions.dates import is_new_year
 from regfold.functions.names import date_key, file_stem
 from regfold.operators.audit import failure_notices
 from regfold.operators.shapes import table_checks
+from regfold.plans import publish
 from regfold.plans.fanout import fan_out_all, slice_path, stage
 from regfold.plans.specs import REGISTRIES, specs_for, schema_of
 from regfold.session import staging_dir
@@ -104,6 +108,15 @@ def run_report(spark: SparkSession, out_root: str, registry: str, load_dates: li
                       F.when(F.coalesce("n_rows", F.lit(0)) > 0, STATUS_OK).otherwise(STATUS_EMPTY).alias("status"))
 
 
+def read_slices(spark: SparkSession, out_root: str, dates: dict[str, list]) -> DataFrame | None:
+    """The slices of a run's dates in every table of its registers, without the history; None if there are none."""
+    paths = [p for r, ds in dates.items() for d in ds for p in slice_folders(out_root, r, d) if folder_exists(p)]
+    if not paths:
+        return None
+    return (spark.read.option("basePath", out_root).schema("registry STRING, table STRING, load_date DATE, entity_id BIGINT")
+            .parquet(*paths))
+
+
 def check_report(report: DataFrame, checks: DataFrame | None) -> DataFrame:
     """Join the published counts with the expected ones (``table_checks``); a table whose
     published rows differ from the rows its main table holds becomes ``mismatch``."""
@@ -126,28 +139,80 @@ class DailyResult:
     staged: dict
 
 
-AUDIT_DIR = "_audit"     # under the output root: append-only failure notices (N1)
-RUNS_DIR = "_runs"       # under the output root: one report row per table and run (N2)
+# Under the output root, one partition per run date:
+AUDIT_DIR = "_audit"        # failure notices (N1)
+RUNS_DIR = "_runs"          # a report row per table (N2)
+MANIFEST_DIR = "_manifest"  # a row per published slice (N2)
+INTAKE_DIR = "_intake"      # the archive entries loaded (S9)
+
+ENTRY_KEY = ["registry", "schema_version", "archive", "entry", "size", "crc"]
+
+
+def loaded_before(spark: SparkSession, out_root: str, run_date: str) -> DataFrame | None:
+    """Entries that runs of other dates have loaded; None if there are none. A run that is
+    repeated takes its own entries again."""
+    path = os.path.join(out_root, INTAKE_DIR)
+    if not folder_exists(path):
+        return None
+    schema = "registry STRING, schema_version STRING, archive STRING, entry STRING, size BIGINT, crc BIGINT, run_date STRING"
+    return spark.read.schema(schema).parquet(path).where(F.col("run_date") != run_date).select(*ENTRY_KEY).distinct()
+
+
+def entries_to_load(listed: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Of the listed entries (with ``registry``) those of every date that holds a new one, and the unreadable archives.
+
+    A slice is published whole, so a date is loaded from all its entries or not at all.
+    """
+    if before is None:
+        return listed
+    dated = listed.withColumn("_date", F.try_to_date(date_key(file_stem("entry")), "yyyy-MM-dd"))
+    new = dated.where("error is null").join(before, ENTRY_KEY, "left_anti")
+    dates = new.select("registry", "_date").distinct()
+    same = (dated.registry == dates.registry) & dated._date.eqNullSafe(dates._date)
+    good = dated.where("error is null").join(dates, same, "left_semi")
+    return good.unionByName(dated.where("error is not null")).drop("_date")
 
 
 def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_root: str,
-              run_date: str, parallel: int = 8, record: bool = True) -> DailyResult:
+              run_date: str, parallel: int = 8, record: bool = True, once: bool = True,
+              drop_dir: str | None = None, bucket_name: str | None = None,
+              pilot_name: str | None = None) -> DailyResult:
     """``archive_dirs``: {registry: {schema_version: folder of landed zips}}.
 
-    With ``record`` the run's failure notices and report rows are written to ``_audit`` and
-    ``_runs`` under ``out_root``, one partition per run date: running a date again replaces its
+    With ``record`` the run's failure notices, report and manifest rows and the entries it loaded are
+    written under ``out_root``, one partition per run date: running a date again replaces its
     rows. The staged XML and main tables are then dropped (S13); without ``record`` they stay, as the
     report and notices still read them.
+
+    With ``once`` entries that recorded runs of other dates have loaded are not loaded again (S9), unless
+    their date has a new entry; a replaced entry (other size or checksum) is new. The ledger is written
+    last, so a run that fails is repeated in full. ``drop_dir`` takes the run's slices as flat files too
+    (S15); the names go into the manifest.
     """
     run = staging_dir(spark, f"daily-{run_date}")
+    before = loaded_before(spark, out_root, run_date) if once else None
+    run_ts = F.current_timestamp()
 
     def load(registry: str):
-        """Expand, read, stage and split one register; returns (good rows, notices, staged path)."""
-        notices, xml_dirs = [], {}
-        for version, zdir in archive_dirs.get(registry, {}).items():
+        """Expand, read, stage and split one register; returns (good rows, notices, staged path, entries loaded)."""
+        notices, xml_dirs, taken = [], {}, []
+        versions = archive_dirs.get(registry, {})
+        if not versions:
+            return None, notices, None, taken
+        listed = None
+        for version, zdir in versions.items():
+            part = archive.list_entries(spark, zdir).select("*", F.lit(registry).alias("registry"),
+                                                            F.lit(version).alias("schema_version"))
+            listed = part if listed is None else listed.unionByName(part)
+        listed = stage(listed, os.path.join(run, "listed", registry))
+        chosen = stage(entries_to_load(listed, before), os.path.join(run, "chosen", registry))
+        for version, zdir in versions.items():
             xdir = os.path.join(run, "xml", registry, version)
-            rep = stage(archive.extract_archives(spark, zdir, xdir),  # runs the expansion once
+            entries = chosen.where(F.col("schema_version") == version)
+            rep = stage(archive.extract_archives(spark, zdir, xdir, entries=entries),  # runs the expansion once
                         os.path.join(run, "extract", registry, version))
+            taken.append(entries.join(rep.where("error is null").select("archive", "entry"), ["archive", "entry"],
+                                      "left_semi").select(*ENTRY_KEY))
             notices.append(failure_notices(rep.where(F.col("error").isNotNull()), F.lit("03"),
                                            file=F.col("archive"), directory=F.lit(zdir), run_date=F.lit(run_date)))
             if rep.isEmpty():
@@ -156,18 +221,19 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
             if rep.where(F.col("error").isNull()).limit(1).count():
                 xml_dirs[version] = xdir + "/*"  # one folder per archive
         if not xml_dirs:
-            return None, notices, None
+            return None, notices, None, taken
         path = os.path.join(run, "main", registry)
         good, bad = xmlsource.split_errors(stage(read_drop(spark, xml_dirs, registry), path))
         notices.append(failure_notices(bad, F.lit("04"), file=F.col("src_file"), run_date=F.lit(run_date)))
-        return good, notices, path
+        return good, notices, path, taken
 
     # the registers are independent until the fan-out: load them at once
     with ThreadPoolExecutor(max_workers=len(REGISTRIES)) as pool:
         loaded = dict(zip(REGISTRIES, pool.map(load, REGISTRIES)))
-    mains = {r: g for r, (g, _, _) in loaded.items() if g is not None}
-    staged = {r: p for r, (_, _, p) in loaded.items() if p is not None}
-    audits = [n for _, ns, _ in loaded.values() for n in ns]
+    mains = {r: g for r, (g, _, _, _) in loaded.items() if g is not None}
+    staged = {r: p for r, (_, _, p, _) in loaded.items() if p is not None}
+    audits = [n for _, ns, _, _ in loaded.values() for n in ns]
+    taken = [t for _, _, _, ts in loaded.values() for t in ts]
     # the dates of each register's drop: a handful of values
     dates = {r: [row.load_date for row in m.select("load_date").distinct().collect()] for r, m in mains.items()}
     for r, d in dates.items():
@@ -185,9 +251,27 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
         [], "code STRING, subject STRING, message STRING, file STRING, dir STRING, run_date STRING")
     for a in audits[1:]:
         audit = audit.unionByName(a)
+    published = read_slices(spark, out_root, dates)
+    drops = None
+    if drop_dir and published is not None:
+        drops = publish.write_drops(published, drop_dir, run_ts)
     if record:
+        if published is not None:
+            slices = publish.manifest(published, bucket_name, pilot_name)
+            if drops is not None:
+                names = drops.groupBy("registry", "table", "load_date").agg(F.sort_array(F.collect_list("drop_name")).alias("drop_names"))
+                on = [slices[c].eqNullSafe(names[c]) for c in ("registry", "table", "load_date")]
+                slices = slices.join(names, on, "left").select(slices["*"], "drop_names")
+            else:
+                slices = slices.withColumn("drop_names", F.lit(None).cast("array<string>"))
+            record_run(slices, os.path.join(out_root, MANIFEST_DIR), run_date)
         audit = record_run(audit, os.path.join(out_root, AUDIT_DIR), run_date)
         report = record_run(report, os.path.join(out_root, RUNS_DIR), run_date).drop("run_date")
+        if taken:  # last: only a run that got here counts
+            entries = taken[0]
+            for t in taken[1:]:
+                entries = entries.unionByName(t)
+            record_run(entries, os.path.join(out_root, INTAKE_DIR), run_date)
         delete_folder(run)
         staged = {}
     return DailyResult(out_root, report, audit, staged)

@@ -8,7 +8,9 @@ Dates leave as ``yyyy-MM-dd`` strings, so both engines hand over the same Python
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,11 @@ from regfold.operators.merge import merge_by_date, union_parts, with_load_date
 from regfold.operators.shapes import project
 from regfold.plans import publish as pub
 from regfold.plans.fanout import stage
-from regfold.plans.specs import SPEC_BY_NAME, schema_of
+from regfold.plans.oracle import TABLE_SQL
+from regfold.plans.specs import REGISTRIES, SPEC_BY_NAME, SPECS, schema_of
 from regfold.session import apply_runtime_conf, staging_dir
 from regfold.sources import archive, landing, xmlsource
+from regfold.sources.files import filesystem_for
 from regfold.sources.fixtures import build_main
 from regfold.sources.tables import read_table
 from regfold.streaming.intake import consume_once, read_sink
@@ -32,6 +36,7 @@ from regfold.streaming.intake import consume_once, read_sink
 BASE_URL = "https://registry.example"
 RUN_TS = "2024-01-30 12:00:00"        # "now" of retention and the drop index
 LOAD_DATE = "2024-01-30"
+NEXT_DATE = "2024-01-31"
 STATUS_TAGS = ("b", "h2", "footer", "em")
 DROP_PREFIX = "DROP_"
 
@@ -177,10 +182,69 @@ def q_archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = archive.archive_entries(spark, root)
     return entries.where(F.col("error").isNull()).select(
         F.regexp_extract("entry", r"^doc_(\d+)\.txt$", 1).cast("bigint").alias("doc_id"),
-        F.col("size").cast("bigint").alias("n_bytes"))
-
-
-_ARCHIVE_SQL = "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents"
+        F.col("size").cast("bigint").alias("n_bytes"), F.col("md5").alias("content_md5"))
+
+
+_ARCHIVE_SQL = "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, md5(text) AS content_md5 FROM documents"
+
+
+# --- S7-S14, N1-N3, P0: the daily job ---------------------------------------------------------
+
+def _damage(batches):
+    """Flip a byte in the data of every entry of the archives, so that no checksum fits."""
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"], strict=True):
+            data = bytearray(content)
+            for entry in zipfile.ZipFile(io.BytesIO(content)).infolist():
+                names = entry.header_offset + 26  # lengths of name and extra field, then these two
+                sizes = [int.from_bytes(data[k:k + 2], "little") for k in (names, names + 2)]
+                data[names + 4 + sum(sizes) + entry.compress_size // 2] ^= 0xFF
+            filesystem, p = filesystem_for(path)
+            with filesystem.open_output_stream(p) as out:
+                out.write(bytes(data))
+        yield pdf[["path"]]
+
+
+def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
+    """A register's drop: its main table as XML, zipped. Of five entities one lies in an entry with a
+    lower-case name, one in a damaged entry, one in an entry of the next day, one in an entry without a date."""
+    gen, landed = os.path.join(root, "xml", registry), os.path.join(root, "landed", registry)
+    main = build_main(spark, sf_dir, registry).withColumn("kind", F.pmod(F.col("entity_id"), F.lit(5)))
+    xmlsource.write_xml(main, gen, partition_by=("kind",))
+    number = F.monotonically_increasing_id().cast("string")
+    head = F.concat(F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
+    name = (F.when(F.col("kind") == 4, F.concat(F.lit("readme"), number, F.lit(".XML")))
+            .otherwise(F.concat(head, F.lit("_"), number, F.when(F.col("kind") == 1, ".xml").otherwise(".XML"))))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select("kind", name.alias("entry"), "content")
+    archive.zip_partitions(files.where("kind <> 2"), landed, "entry", "content", prefix="good").count()
+    archive.zip_partitions(files.where("kind = 2"), landed, "entry", "content", prefix="damaged").count()
+    damaged = spark.read.format("binaryFile").option("pathGlobFilter", "damaged_*.zip").load(landed)
+    damaged.select("path", "content").mapInPandas(_damage, "path STRING").count()
+    filesystem, p = filesystem_for(os.path.join(landed, "broken.zip"))
+    with filesystem.open_output_stream(p) as out:
+        out.write(b"no archive")
+    return landed
+
+
+def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both registers land as archives (good, damaged and oddly named entries) and go through the daily
+    run; rows of every published table by slice and entity."""
+    from regfold.plans.daily import daily_run
+
+    root = _stage(spark, "daily-drop")
+    out = os.path.join(root, "out")
+    daily_run(spark, {r: {"new": _land(spark, sf_dir, r, root)} for r in REGISTRIES}, out, LOAD_DATE)
+    published = spark.read.schema("registry STRING, table STRING, load_date DATE, entity_id BIGINT").parquet(out)
+    return (published.groupBy("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
+                              "entity_id").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _daily_sql() -> str:
+    parts = [f"SELECT '{s.registry}' AS registry, '{s.name}' AS table_name, entity_id FROM ({TABLE_SQL[s.key]}) t"
+             for s in SPECS]
+    return (f"SELECT registry, table_name, entity_id, count(*) AS n_rows, CASE entity_id % 5 WHEN 3 THEN '{NEXT_DATE}' "
+            f"WHEN 4 THEN NULL ELSE '{LOAD_DATE}' END AS load_date\nFROM (" + "\nUNION ALL\n".join(parts)
+            + ") r\nWHERE entity_id % 5 <> 2 GROUP BY ALL")
 
 
 # --- S8 --------------------------------------------------------------------------------------
@@ -313,48 +377,55 @@ def _published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_publish_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every published row with the slice it lies in."""
     published = _published_orders(spark, sf_dir)
-    return (published.groupBy("registry", F.col("table").alias("table_name"), "load_date")
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select("registry", "table_name", _ds(F.col("load_date")).alias("load_date"), "n_rows"))
+    return published.select("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
+                            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
 _PUBLISH_SQL = """
 SELECT 'egrip' AS registry, 'orders' AS table_name, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS load_date,
-       count(*) AS n_rows
-FROM orders GROUP BY 3
+       o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+FROM orders
 """
 
 
 def q_drop_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published = _published_orders(spark, sf_dir)
-    idx = pub.drop_index(pub.slices(published), F.to_timestamp(F.lit(RUN_TS)))
-    return idx.select("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
-                      "seq", "drop_name")
+    """The slices go out as flat drop files; every drop file read back, under its name, with its slice.
+    A slice of this size is one file."""
+    root = _stage(spark, "drops")
+    idx = pub.write_drops(_published_orders(spark, sf_dir), root, F.to_timestamp(F.lit(RUN_TS)))
+    back = (spark.read.parquet(root).groupBy(F.col("_metadata.file_name").alias("drop_name"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("sum_keys")))
+    return idx.join(back, "drop_name", "full").select(
+        "registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"), "seq", "drop_name",
+        "n_rows", "sum_keys")
 
 
 _DROP_SQL = f"""
-SELECT registry, table_name, load_date, seq,
+SELECT registry, table_name, load_date, seq, n_rows, sum_keys,
        strftime(TIMESTAMP '{RUN_TS}' + seq * INTERVAL 1 SECOND, '%Y-%m-%d_%H-%M-%S') || '.parquet' AS drop_name
 FROM (
-  SELECT registry, table_name, load_date,
+  SELECT registry, table_name, load_date, n_rows, sum_keys,
          CAST(row_number() OVER (ORDER BY registry, table_name, load_date) - 1 AS BIGINT) AS seq
-  FROM (SELECT DISTINCT 'egrip' AS registry, 'orders' AS table_name,
-               strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS load_date FROM orders) s) t
+  FROM (SELECT 'egrip' AS registry, 'orders' AS table_name, count(*) AS n_rows,
+               CAST(sum(o_orderkey) AS BIGINT) AS sum_keys,
+               strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS load_date FROM orders GROUP BY ALL) s) t
 """
 
 
 def q_run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and flags per published slice. File counts depend on the writing tasks, so they are
     checked by the tests, not compared here."""
-    m = pub.manifest(_published_orders(spark, sf_dir))
+    m = pub.manifest(_published_orders(spark, sf_dir), "slices", "registers")
+    flags = [F.concat_ws(",", k).alias(k) if isinstance(v, list) else F.col(k) for k, v in pub.NOTICE_FLAGS]
     return m.select("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
-                    "n_rows", *[k for k, _ in pub.NOTICE_FLAGS])
+                    "n_rows", "bucket_name", "pilot_name", *flags)
 
 
 _MANIFEST_RUN_SQL = """
 SELECT 'egrip' AS registry, 'orders' AS table_name, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS load_date,
-       count(*) AS n_rows, 30 AS mem_limit, true AS s3_clean_if_exist, true AS format_check, true AS hist,
+       count(*) AS n_rows, 'slices' AS bucket_name, 'registers' AS pilot_name, 30 AS mem_limit, true AS s3_clean_if_exist, true AS format_check, true AS hist,
        '.parquet' AS file_mask, 'drp' AS destination
 FROM orders GROUP BY 3
 """
@@ -449,6 +520,7 @@ QUERIES = {
     "landing_status": q_landing_status,
     "file_manifest": q_file_manifest,
     "archive_expand": q_archive_expand,
+    "daily_drop": q_daily_drop,
     "xml_main": q_xml_main,
     "stream_once": q_stream_once,
     "file_names": q_file_names,
@@ -469,6 +541,7 @@ ORACLE = {
     "landing_status": _STATUS_SQL,
     "file_manifest": _MANIFEST_SQL,
     "archive_expand": _ARCHIVE_SQL,
+    "daily_drop": _daily_sql(),
     "xml_main": _XML_SQL,
     "stream_once": _STREAM_SQL,
     "file_names": _NAMES_SQL,

@@ -4,20 +4,26 @@
   dynamic partition overwrite, so publishing a slice twice equals publishing it once (S6, D5).
   The source renames single files to chosen names; here the partition path is the name and
   files are bounded by ``maxRecordsPerFile`` instead of forcing one file (one task) per slice.
-* ``drop_index``: the flat drop-file names of a second publication (S15, C13).
-* ``retention``: which drop files are at least 21 whole days old (S16, F3, C5, C6).
+* ``drop_index``, ``write_drops``: the second publication as flat drop files (S15, C13).
+* ``retention``, ``expire_drops``: drop files at least 21 whole days old go (S16, F3, C5, C6).
 * ``manifest``: one row per published slice with files, rows, bytes and the flags the source
   passes on to the next system (N2).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfold.functions.dates import age_days, is_expired, parse_drop_time
 from regfold.functions.names import PARQUET_EXT, drop_name
 from regfold.plans.fanout import slice_path, write_table
+from regfold.session import ensure_checkpoint_dir
+from regfold.sources.files import copy_file, delete_file
+from regfold.sources.landing import file_manifest
 
 # Flags the source passes on with its success notice (fixed values; not acted on here).
 NOTICE_FLAGS = (
@@ -25,8 +31,8 @@ NOTICE_FLAGS = (
     ("s3_clean_if_exist", True),
     ("format_check", True),
     ("hist", True),
-    ("file_mask", ".parquet"),
-    ("destination", "drp"),
+    ("file_mask", [".parquet"]),
+    ("destination", ["drp"]),
 )
 
 
@@ -56,24 +62,63 @@ def slices(published: DataFrame) -> DataFrame:
                                        F.sum("_bytes").cast("bigint").alias("n_bytes"))
 
 
-def manifest(published: DataFrame) -> DataFrame:
-    """One row per (registry, table, load_date) with rows, files, bytes and the notice flags."""
+def manifest(published: DataFrame, bucket_name: str | None = None, pilot_name: str | None = None) -> DataFrame:
+    """One row per (registry, table, load_date) with rows, files, bytes, the names the caller passes
+    on (where the slices lie, for whom) and the notice flags."""
+    names = [F.lit(bucket_name).cast("string").alias("bucket_name"), F.lit(pilot_name).cast("string").alias("pilot_name")]
     flags = [F.lit(v).alias(k) for k, v in NOTICE_FLAGS]
-    return slices(published).select("registry", "table", "load_date", "n_rows", "n_files", "n_bytes", *flags)
+    return slices(published).select("registry", "table", "load_date", "n_rows", "n_files", "n_bytes", *names, *flags)
+
 
+def slice_files(published: DataFrame) -> DataFrame:
+    """The files of published slices, without empty ones: registry, table, load_date, path."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return published.select("registry", "table", "load_date", path.alias("path")).distinct()
 
-def drop_index(slice_df: DataFrame, run_ts: Column) -> DataFrame:
-    """S15 + C13: a flat drop-file name per slice: run time + the slice's sequence in seconds.
 
-    The sequence is a row number over the slice list, which holds one row per (table, date) of
-    this run: a few thousand rows whatever the data size, so one ordered task is fine.
+def drop_index(files: DataFrame, run_ts: Column) -> DataFrame:
+    """S15 + C13: a flat drop-file name per file (or slice): run time + its sequence in seconds.
+
+    The sequence is a row number over the list of this run's files: a row for each, never the data,
+    so one ordered task is fine.
     """
-    seq = F.row_number().over(Window.orderBy("registry", "table", "load_date")) - 1
-    return (slice_df.select("registry", "table", "load_date")
+    keys = ["registry", "table", "load_date", *(["path"] if "path" in files.columns else [])]
+    seq = F.row_number().over(Window.orderBy(*keys)) - 1
+    return (files.select(*keys)
             .withColumn("seq", seq.cast("bigint"))
             .withColumn("drop_name", drop_name(run_ts, F.col("seq"))))
 
 
+def write_drops(published: DataFrame, drop_dir: str, run_ts: Column) -> DataFrame:
+    """Copy every file of the published slices into one flat folder, named by ``drop_index``.
+
+    Executors stream the files, a row of the index each. The index is checkpointed first, so a retried
+    task writes the same names; a copy lands under a hidden name and is then moved to its own, so a
+    reader never sees half a file. Returns the index.
+    """
+    ensure_checkpoint_dir(published.sparkSession)
+    index = drop_index(slice_files(published), run_ts).checkpoint()
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, name in zip(pdf["path"], pdf["drop_name"], strict=True):
+                copy_file(path, f"{drop_dir.rstrip('/')}/{name}")
+            yield pdf[["drop_name"]]
+
+    copied = _spread_files(index, "drop_name").mapInPandas(copy, "drop_name STRING")
+    copied.agg(F.count(F.lit(1))).collect()  # runs the copies
+    return index
+
+
+# Files handed to one task when copying or deleting them.
+FILES_PER_TASK = 16
+
+
+def _spread_files(files: DataFrame, key: str) -> DataFrame:
+    """A checkpointed list of files in about one partition for each ``FILES_PER_TASK``."""
+    return files.repartition(max(1, -(-files.count() // FILES_PER_TASK)), key)
+
+
 def retention(drops: DataFrame, now: Column, name_col: str = "drop_name") -> DataFrame:
     """S16 + F3: parse each drop name, age it in whole days, mark it expired at >= 21 days.
 
@@ -90,23 +135,24 @@ def retention(drops: DataFrame, now: Column, name_col: str = "drop_name") -> Dat
     )
 
 
-def expire_drops(spark: SparkSession, drop_dir: str, now: Column, delete: bool = False) -> list:
+def expire_drops(spark: SparkSession, drop_dir: str, now: Column, delete: bool = False) -> DataFrame:
     """The drop files in ``drop_dir`` that are expired or unparsable, as rows; with
-    ``delete``, the expired ones are removed.
+    ``delete``, the expired ones are removed by the executors.
 
-    The listing reads metadata only. The rows to act on are a short list (one file per published
-    slice within the retention window), collected before anything is deleted and removed from
-    the driver through ``pyarrow.fs``; unparsable names are never deleted.
+    The listing reads metadata only and is checkpointed before anything goes, so lost executors
+    repeat nothing but deletions (a file already gone is fine). Unparsable names are never deleted.
     """
-    from regfold.sources.files import filesystem_for
-    from regfold.sources.landing import file_manifest
-
+    ensure_checkpoint_dir(spark)
     listed = file_manifest(spark, drop_dir, "*" + PARQUET_EXT).select(
         F.col("file_name").alias("drop_name"), F.concat_ws("/", "dir", "file_name").alias("path"))
-    rows = retention(listed, now).where("expired or unparsable").collect()
+    rows = retention(listed, now).where("expired or unparsable").checkpoint()
     if delete:
-        for row in rows:
-            if row.expired:
-                filesystem, p = filesystem_for(row.path)
-                filesystem.delete_file(p)
+        def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for path in pdf["path"]:
+                    delete_file(path)
+                yield pdf
+
+        gone = rows.where("expired").select("path").checkpoint()
+        _spread_files(gone, "path").mapInPandas(remove, "path STRING").agg(F.count(F.lit(1))).collect()
     return rows

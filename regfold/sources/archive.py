@@ -19,6 +19,7 @@ XML) is reported and leaves no file.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -32,8 +33,8 @@ from regfold.session import ensure_checkpoint_dir
 from regfold.sources.files import filesystem_for as _fs
 from regfold.sources.xmlsource import ROW_TAG
 
-LIST_SCHEMA = "archive STRING, path STRING, entry STRING, size BIGINT, error STRING"
-ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, error STRING"
+LIST_SCHEMA = "archive STRING, path STRING, entry STRING, size BIGINT, crc BIGINT, error STRING"
+ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, md5 STRING, error STRING"
 EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
 CHUNK = 4 * 1024 * 1024
 SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse task each
@@ -43,7 +44,7 @@ TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction
 def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
     """(archive, path, size) of every landed archive; file contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archive_dir)
-            .select(F.col("_metadata.file_name").alias("archive"), F.col("_metadata.file_path").alias("path"),
+            .select(F.col("_metadata.file_name").alias("archive"), "path",  # not _metadata.file_path: it is URL-encoded
                     F.col("_metadata.file_size").alias("size")))
 
 
@@ -54,10 +55,10 @@ def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 filesystem, p = _fs(path)
                 with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                    rows += [(name, path, i.filename, i.file_size, None) for i in z.infolist() if not i.is_dir()]
+                    rows += [(name, path, i.filename, i.file_size, i.CRC, None) for i in z.infolist() if not i.is_dir()]
             except Exception as e:  # not an archive at all: one error row, the others go on
-                rows.append((name, path, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["archive", "path", "entry", "size", "error"])
+                rows.append((name, path, None, None, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["archive", "path", "entry", "size", "crc", "error"])
 
 
 def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
@@ -112,19 +113,20 @@ def _with_errors(spark: SparkSession, entries: DataFrame, done: DataFrame, schem
 
 
 class _Count:
-    """Read an entry to its end (the zip module checks its CRC there) and count the bytes."""
+    """Read an entry to its end (the zip module checks its CRC there); its bytes and their digest."""
 
-    columns = ["archive", "entry", "size", "error"]
-    empty = (None,)
+    columns = ["archive", "entry", "size", "md5", "error"]
+    empty = (None, None)
 
     def undo(self):
         pass
 
     def __call__(self, archive, entry, stream):
-        n = 0
+        n, digest = 0, hashlib.md5()
         while chunk := stream.read(CHUNK):
             n += len(chunk)
-        return (n,)
+            digest.update(chunk)
+        return n, digest.hexdigest()
 
 
 def piece_name(folder: str, entry: str, number: int) -> str:
@@ -241,17 +243,20 @@ def _listed(spark: SparkSession, archive_dir: str, glob: str) -> DataFrame:
 
 
 def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
-    """(archive, entry, size, error): every entry read through and counted, bad ones reported."""
+    """(archive, entry, size, md5, error): every entry read through, bad ones reported."""
     entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
     return _with_errors(spark, entries, done, ENTRY_SCHEMA)
 
 
 def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip",
-                     split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG) -> DataFrame:
+                     split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG,
+                     entries: DataFrame | None = None) -> DataFrame:
     """Write every entry under ``out_dir/<archive stem>/`` (big ones in pieces); return a report.
-    Read the drop with the path ``out_dir/*``."""
-    entries = _listed(spark, archive_dir, glob)
+    Read the drop with the path ``out_dir/*``. ``entries``: some rows of ``list_entries``, staged, in
+    place of all."""
+    if entries is None:
+        entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Write(out_dir, split_bytes, row_tag)),
                                         EXTRACT_SCHEMA)
     return _with_errors(spark, entries, done, EXTRACT_SCHEMA)

@@ -33,3 +33,27 @@ def delete_folder(path: str) -> None:
     if folder_exists(path):
         filesystem, p = filesystem_for(path)
         filesystem.delete_dir(p)
+
+
+def delete_file(path: str) -> None:
+    """Remove a file; one that is gone already (a retried task) is fine."""
+    filesystem, p = filesystem_for(path)
+    try:
+        filesystem.delete_file(p)
+    except FileNotFoundError:
+        pass
+
+
+def copy_file(source: str, target: str) -> None:
+    """Stream a file to ``target`` in chunks. It is written under a hidden name of its own and moved at the end."""
+    import uuid
+
+    source_fs, src = filesystem_for(source)
+    target_fs, dst = filesystem_for(target)
+    folder, name = dst.rsplit("/", 1)
+    target_fs.create_dir(folder, recursive=True)
+    part = f"{folder}/.{name}.{uuid.uuid4().hex[:8]}"
+    with source_fs.open_input_stream(src) as data, target_fs.open_output_stream(part) as out:
+        while chunk := data.read(4 << 20):
+            out.write(chunk)
+    target_fs.move(part, dst)

@@ -89,6 +89,6 @@ def file_manifest(spark: SparkSession, landing_dir: str, glob: str = "*") -> Dat
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
     return df.select(
         F.col("_metadata.file_name").alias("file_name"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1).alias("dir"),
+        F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"),  # _metadata.file_path is URL-encoded
         F.col("_metadata.file_size").cast("bigint").alias("size"),
     )

@@ -433,3 +433,59 @@ def test_rare_table_is_one_file(spark, tmp_path):
     path = pub.publish(df, str(tmp_path), "egrul", "rare")
     assert len(glob.glob(path + "/load_date=2024-01-30/*.parquet")) == 1
     assert spark.read.parquet(path).count() == 400
+
+
+def test_daily_run_takes_entries_once(spark, tmp_path):
+    """A second day loads only dates with a new entry, each from all its entries; a repeated run loads its own again."""
+    zdir, out = tmp_path / "z", str(tmp_path / "out")
+    zdir.mkdir()
+
+    def published():
+        rows = read_published(spark, out, "egrul", "ul_info").collect()
+        return sorted((str(r.load_date), r.entity_id) for r in rows)
+
+    def counts(res):
+        return {r.table: r.n_rows for r in res.report.collect()}["ul_info"]
+
+    _zip(zdir / "a.zip", {"X_EGRUL_2024-01-29_1.XML": ORG_XML.format(a=1, b=2), "X_EGRUL_2024-01-30_1.XML": ORG_XML.format(a=3, b=4)})
+    (zdir / "broken.zip").write_bytes(b"no archive")
+    run = lambda date, **kw: daily_run(spark, {"egrul": {"new": str(zdir)}}, out, date, **kw)
+    assert counts(run("2024-01-30")) == 4
+    first = published()
+    # nothing new: no rows, the broken archive is still reported, slices stay
+    idle = run("2024-01-31")
+    assert counts(idle) == 0 and [r.code for r in idle.audit.collect()] == ["03"] and published() == first
+    # a late part of a date that is out already: the date is loaded whole
+    _zip(zdir / "b.zip", {"X_EGRUL_2024-01-30_2.XML": ORG_XML.format(a=5, b=6)})
+    assert counts(run("2024-02-01")) == 4
+    want = [("2024-01-29", 1), ("2024-01-29", 2), *(("2024-01-30", k) for k in (3, 4, 5, 6))]
+    assert published() == want
+    assert counts(run("2024-02-01")) == 4 and published() == want  # the same run again
+    # a replaced entry is new
+    _zip(zdir / "a.zip", {"X_EGRUL_2024-01-29_1.XML": ORG_XML.format(a=7, b=8), "X_EGRUL_2024-01-30_1.XML": ORG_XML.format(a=3, b=4)})
+    drops = str(tmp_path / "drops")
+    assert counts(run("2024-02-02", drop_dir=drops, bucket_name="store", pilot_name="me")) == 2
+    assert published() == [("2024-01-29", 7), ("2024-01-29", 8), *want[2:]]
+    slices = spark.read.parquet(os.path.join(out, "_manifest")).where("run_date = '2024-02-02' and table = 'ul_info'").collect()
+    assert [(str(r.load_date), r.n_rows, r.bucket_name, r.pilot_name, r.file_mask) for r in slices] == [
+        ("2024-01-29", 2, "store", "me", [".parquet"])]
+    names = [n for r in slices for n in r.drop_names]
+    assert len(names) == 1 and spark.read.parquet(os.path.join(drops, names[0])).count() == 2
+    assert counts(run("2024-02-03", once=False)) == 6
+
+
+def test_drop_files_in_an_odd_folder(spark, tmp_path):
+    """Folder names with spaces and percent signs; a drop file for each file; expired ones go."""
+    df = spark.range(10).selectExpr("id", "date_add(date'2024-01-01', cast(id % 3 as int)) AS load_date")
+    root, drops = str(tmp_path / "out 1+1"), str(tmp_path / "drops 100%")
+    pub.publish(df, root, "egrul", "t")
+    idx = pub.write_drops(pub.read_published(spark, root), drops, F.to_timestamp(F.lit("2024-01-09 11:59:59"))).collect()
+    assert sorted(os.listdir(drops)) == sorted(r.drop_name for r in idx) == [
+        "2024-01-09_11-59-59.parquet", "2024-01-09_12-00-00.parquet", "2024-01-09_12-00-01.parquet"]
+    by_name = {r.drop_name: r for r in idx}
+    for name in os.listdir(drops):
+        ids = {r.id for r in spark.read.parquet(os.path.join(drops, name)).collect()}
+        assert ids == {r.id for r in df.where(F.col("load_date") == F.lit(by_name[name].load_date)).collect()}
+    gone = pub.expire_drops(spark, drops, F.to_timestamp(F.lit("2024-01-30 12:00:00")), delete=True)
+    assert sorted(r.drop_name for r in gone.collect()) == ["2024-01-09_11-59-59.parquet", "2024-01-09_12-00-00.parquet"]
+    assert os.listdir(drops) == ["2024-01-09_12-00-01.parquet"]
