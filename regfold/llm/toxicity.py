@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from regfold.llm.common import factorize, map_batches, portions, prepare
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 TRAIN_ROWS = 50_000
 PRIOR_TOKENS = 20_000.0  # weight of the prior, in tokens
 SIGNIFICANT = 3.0  # z value from which a feature counts as toxic
