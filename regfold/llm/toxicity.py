@@ -172,25 +172,30 @@ def _training_labels(labels: DataFrame, train_rows: int) -> DataFrame:
     return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
 
 
-def _token_scores(counts) -> dict | None:
-    """Log-odds and the constants of the extreme-value law, from at most BUCKETS rows of counts."""
-    total = {k: float(counts[k].sum()) for k in ("n_all", "n_clean", "n_toxic")}
+def _token_scores(counts: DataFrame) -> dict | None:
+    """Log-odds and the constants of the extreme-value law. Only significant slots come to the driver; of the others,
+    which all score ``DRIFT``, their common share is enough."""
+    total = counts.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")]).first()
     if not total["n_clean"] or not total["n_toxic"]:
         return None
-    prior = (counts["n_all"].to_numpy(float) + 0.5) / (total["n_all"] + 0.5 * len(counts)) * PRIOR_TOKENS + 0.5
-    toxic, clean = counts["n_toxic"].to_numpy(float) + prior, counts["n_clean"].to_numpy(float) + prior
-    n_toxic, n_clean = total["n_toxic"] + prior.sum(), total["n_clean"] + prior.sum()
-    odds = np.log(toxic / (n_toxic - toxic)) - np.log(clean / (n_clean - clean))
-    z = odds / np.sqrt(1 / toxic + 1 / clean)
-    score = np.where((z >= SIGNIFICANT) & (odds >= LEAST_ODDS), odds, DRIFT)
-    share = clean / clean.sum()
+    weight = PRIOR_TOKENS + 0.5 * total["n"]  # of the prior over all slots
+    n_toxic, n_clean = total["n_toxic"] + weight, total["n_clean"] + weight
+    prior = (F.col("n_all") + 0.5) / (total["n_all"] + 0.5 * total["n"]) * PRIOR_TOKENS + 0.5
+    rows = counts.select("slot", (F.col("n_toxic") + prior).alias("toxic"), (F.col("n_clean") + prior).alias("clean"))
+    odds = F.ln(F.col("toxic") / (n_toxic - F.col("toxic"))) - F.ln(F.col("clean") / (n_clean - F.col("clean")))
+    rows = rows.withColumn("odds", odds).filter(
+        (F.col("odds") / F.sqrt(1 / F.col("toxic") + 1 / F.col("clean")) >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS))
+    kept = rows.select("slot", "odds", "clean").toPandas().sort_values("slot")
+    score = np.append(kept["odds"].to_numpy(float), DRIFT)
+    share = kept["clean"].to_numpy(float) / n_clean
+    share = np.append(share, 1 - share.sum())
     low, high = 0.0, 50.0  # lambda solves sum share * exp(lambda * score) = 1
-    if (score > 0).any() and (share * score).sum() < 0:
+    if len(kept) and (share * score).sum() < 0:
         for _ in range(100):
             lam = (low + high) / 2
             low, high = (lam, high) if (share * np.exp(np.minimum(lam * score, 700))).sum() < 1 else (low, lam)
     scores = np.full(BUCKETS, DRIFT, dtype=np.float32)
-    scores[counts["slot"].to_numpy()] = score
+    scores[kept["slot"].to_numpy(int)] = score[:-1]
     return {"scores": scores, "lam": max(low, 1e-3), "k": 1.0}
 
 
@@ -204,8 +209,8 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
              .select("doc_id", "toxic").checkpoint())
     marked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left").select("text", "toxic")
     counts = (map_batches(marked, _count, "slot long, n_all long, n_clean long, n_toxic long").groupBy("slot")
-              .agg(*[F.sum(n).alias(n) for n in ("n_all", "n_clean", "n_toxic")]).toPandas().sort_values("slot"))
-    model = _token_scores(counts) if len(counts) else None
+              .agg(*[F.sum(n).alias(n) for n in ("n_all", "n_clean", "n_toxic")]).checkpoint())
+    model = _token_scores(counts)
     kind = dict(docs.dtypes)["doc_id"]
     if model is None:
         n, bad = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
