@@ -56,7 +56,7 @@ def read_drop(spark: SparkSession, xml_dirs: dict[str, str], registry: str) -> D
     """All XML of one register, every schema version (``{version: dir}``), as one main table."""
     schema = xmlsource.string_schema(schema_of(registry))
     # src_file is the archive's entry, whether it was cut or not
-    entry = F.regexp_replace("src_file", r"\.[0-9]{5}\.XML$", "")
+    entry = archive.entry_name("src_file")
     parts = [with_provenance(xmlsource.read_xml(spark, d, schema, corrupt=True).withColumn("src_file", entry),
                              registry, v) for v, d in xml_dirs.items()]
     out = parts[0]
@@ -177,7 +177,7 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
               run_date: str, parallel: int = 8, record: bool = True, once: bool = True,
               drop_dir: str | None = None, bucket_name: str | None = None,
               pilot_name: str | None = None) -> DailyResult:
-    """``archive_dirs``: {registry: {schema_version: folder of landed zips}}.
+    """``archive_dirs``: {registry: {schema_version: folder of landed zips}}; every file there is tried.
 
     With ``record`` the run's failure notices, report and manifest rows and the entries it loaded are
     written under ``out_root``, one partition per run date: running a date again replaces its

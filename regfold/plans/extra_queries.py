@@ -207,16 +207,19 @@ def _damage(batches):
 
 def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
     """A register's drop: its main table as XML, zipped. Of five entities one lies in an entry with a
-    lower-case name, one in a damaged entry, one in an entry of the next day, one in an entry without a date."""
+    lower-case name (in an archive with an upper-case one), one in a damaged entry, one in an entry of the next day that
+    begins with an underscore, one in an entry without a date (in an archive without ending that begins with one)."""
     gen, landed = os.path.join(root, "xml", registry), os.path.join(root, "landed", registry)
     main = build_main(spark, sf_dir, registry).withColumn("kind", F.pmod(F.col("entity_id"), F.lit(5)))
     xmlsource.write_xml(main, gen, partition_by=("kind",))
     number = F.monotonically_increasing_id().cast("string")
-    head = F.concat(F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
+    head = F.concat(F.when(F.col("kind") == 3, "_").otherwise(""), F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
     name = (F.when(F.col("kind") == 4, F.concat(F.lit("readme"), number, F.lit(".XML")))
             .otherwise(F.concat(head, F.lit("_"), number, F.when(F.col("kind") == 1, ".xml").otherwise(".XML"))))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select("kind", name.alias("entry"), "content")
-    archive.zip_partitions(files.where("kind <> 2"), landed, "entry", "content", prefix="good").count()
+    archive.zip_partitions(files.where("kind in (0, 3)"), landed, "entry", "content", prefix="good").count()
+    archive.zip_partitions(files.where("kind = 1"), landed, "entry", "content", prefix="good", ending=".ZIP").count()
+    archive.zip_partitions(files.where("kind = 4"), landed, "entry", "content", prefix="_good", ending="").count()
     archive.zip_partitions(files.where("kind = 2"), landed, "entry", "content", prefix="damaged").count()
     damaged = spark.read.format("binaryFile").option("pathGlobFilter", "damaged_*.zip").load(landed)
     damaged.select("path", "content").mapInPandas(_damage, "path STRING").count()

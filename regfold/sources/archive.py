@@ -12,13 +12,15 @@ archive or entry is ever held whole in memory or passes through the driver.
 The XML source parses one file per task, so an entry larger than ``split_bytes`` is cut, while
 it streams, right after a closing row tag into files of about that size. Each piece is wrapped
 in the file's own prologue and root tag. All entries, cut or not, are named ``<entry>.<nnnnn>.XML``, so the
-text before the first ``.XML`` (register, date, part) is unchanged and a name does not depend on a size. The cut
+text before the first ``.XML`` (register, date, part) is unchanged and a name does not depend on a size; a ``~`` stands
+before names that Spark's readers would skip, and ``entry_name`` takes it off. The cut
 works on bytes, with the row tag in the encoding of the XML declaration. An entry that fails (checksum, not
 XML) is reported and leaves no file.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 import io
 import re
@@ -41,11 +43,17 @@ SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse tas
 TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction task
 
 
-def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
-    """(archive, path, size) of every landed archive; file contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archive_dir)
+def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
+    """(archive, path, size) of every landed file, whatever its name; file contents are not read."""
+    seen = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archive_dir)
             .select(F.col("_metadata.file_name").alias("archive"), "path",  # not _metadata.file_path: it is URL-encoded
                     F.col("_metadata.file_size").alias("size")))
+    # Spark's file sources skip names that begin with _ or . without a word: these few are listed here
+    path = spark._jvm.org.apache.hadoop.fs.Path(archive_dir, "[_.]*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    hidden = [(f.getPath().getName(), f.getPath().toString(), f.getLen()) for f in found if f.isFile()]
+    hidden = [h for h in hidden if fnmatch.fnmatchcase(h[0], glob)]
+    return seen.unionByName(spark.createDataFrame(hidden, "archive STRING, path STRING, size BIGINT")) if hidden else seen
 
 
 def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +69,7 @@ def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["archive", "path", "entry", "size", "crc", "error"])
 
 
-def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
     """One row per archive entry (from the central directories), or per unreadable archive."""
     return list_archives(spark, archive_dir, glob).mapInPandas(_directory, LIST_SCHEMA)
 
@@ -129,9 +137,23 @@ class _Count:
         return n, digest.hexdigest()
 
 
+SHOWN = "~"  # put before names that begin with _ or . (Spark's readers skip those) or with itself
+
+
+def folder_name(archive: str) -> str:
+    """A folder of its own for every archive: the name without ``.zip``, other names whole behind ``SHOWN``."""
+    return archive[:-4] if archive.endswith(".zip") and archive[0] not in f"_.{SHOWN}" else SHOWN + archive
+
+
 def piece_name(folder: str, entry: str, number: int) -> str:
-    """Every entry lands under one rule, whatever its size or name: ``<entry>.<nnnnn>.XML``."""
-    return f"{folder}/{entry}.{number:05d}.XML"
+    """Every entry lands under one rule, whatever its size or name: ``<entry>.<nnnnn>.XML``, behind
+    ``SHOWN`` where Spark would not see it."""
+    return f"{folder}/{SHOWN if entry[:1] in ('_', '.', SHOWN) else ''}{entry}.{number:05d}.XML"
+
+
+def entry_name(piece):
+    """The entry of a piece (column of file names); files that are no pieces keep their names."""
+    return F.regexp_replace(piece, rf"^{SHOWN}?(.*)\.[0-9]{{5}}\.XML$", "$1")
 
 
 def _encoding(start: bytes) -> str:
@@ -149,7 +171,7 @@ _LAST_START_TAG = re.compile(rb"<([^\s<>/!?][^\s<>/]*)[^>]*>\s*$")
 
 
 class _Write:
-    """Stream an entry into ``<root>/<archive stem>/``, cut into pieces above ``split_bytes``.
+    """Stream an entry into ``<root>/<folder_name>/``, cut into pieces above ``split_bytes``.
 
     A folder per archive keeps entries of the same name in two archives apart (a flat extract
     would let one overwrite the other); a retried task rewrites the same files.
@@ -182,7 +204,7 @@ class _Write:
     def __call__(self, archive, entry, stream):
         if self.filesystem is None:
             self.filesystem, self.root = _fs(self.out_dir)
-        folder = f"{self.root}/{archive.rsplit('.', 1)[0]}"
+        folder = f"{self.root}/{folder_name(archive)}"
         self.filesystem.create_dir(folder, recursive=True)
         base = entry.strip("/").replace("/", "__")  # sub-folders of the archive flattened, kept apart
         self.open, self.files = [], []
@@ -242,17 +264,17 @@ def _listed(spark: SparkSession, archive_dir: str, glob: str) -> DataFrame:
     return list_entries(spark, archive_dir, glob).checkpoint()
 
 
-def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*.zip") -> DataFrame:
+def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
     """(archive, entry, size, md5, error): every entry read through, bad ones reported."""
     entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
     return _with_errors(spark, entries, done, ENTRY_SCHEMA)
 
 
-def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*.zip",
+def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*",
                      split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG,
                      entries: DataFrame | None = None) -> DataFrame:
-    """Write every entry under ``out_dir/<archive stem>/`` (big ones in pieces); return a report.
+    """Write every entry under ``out_dir/<folder_name>/`` (big ones in pieces); return a report.
     Read the drop with the path ``out_dir/*``. ``entries``: some rows of ``list_entries``, staged, in
     place of all."""
     if entries is None:
@@ -262,8 +284,9 @@ def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob:
     return _with_errors(spark, entries, done, EXTRACT_SCHEMA)
 
 
-def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop") -> DataFrame:
-    """Pack each partition's rows into one zip ``<prefix>_<partition>.zip`` (entries named by
+def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop",
+                   ending: str = ".zip") -> DataFrame:
+    """Pack each partition's rows into one zip ``<prefix>_<partition><ending>`` (entries named by
     ``name_col``), streamed straight to the output; returns (archive, n_entries).
     Deterministic names: a retried task overwrites its own archive."""
 
@@ -272,7 +295,7 @@ def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str,
 
         filesystem, root = _fs(out_dir)
         filesystem.create_dir(root, recursive=True)
-        name = f"{prefix}_{TaskContext.get().partitionId():05d}.zip"
+        name = f"{prefix}_{TaskContext.get().partitionId():05d}{ending}"
         n = 0
         with filesystem.open_output_stream(f"{root}/{name}") as out, \
                 zipfile.ZipFile(_Unseekable(out), "w", compression=zipfile.ZIP_DEFLATED) as z:

@@ -489,3 +489,28 @@ def test_drop_files_in_an_odd_folder(spark, tmp_path):
     gone = pub.expire_drops(spark, drops, F.to_timestamp(F.lit("2024-01-30 12:00:00")), delete=True)
     assert sorted(r.drop_name for r in gone.collect()) == ["2024-01-09_11-59-59.parquet", "2024-01-09_12-00-00.parquet"]
     assert os.listdir(drops) == ["2024-01-09_12-00-01.parquet"]
+
+
+def test_every_landed_file_and_entry_counts(spark, tmp_path):
+    """Archives and entries of any name are loaded, each archive apart; what is no archive is a notice 03, never 02."""
+    zdir, out = tmp_path / "z", str(tmp_path / "out")
+    zdir.mkdir()
+    xml = lambda k: ORG_XML.format(a=2 * k, b=2 * k + 1)
+    for k, name in enumerate(["a.zip", "a.ZIP", "a", "_a.zip", ".a.zip", "~a.zip"]):
+        _zip(zdir / name, {"X_EGRUL_2024-01-30_1.XML": xml(k)})
+    _zip(zdir / "names.zip", {"_EGRUL_2024-01-30_1.XML": xml(6), "_sub/X_EGRUL_2024-01-30_1.XML": xml(7),
+                              ".EGRUL_2024-01-30_1.XML": xml(8), "~_EGRUL_2024-01-30_1.XML": xml(9)})
+    (zdir / "notes.txt").write_text("no archive")
+    res = daily_run(spark, {"egrul": {"new": str(zdir)}}, out, "2024-01-30")
+    rows = read_published(spark, out, "egrul", "ul_info").collect()
+    assert sorted((str(r.load_date), r.entity_id) for r in rows) == [("2024-01-30", k) for k in range(20)]
+    assert [(r.code, r.file) for r in res.audit.collect()] == [("03", "notes.txt")]
+    xml_dir = str(tmp_path / "xml")
+    archive.extract_archives(spark, str(zdir), xml_dir).collect()
+    names = {r.src_file for r in read_drop(spark, {"new": xml_dir + "/*"}, "egrul").collect()}
+    assert names == {"X_EGRUL_2024-01-30_1.XML", "_EGRUL_2024-01-30_1.XML", "_sub__X_EGRUL_2024-01-30_1.XML",
+                     ".EGRUL_2024-01-30_1.XML", "~_EGRUL_2024-01-30_1.XML"}
+    only = tmp_path / "only"
+    only.mkdir()
+    (only / "X.TXT").write_text("no archive")
+    assert [r.code for r in daily_run(spark, {"egrul": {"new": str(only)}}, out, "2024-01-31").audit.collect()] == ["03"]
