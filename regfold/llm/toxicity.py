@@ -1,9 +1,9 @@
 """Toxic passages as maximum-scoring segments (operator 7).
 
 Features are words and their first characters. Each has a log-odds score, toxic against other labelled
-documents that hold it, under a Dirichlet prior that follows its frequency in the whole corpus. They hash into
-``BUCKETS`` slots, so the model is an array of fixed size. A word scores as its best significant
-feature; all other words carry a small negative drift. In every text all
+documents that hold it, under a Dirichlet prior that follows its frequency in the whole corpus. Counts are kept by
+the feature itself, summed by Spark, so no two features share a score; the model holds the significant ones only.
+A word scores as its best significant feature; all other words carry a small negative drift. In every text all
 maximal scoring segments are found in linear time (Ruzzo and Tompa); a segment's score S over n tokens
 is held against the extreme-value law for chance segments, P = 1 - exp(-K n exp(-lambda S)), and those
 with ``-ln(K n) + lambda S > 0`` are significant. A logistic curve over the best and the summed
@@ -25,13 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regfold.llm.common import factorize, map_batches, portions, prepare
 
-BUCKETS = 1 << 20
 TRAIN_ROWS = 50_000
 PRIOR_TOKENS = 20_000.0  # weight of the prior, in tokens
 SIGNIFICANT = 3.0  # z value from which a feature counts as toxic
@@ -42,15 +40,9 @@ STEMS = (4, 5, 6)  # a word's first characters are features too, for inflected f
 _TOKEN = re.compile(r"\w+")
 
 
-def _word_slots(words) -> np.ndarray:
-    """Per distinct word the slots of its features: the word and its first characters; -1 where there are none."""
-    out = np.full((len(words), 1 + len(STEMS)), -1, dtype=np.int64)
-    for i, w in enumerate(words):
-        out[i, 0] = xxhash.xxh3_64_intdigest(w.encode()) % BUCKETS
-        for j, n in enumerate(STEMS, 1):
-            if len(w) >= n:
-                out[i, j] = xxhash.xxh3_64_intdigest(f"{w[:n]}*".encode()) % BUCKETS
-    return out
+def _word_features(word: str) -> list[str]:
+    """The word and its first characters, these with a ``*``, which no word holds."""
+    return [word, *[f"{word[:n]}*" for n in STEMS if len(word) >= n]]
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,27 +54,29 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents by feature: all (a document counts once for each word of its own), clean and toxic ones."""
-    seen = np.zeros((3, BUCKETS), dtype=np.int64)
     for part in portions(batches):
         ids, uniques, sizes = _tokens([t or "" for t in part.column(0).to_pylist()])
         if not len(ids):
             continue
-        slots = _word_slots(uniques)
+        names: dict[str, int] = {}
+        of_word = np.full((len(uniques), 1 + len(STEMS)), -1, dtype=np.int64)
+        for i, w in enumerate(uniques):
+            for j, f in enumerate(_word_features(w)):
+                of_word[i, j] = names.setdefault(f, len(names))
         toxic = np.array([-1 if v is None else v for v in part.column(1).to_pylist()])
         pairs = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(uniques) + ids)
         doc, word = pairs // len(uniques), pairs % len(uniques)
+        seen = np.zeros((3, len(names)), dtype=np.int64)
+        has = of_word >= 0
         words = np.bincount(word, minlength=len(uniques))
-        for j in range(slots.shape[1]):
-            ok = slots[:, j] >= 0
-            seen[0] += np.bincount(slots[ok, j], words[ok], BUCKETS).astype(np.int64)
+        seen[0] = np.bincount(of_word[has], np.broadcast_to(words[:, None], has.shape)[has], len(names))
         for kind in (0, 1):
             own = toxic[doc] == kind
-            features = slots[word[own]]
-            flat = (doc[own][:, None] * BUCKETS + features)[features >= 0]
-            seen[1 + kind] += np.bincount(np.unique(flat) % BUCKETS, minlength=BUCKETS)
-    used = np.flatnonzero(seen[0])
-    yield pa.record_batch([pa.array(used, pa.int64()), *(pa.array(s[used], pa.int64()) for s in seen)],
-                          names=["slot", "n_all", "n_clean", "n_toxic"])
+            features = of_word[word[own]]
+            flat = (doc[own][:, None] * len(names) + features)[features >= 0]
+            seen[1 + kind] = np.bincount(np.unique(flat) % len(names), minlength=len(names))
+        yield pa.record_batch([pa.array(list(names), pa.string()), *(pa.array(s, pa.int64()) for s in seen)],
+                              names=["feature", "n_all", "n_clean", "n_toxic"])
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -106,8 +100,8 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def _features(texts: list[str], model: dict) -> list[tuple[float, float, list]]:
     """Best and summed normalised score, and the significant segments of each text."""
     ids, uniques, sizes = _tokens(texts)
-    slots = _word_slots(uniques)
-    by_word = np.where(slots >= 0, model["scores"][slots], DRIFT).max(axis=1, initial=DRIFT).astype(np.float64)
+    known = model["scores"]
+    by_word = np.array([max([DRIFT, *[known[f] for f in _word_features(w) if f in known]]) for w in uniques], dtype=np.float64)
     scores = by_word[ids]
     out, at = [], 0
     for n in sizes.tolist():
@@ -173,19 +167,19 @@ def _training_labels(labels: DataFrame, train_rows: int) -> DataFrame:
 
 
 def _token_scores(counts: DataFrame) -> dict | None:
-    """Log-odds and the constants of the extreme-value law. Only significant slots come to the driver; of the others,
+    """Log-odds and the constants of the extreme-value law. Only significant features come to the driver; of the others,
     which all score ``DRIFT``, their common share is enough."""
     total = counts.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")]).first()
     if not total["n_clean"] or not total["n_toxic"]:
         return None
-    weight = PRIOR_TOKENS + 0.5 * total["n"]  # of the prior over all slots
+    weight = PRIOR_TOKENS + 0.5 * total["n"]  # of the prior over all features
     n_toxic, n_clean = total["n_toxic"] + weight, total["n_clean"] + weight
     prior = (F.col("n_all") + 0.5) / (total["n_all"] + 0.5 * total["n"]) * PRIOR_TOKENS + 0.5
-    rows = counts.select("slot", (F.col("n_toxic") + prior).alias("toxic"), (F.col("n_clean") + prior).alias("clean"))
+    rows = counts.select("feature", (F.col("n_toxic") + prior).alias("toxic"), (F.col("n_clean") + prior).alias("clean"))
     odds = F.ln(F.col("toxic") / (n_toxic - F.col("toxic"))) - F.ln(F.col("clean") / (n_clean - F.col("clean")))
     rows = rows.withColumn("odds", odds).filter(
         (F.col("odds") / F.sqrt(1 / F.col("toxic") + 1 / F.col("clean")) >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS))
-    kept = rows.select("slot", "odds", "clean").toPandas().sort_values("slot")
+    kept = rows.select("feature", "odds", "clean").toPandas().sort_values("feature")
     score = np.append(kept["odds"].to_numpy(float), DRIFT)
     share = kept["clean"].to_numpy(float) / n_clean
     share = np.append(share, 1 - share.sum())
@@ -194,9 +188,7 @@ def _token_scores(counts: DataFrame) -> dict | None:
         for _ in range(100):
             lam = (low + high) / 2
             low, high = (lam, high) if (share * np.exp(np.minimum(lam * score, 700))).sum() < 1 else (low, lam)
-    scores = np.full(BUCKETS, DRIFT, dtype=np.float32)
-    scores[kept["slot"].to_numpy(int)] = score[:-1]
-    return {"scores": scores, "lam": max(low, 1e-3), "k": 1.0}
+    return {"scores": dict(zip(kept["feature"], score[:-1].tolist(), strict=True)), "lam": max(low, 1e-3), "k": 1.0}
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -208,7 +200,7 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
              .groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
              .select("doc_id", "toxic").checkpoint())
     marked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left").select("text", "toxic")
-    counts = (map_batches(marked, _count, "slot long, n_all long, n_clean long, n_toxic long").groupBy("slot")
+    counts = (map_batches(marked, _count, "feature string, n_all long, n_clean long, n_toxic long").groupBy("feature")
               .agg(*[F.sum(n).alias(n) for n in ("n_all", "n_clean", "n_toxic")]).checkpoint())
     model = _token_scores(counts)
     kind = dict(docs.dtypes)["doc_id"]

@@ -346,6 +346,17 @@ def test_toxicity_holds_out(spark):
     assert sum(b for a, b in held if not a) / sum(1 - a for a, _ in held) < 0.01
 
 
+def test_features_share_no_counts(spark, monkeypatch):
+    """``dla`` and ``etx`` once shared a slot; only the toxic word of the two may score."""
+    monkeypatch.setattr(toxicity, "PRIOR_TOKENS", 200.0)  # few texts
+    plain = "one two six ten sun sea"
+    docs = [(i, f"{plain} {'dla ' * 3 if i % 2 else 'cat'}") for i in range(400)] + [(1000, f"{plain} etx etx etx"), (1001, f"{plain} dla dla dla")]
+    df = spark.createDataFrame([(i, t + f" n{i}") for i, t in docs], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: len(r["segments"]) for r in rows(toxicity.toxic_scores(df, labels))}
+    assert got[1001] > 0 and got[1000] == 0
+
+
 def test_toxicity_on_odd_rows(spark, edge, none):
     one = spark.createDataFrame([(1, 0, 0), (1, 0, None), (None, 0, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
     out = rows(toxicity.toxic_scores(edge, one))
