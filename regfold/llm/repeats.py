@@ -10,6 +10,10 @@ packed string to the minimiser's bucket. There all windows are sorted and compar
 Windows that repeat inside one portion of a task's input are settled before the shuffle, and only
 the earliest travels, so a passage shared by a third of all documents arrives once per portion.
 
+A bucket with more than ``GROUP_BYTES`` of packed text (a hot phrase in ever different contexts) is never held
+whole: it is read in chunks of that size, each settled alone, and the windows left travel one by one to ``FANOUT``
+sub-buckets by a hash of all their words, which equal windows share; and so on until every group fits.
+
 Cases: null, empty and short texts (fewer than 20 words) keep all their words. Rows with equal
 doc_id and equal text are the same document and get the same result; rows that share a doc_id but
 not the text are ordered by a hash of the text. A null doc_id sorts last. Extra columns are ignored.
@@ -17,6 +21,7 @@ not the text are ordered by a hash of the text. A null doc_id sorts last. Extra
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,19 +31,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfold.llm.common import doc_order, factorize, first_equal, map_batches, portions, rolling_hash, row_groups
+from regfold.llm.common import doc_order, factorize, first_equal, map_batches, portions, rolling_hash
+from regfold.session import staging_dir
 
 WINDOW = 20
 SEED = 4
 BUCKET_BYTES = 4 << 20  # input text for each bucket
 SORT_WINDOWS = 4_000_000  # windows sorted at once; a larger bucket is sorted in several rounds
+GROUP_BYTES = 32 << 20  # packed text of a bucket that is judged at once
+FANOUT = 256  # sub-buckets of a larger one
 
-PACKED = "bucket int, docs binary, hashes binary, starts binary, ends binary, words binary"
+PACKED = "bucket long, docs binary, hashes binary, starts binary, ends binary, words binary"
+JUDGED = "doc long, text_hash long, start int, stop int, " + PACKED  # a range, or windows that travel on
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    kinds = [pa.int32(), *[pa.binary()] * 5]
+    kinds = [pa.int64(), *[pa.binary()] * 5]
     return pa.record_batch([pa.array(c, type=t) for c, t in zip(cols, kinds, strict=True)],
                            names=["bucket", "docs", "hashes", "starts", "ends", "words"])
 
@@ -123,58 +132,102 @@ def _split(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.Rec
         yield _packed(rows)
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: the ranges of words that go, as (doc, text_hash, start, stop)."""
+def _judged(ranges: tuple | None = None, onward: list[tuple] | None = None) -> pa.RecordBatch:
+    """Rows of ``JUDGED``: ranges (doc, text_hash, start, stop), or packed rows."""
+    if onward is None:
+        kinds = [np.int64, np.int64, np.int32, np.int32]
+        cols = [pa.array(np.asarray(c, dtype=t)) for c, t in zip(ranges, kinds, strict=True)]
+        n = len(cols[0])
+        cols += [pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.binary())] * 5]
+    else:
+        n = len(onward)
+        packed = _packed(onward)
+        cols = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())] + packed.columns
+    return pa.record_batch(cols, names=[c.split()[0] for c in JUDGED.split(", ")])
+
+
+def _judge_rows(rows: list[dict], onward: bool, level: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of the windows of ``rows`` that repeat an earlier one there; with ``onward``, the first ones travel on."""
     unzip = zstandard.ZstdDecompressor()
+    numbers: dict[bytes, int] = {}
+    docs, hashes, begins, sizes, id_parts = [], [], [], [], []
+    for row in rows:
+        text = unzip.decompress(row["words"])
+        sizes.append(np.array([r.count(b" ") + 1 for r in text.split(b"\n")], dtype=np.int64))
+        ids, uniques = factorize(text.split())
+        id_parts.append(np.array([numbers.setdefault(w, len(numbers)) for w in uniques], dtype=np.int32)[ids])
+        docs.append(np.frombuffer(row["docs"], dtype=np.int64))
+        hashes.append(np.frombuffer(row["hashes"], dtype=np.int64))
+        begins.append(np.frombuffer(row["starts"], dtype=np.int32))
+    if not docs:
+        return
+    doc, text_hash, begin, size = (np.concatenate(x) for x in (docs, hashes, begins, sizes))
+    ids = np.concatenate(id_parts)
+    at = np.cumsum(size) - size
+    order = np.lexsort((begin, text_hash, doc))
+    n_windows = (size - WINDOW + 1)[order]
+    within = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+    record = np.repeat(order, n_windows)
+    starts = at[record] + within
+    offset = begin[record] + within
+    value = rolling_hash(ids, WINDOW)[starts]
+    rounds = -(-len(starts) // SORT_WINDOWS)
+    gone_parts, first_parts = [], []
+    for r in range(rounds):
+        own = np.flatnonzero(value % np.uint64(rounds) == r) if rounds > 1 else np.arange(len(starts))
+        first = own[first_equal(ids, starts[own], WINDOW, value[own])]
+        a, b = record[first], record[own]
+        later = (doc[a] != doc[b]) | (text_hash[a] != text_hash[b]) | (offset[first] != offset[own])
+        gone_parts.append(own[later])
+        if onward:
+            first_parts.append(own[first == own])
+    gone = np.sort(np.concatenate(gone_parts))
+    if len(gone):
+        owner = np.cumsum(np.append(0, (np.diff(doc[record[gone]]) != 0) | (np.diff(text_hash[record[gone]]) != 0)))
+        heads, stops = _ranges(owner, offset[gone])
+        own = record[gone[heads]]
+        yield _judged((doc[own], text_hash[own], offset[gone[heads]], stops))
+    if onward:
+        zstd = zstandard.ZstdCompressor(level=3)
+        send = np.sort(np.concatenate(first_parts))
+        words = list(numbers)
+        # the same for equal windows in every task, unlike the ids
+        word_hash = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)[ids]
+        value = rolling_hash(word_hash, WINDOW)[starts[send]]
+        digit = ((value >> np.uint64(8 * (level % 8))) % np.uint64(FANOUT)).astype(np.int64)
+        by_digit = np.argsort(digit, kind="stable")
+        bounds = np.searchsorted(digit[by_digit], np.arange(FANOUT + 1))
+        for sub in range(FANOUT):
+            own = send[by_digit[bounds[sub] : bounds[sub + 1]]]
+            if len(own):
+                text = b"\n".join([b" ".join([words[k] for k in ids[s : s + WINDOW].tolist()]) for s in starts[own].tolist()])
+                rec = record[own]
+                yield _judged(onward=[(rows[0]["bucket"] * FANOUT + sub, doc[rec].tobytes(), text_hash[rec].tobytes(),
+                                       offset[own].astype(np.int32).tobytes(), None, zstd.compress(text))])
 
-    def out(doc, text_hash, start, stop) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.asarray(doc, dtype=np.int64)), pa.array(np.asarray(text_hash, dtype=np.int64)),
-                                pa.array(np.asarray(start, dtype=np.int32)), pa.array(np.asarray(stop, dtype=np.int32))],
-                               names=["doc", "text_hash", "start", "stop"])
-
-    for group in row_groups(batches, ["bucket"]):
-        numbers: dict[bytes, int] = {}
-        docs, hashes, begins, sizes, id_parts = [], [], [], [], []
-        for row in group.to_pylist():
-            doc = np.frombuffer(row["docs"], dtype=np.int64)
-            text_hash = np.frombuffer(row["hashes"], dtype=np.int64)
-            start = np.frombuffer(row["starts"], dtype=np.int32)
+
+def _judge(batches: Iterator[pa.RecordBatch], level: int = 0, group_bytes: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Per bucket: the ranges of words that go, and of a bucket above ``group_bytes`` the windows that travel on."""
+    held: list[dict] = []
+    n_held, bucket, large = 0, None, False
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["bucket"] != bucket:
+                yield from _judge_rows(held, large, level)
+                held, n_held, bucket, large = [], 0, row["bucket"], False
             if row["words"] is None:
-                yield out(doc, text_hash, start, np.frombuffer(row["ends"], dtype=np.int32))
+                doc, text_hash = (np.frombuffer(row[c], dtype=np.int64) for c in ("docs", "hashes"))
+                yield _judged((doc, text_hash, *(np.frombuffer(row[c], dtype=np.int32) for c in ("starts", "ends"))))
                 continue
-            text = unzip.decompress(row["words"])
-            sizes.append(np.array([r.count(b" ") + 1 for r in text.split(b"\n")], dtype=np.int64))
-            ids, uniques = factorize(text.split())
-            id_parts.append(np.array([numbers.setdefault(w, len(numbers)) for w in uniques], dtype=np.int32)[ids])
-            docs.append(doc)
-            hashes.append(text_hash)
-            begins.append(start)
-        if not docs:
-            continue
-        doc, text_hash, begin, size = (np.concatenate(x) for x in (docs, hashes, begins, sizes))
-        ids = np.concatenate(id_parts)
-        at = np.cumsum(size) - size
-        order = np.lexsort((begin, text_hash, doc))
-        n_windows = (size - WINDOW + 1)[order]
-        within = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-        record = np.repeat(order, n_windows)
-        starts = at[record] + within
-        offset = begin[record] + within
-        value = rolling_hash(ids, WINDOW)[starts]
-        rounds = -(-len(starts) // SORT_WINDOWS)
-        gone_parts = []
-        for r in range(rounds):
-            own = np.flatnonzero(value % np.uint64(rounds) == r) if rounds > 1 else np.arange(len(starts))
-            first = own[first_equal(ids, starts[own], WINDOW, value[own])]
-            a, b = record[first], record[own]
-            later = (doc[a] != doc[b]) | (text_hash[a] != text_hash[b]) | (offset[first] != offset[own])
-            gone_parts.append(own[later])
-        gone = np.sort(np.concatenate(gone_parts))
-        if len(gone):
-            owner = np.cumsum(np.append(0, (np.diff(doc[record[gone]]) != 0) | (np.diff(text_hash[record[gone]]) != 0)))
-            heads, stops = _ranges(owner, offset[gone])
-            own = record[gone[heads]]
-            yield out(doc[own], text_hash[own], offset[gone[heads]], stops)
+            n = zstandard.frame_content_size(row["words"])
+            if held and n_held + n > group_bytes:
+                large = True
+                yield from _judge_rows(held, large, level)
+                held, n_held = [], 0
+            held.append(row)
+            n_held += n
+    yield from _judge_rows(held, large, level)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +249,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Word ranges to remove: (doc, text_hash, start, stop), not merged across buckets."""
     src = docs.select(doc_order(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("text_hash"),
                       F.col("text").cast("binary").alias("text"))
@@ -204,16 +257,28 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = max(width, -(-total // BUCKET_BYTES))
     packed = map_batches(src, lambda it: _split(it, n_buckets), PACKED)
-    return map_batches(packed.repartition("bucket").sortWithinPartitions("bucket"), _judge,
-                       "doc long, text_hash long, start int, stop int")
+    root, ranges, level = staging_dir(docs.sparkSession, "repeats"), None, 0
+    while True:  # a round more only for buckets that were too large in the last one
+        judged = map_batches(packed.repartition("bucket").sortWithinPartitions("bucket"),
+                             lambda it, k=level: _judge(it, k, group_bytes), JUDGED)
+        path = os.path.join(root, str(level))
+        judged.write.parquet(path)
+        judged = docs.sparkSession.read.schema(JUDGED).parquet(path)
+        found = judged.filter("bucket is null").select("doc", "text_hash", "start", "stop")
+        ranges = found if ranges is None else ranges.unionByName(found)
+        packed = judged.filter("bucket is not null").select(*[c.split()[0] for c in PACKED.split(", ")])
+        level += 1
+        if packed.isEmpty():
+            return ranges
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (kept words joined by one space) for every row."""
-    ranges = (repeated_ranges(docs).groupBy("doc", "text_hash")
+    ranges = (repeated_ranges(docs, group_bytes).groupBy("doc", "text_hash")
               .agg(F.collect_list(F.struct("start", "stop")).alias("ranges")))
+    # the ranges grow with the input: one plan at every size
     src = docs.select("doc_id", F.col("text").cast("binary").alias("text"), doc_order(F.col("doc_id")).alias("doc"),
                       F.xxhash64("text").alias("text_hash"))
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(src.join(ranges, ["doc", "text_hash"], "left").select("doc_id", "text", "ranges"), _cut,
+    return map_batches(src.join(ranges.hint("merge"), ["doc", "text_hash"], "left").select("doc_id", "text", "ranges"), _cut,
                        f"doc_id {kind}, n_words long, n_removed long, kept_text string")

@@ -182,6 +182,33 @@ def test_repeats(spark, monkeypatch, portion):
     assert got == brute_repeats(docs)
 
 
+@pytest.mark.parametrize("group_bytes", [400, 20000])
+def test_repeats_of_a_hot_phrase(spark, group_bytes):
+    """A 4-word phrase in ever different contexts fills one bucket: no group is judged above the limit, results stay."""
+    rng = np.random.default_rng(5)
+    own = [" ".join(f"v{x}" for x in rng.integers(0, 9**6, 20)) for _ in range(60)]
+    docs = {i: f"{own[i]} all rights reserved worldwide {own[-1 - i // 2]}" for i in range(60)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(20)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], sha(r["kept_text"]))
+           for r in rows(repeats.remove_repeats(df, group_bytes=group_bytes))}
+    assert got == brute_repeats(docs) and any(n for _, n, _ in got.values())
+
+
+def test_large_buckets_are_judged_in_chunks(monkeypatch):
+    import pyarrow as pa
+
+    texts = pa.array([f"a{i} b{i} " + "c d e f " * 2 + " ".join(f"g{i}x{j}" for j in range(40)) for i in range(30)])
+    batches = [pa.record_batch([pa.array([i], pa.int64()), pa.array([i], pa.int64()), texts[i:i + 1].cast(pa.binary())],
+                               names=["doc", "text_hash", "text"]) for i in range(30)]
+    packed = [b for one in batches for b in repeats._split(iter([one]), 1)]
+    held, judge = [], repeats._judge_rows
+    monkeypatch.setattr(repeats, "_judge_rows", lambda rows, *a: held.append(len(rows)) or judge(rows, *a))
+    out = pa.Table.from_batches(list(repeats._judge(iter(packed), 0, 2000))).to_pylist()
+    assert max(held) < 10 and sum(held) == 30
+    sent = [r["bucket"] for r in out if r["bucket"] is not None]
+    assert len(set(sent)) > 100 and max(sent) < repeats.FANOUT
+
+
 def test_repeats_on_odd_rows(spark, edge, none):
     got = collections.defaultdict(list)
     for r in rows(repeats.remove_repeats(edge)):
