@@ -258,6 +258,17 @@ def test_quality_bands(spark):
     assert kept[1] == (False, False) and kept[2] == (False, False) and kept[3] == (False, True)
 
 
+def test_quality_limits_are_learned(spark):
+    """The limits are those of the sf0.1 sample; on held-out labels the bands find junk and keep every clean document."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    assert quality.learn_limits(docs, labels) == (quality.LIMITS, quality.CHUNK_LIMITS)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0}
+    left = [(known[r["doc_id"]], r["kept"]) for r in rows(quality.quality(docs)) if r["doc_id"] in known and not r["base_failed"]]
+    junk, clean = ([k for q, k in left if q == v] for v in (0, 1))
+    print("held out: junk", len(junk), "found", junk.count(False), "clean", len(clean), "rejected", clean.count(False))
+    assert junk.count(False) > 0.4 * len(junk) and all(clean) and len(clean) > 600
+
+
 # ---- 5 and 6
 
 def luhn(s):
