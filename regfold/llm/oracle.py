@@ -84,4 +84,45 @@ SELECT doc_id, size, any_value(total) AS source_size, any_value(target) AS targe
 FROM run GROUP BY doc_id, key, size
 """
 
-ORACLE = {"op1_embedding_dedup": OP1, "op3_substring_dedup": OP3, "op8_ngram_jaccard": OP8, "op10_mixing": OP10}
+# A-Z alone are lower-cased, and the ids of null and repeated documents order the rows of a score
+OP12 = r"""
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM terms WHERE len(w) > 0),
+tf AS (
+  SELECT row_no, any_value(doc_id) AS doc_id, term, any_value(n) AS n, count(*)::BIGINT AS tf
+  FROM (SELECT row_no, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM terms) GROUP BY row_no, term),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weights AS (
+  SELECT item_id, term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM asked JOIN df USING (term), total),
+scores AS (
+  SELECT item_id, row_no, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM weights JOIN tf USING (term), total GROUP BY item_id, row_no),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id IS DISTINCT FROM c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE = {"op1_embedding_dedup": OP1, "op3_substring_dedup": OP3, "op8_ngram_jaccard": OP8, "op10_mixing": OP10,
+          "op12_lexical_search": OP12, "op13_top_products": OP13}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfold.llm import embed_dedup, mixing, near_dup, pieces, pii, quality, repeats, secrets, toxicity, url_filter
+from regfold.llm import (embed_dedup, lexical, mixing, near_dup, pieces, pii, quality, repeats, secrets, top_products, toxicity,
+                         url_filter, whitening)
 from regfold.llm.common import table
 from regfold.llm.oracle import ORACLE  # noqa: F401
 from regfold.session import staging_dir
@@ -61,6 +62,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector and component; a deviation beyond a long is null."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "own")
+    return white.select("vec_id", "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "own.whitened", "own.explained", "identity_error")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_embedding_dedup, op2_piece_tokens, op3_substring_dedup, op4_quality, op5_pii, op6_secret_scan, op7_toxicity,
-    op8_ngram_jaccard, op9_url_filter, op10_mixing)}
+    op8_ngram_jaccard, op9_url_filter, op10_mixing, op11_whitening, op12_lexical_search, op13_top_products)}

@@ -72,7 +72,7 @@ def test_matches_sql(spark, duck, key):
 
 
 def test_all_registered():
-    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
