@@ -1,4 +1,4 @@
-"""Failure notices as an append-only audit table, one row per failure.
+"""Failure notices as rows of an audit table, one per failure.
 
 The source mails a notice with a code per failing step and often sends two for one failure (the
 inner one and the one of its exception handler). Here a failure is a row and its notice is a
@@ -33,12 +33,11 @@ def notice_message(code) -> Column:
 
 
 def failure_notices(failures: DataFrame, code, file=None, directory=None, run_date=None,
-                    keep: tuple[str, ...] = ()) -> DataFrame:
+                    keep: tuple[str, ...] = (), offset=None) -> DataFrame:
     """(keep..., code, subject, message, file, dir, run_date) for every failed row."""
-    msg = F.concat_ws("; ", notice_message(code),
-                      F.when(_c(file).isNotNull(), F.concat(F.lit("file: "), _c(file))) if file is not None else F.lit(None),
-                      F.when(_c(directory).isNotNull(), F.concat(F.lit("dir: "), _c(directory)))
-                      if directory is not None else F.lit(None))
+    named = [F.when(_c(c).isNotNull(), F.concat(F.lit(f"{label}: "), _c(c).cast("string"))) if c is not None else F.lit(None)
+             for label, c in (("file", file), ("byte", offset), ("dir", directory))]
+    msg = F.concat_ws("; ", notice_message(code), *named)
     return failures.select(
         *keep,
         _c(code).alias("code"),
@@ -48,8 +47,3 @@ def failure_notices(failures: DataFrame, code, file=None, directory=None, run_da
         (_c(directory) if directory is not None else F.lit(None).cast("string")).alias("dir"),
         (_c(run_date) if run_date is not None else F.current_date()).alias("run_date"),
     )
-
-
-def append_audit(notices: DataFrame, audit_dir: str) -> None:
-    """Append notices to the audit table (Parquet, partitioned by ``run_date``); never rewritten."""
-    notices.write.mode("append").partitionBy("run_date").parquet(audit_dir)

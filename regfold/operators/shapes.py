@@ -120,6 +120,47 @@ def project(main: DataFrame, spec: TableSpec) -> DataFrame:
     return out
 
 
+def _rows_alike(spec: TableSpec) -> tuple:
+    """Tables of one register with equal keys have rows of one type, from elements of one type."""
+    types = tuple(str(field_type(spec.registry, spec, f)) for f in spec.fields)
+    return spec.registry, spec.shape, spec.fields, types
+
+
+def together(specs: list[TableSpec]) -> list[list[TableSpec]]:
+    """Specs in groups that ``project_together`` can build from one scan, the others alone."""
+    groups: dict = {}
+    for s in specs:
+        key = _rows_alike(s) if s.shape in ("O", "N", "P") and not s.keep_missing else (s.name,)
+        groups.setdefault(key, []).append(s)
+    return list(groups.values())
+
+
+def project_together(main: DataFrame, specs: list[TableSpec]) -> DataFrame:
+    """The rows of several tables of one group (``together``) from one scan, told apart by ``table``.
+
+    Every row's elements are listed with their table (P: with their element; the kind decides later) and exploded;
+    an array that several tables share is exploded once.
+    """
+    shape, keep = specs[0].shape, ["entity_id", *_carry(main)]
+    elements = list(dict.fromkeys(s.element for s in specs))
+    name = {s.element: s.name for s in specs}
+    held = [F.when(F.col(e).isNotNull(), F.struct(F.lit(e if shape == "P" else name[e]).alias("table"), F.col(e).alias("value")))
+            for e in elements]
+    some = F.lit(False)
+    for e in elements:
+        some = some | F.col(e).isNotNull()
+    df = main.where(some).select(*_base(main), F.explode(F.array_compact(F.array(*held))).alias("_of"))
+    value = F.col("_of.value")
+    df = df.select(*keep, F.col("_of.table").alias("table"), (value if shape == "O" else F.explode(value)).alias("_x"))
+    x = F.col("_x")
+    if shape == "P":
+        table = F.lit(None).cast("string")
+        for s in specs:
+            table = F.when((F.col("table") == s.element) & (x.getField("kind") == s.kind), s.name).otherwise(table)
+        df = df.withColumn("table", table).where("table is not null")
+    return df.select(*keep, *[_leaf(x, specs[0], n) for n in specs[0].fields], "table")
+
+
 def _missing(main: DataFrame, spec: TableSpec, found: DataFrame) -> DataFrame:
     """One row of nulls per entity (head row) that yielded no row of ``spec``.
 

@@ -21,6 +21,7 @@ from regfold.functions.paths import registry_of_url, route_table
 from regfold.operators.audit import failure_notices
 from regfold.operators.merge import merge_by_date, union_parts, with_load_date
 from regfold.operators.shapes import project
+from regfold.plans import commits
 from regfold.plans import publish as pub
 from regfold.plans.fanout import stage
 from regfold.plans.oracle import TABLE_SQL
@@ -237,7 +238,7 @@ def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, "daily-drop")
     out = os.path.join(root, "out")
     daily_run(spark, {r: {"new": _land(spark, sf_dir, r, root)} for r in REGISTRIES}, out, LOAD_DATE)
-    published = spark.read.schema("registry STRING, table STRING, load_date DATE, entity_id BIGINT").parquet(out)
+    published = commits.read_slices(spark, out, commits.current(out).slices, schema="entity_id BIGINT")
     return (published.groupBy("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
                               "entity_id").agg(F.count(F.lit(1)).alias("n_rows")))
 

@@ -51,23 +51,27 @@ def read_published(spark: SparkSession, out_root: str) -> DataFrame:
     return spark.read.option("basePath", out_root).parquet(out_root)
 
 
-def slices(published: DataFrame) -> DataFrame:
-    """Published slices with their rows, files and bytes: rows are counted per file first
-    (partial aggregation), then files are summed per slice, so no file size counts twice."""
+def slices(published: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Published slices with their rows, files and bytes (and the sum of ``digest``, a decimal as text): rows
+    are counted per file first (partial aggregation), then files are summed per slice, so no file size counts twice."""
     keys = ["registry", "table", "load_date"]
     per_file = (published.groupBy(*keys, F.col("_metadata.file_path").alias("_file"))
-                .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("_metadata.file_size")).alias("_bytes")))
+                .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("_metadata.file_size")).alias("_bytes"),
+                     *([digest.alias("_digest")] if digest is not None else [])))
+    more = [F.sum(F.col("_digest").cast("decimal(38,0)")).cast("string").alias("digest")] if digest is not None else []
     return per_file.groupBy(*keys).agg(F.sum("_rows").cast("bigint").alias("n_rows"),
                                        F.count(F.lit(1)).alias("n_files"),
-                                       F.sum("_bytes").cast("bigint").alias("n_bytes"))
+                                       F.sum("_bytes").cast("bigint").alias("n_bytes"), *more)
 
 
 def manifest(published: DataFrame, bucket_name: str | None = None, pilot_name: str | None = None) -> DataFrame:
-    """One row per (registry, table, load_date) with rows, files, bytes, the names the caller passes
-    on (where the slices lie, for whom) and the notice flags."""
+    """One row per (registry, table, load_date) of published rows, or of their ``slices``, with rows, files, bytes, the
+    names the caller passes on (where the slices lie, for whom) and the notice flags."""
+    checked = published if "n_files" in published.columns else slices(published)
     names = [F.lit(bucket_name).cast("string").alias("bucket_name"), F.lit(pilot_name).cast("string").alias("pilot_name")]
     flags = [F.lit(v).alias(k) for k, v in NOTICE_FLAGS]
-    return slices(published).select("registry", "table", "load_date", "n_rows", "n_files", "n_bytes", *names, *flags)
+    return checked.select("registry", "table", "load_date", "n_rows", "n_files", "n_bytes",
+                          *[c for c in ("digest",) if c in checked.columns], *names, *flags)
 
 
 def slice_files(published: DataFrame) -> DataFrame:

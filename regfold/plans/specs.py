@@ -25,7 +25,7 @@ SCHEMA_VERSIONS = ("new", "old")
 SHAPES = ("S", "O", "N", "NN", "M", "P")
 
 # Columns added to every detail table when the main table came from files.
-PROVENANCE = ("registry", "schema_version", "load_date", "is_full", "part", "src_file")
+PROVENANCE = ("registry", "schema_version", "load_date", "is_full", "part", "src_file", "entry_id")
 
 # Typed document schema of the entrepreneur register (one row per entity page).
 PERSON_DDL = """

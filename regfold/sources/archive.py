@@ -1,21 +1,27 @@
-"""Expand zip archives on the executors; a bad archive is reported and skipped.
+"""Expand zip archives on the executors; a bad archive, entry or record is reported and skipped.
 
 Two steps, both Spark jobs. First every archive's central directory is read (names and sizes
 only; the archive list comes from ``binaryFile`` without its ``content`` column), giving one
-row per entry, or one error row per archive that is not a zip. Then the entry list is
-range-partitioned, so the entries of a big archive spread over many tasks. Each task opens an
+row per entry, or one error row per archive that is not a zip. Then the entries, in order, are cut into tasks of about
+``TASK_BYTES`` uncompressed bytes. Each task opens an
 archive once through ``pyarrow.fs`` (a seekable file on local disk, HDFS or an object store)
 for its run of entries and streams each entry in chunks: to a landing folder for the XML
 reader (``extract_archives``) or through a byte count and CRC check (``archive_entries``). No
 archive or entry is ever held whole in memory or passes through the driver.
 
+Extraction is a commit in two phases. An attempt at an entry writes below ``data/<entry_id>/<attempt>/``, a folder
+that no other entry, retry or speculative copy shares, so nothing that fails can touch what another has written. The report
+row names the attempt, and the report is a table written by Spark's own committer: one attempt of each task gets into
+it. Readers take the rows of committed attempts (``take_committed``). ``entry_id`` is a digest of archive, entry name and
+the number of the entry among those of its name, so no two entries share a folder, whatever their names.
+
 The XML source parses one file per task, so an entry larger than ``split_bytes`` is cut, while
 it streams, right after a closing row tag into files of about that size. Each piece is wrapped
 in the file's own prologue and root tag. All entries, cut or not, are named ``<entry>.<nnnnn>.XML``, so the
 text before the first ``.XML`` (register, date, part) is unchanged and a name does not depend on a size; a ``~`` stands
-before names that Spark's readers would skip, and ``entry_name`` takes it off. The cut
-works on bytes, with the row tag in the encoding of the XML declaration. An entry that fails (checksum, not
-XML) is reported and leaves no file.
+before names that Spark's readers would skip, and ``entry_name`` takes it off. Records that are not well-formed are left out
+and reported with their byte offset (``records``). An entry that fails (checksum, not XML) is reported and
+contributes no row.
 """
 
 from __future__ import annotations
@@ -23,22 +29,26 @@ from __future__ import annotations
 import fnmatch
 import hashlib
 import io
-import re
+import uuid
 import zipfile
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfold.session import ensure_checkpoint_dir
 from regfold.sources.files import filesystem_for as _fs
+from regfold.sources.records import CHUNK, Records
 from regfold.sources.xmlsource import ROW_TAG
 
-LIST_SCHEMA = "archive STRING, path STRING, entry STRING, size BIGINT, crc BIGINT, error STRING"
+LIST_SCHEMA = ("archive STRING, path STRING, entry STRING, copy INT, number INT, entry_id STRING, size BIGINT, crc BIGINT, "
+               "error STRING")
 ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, md5 STRING, error STRING"
-EXTRACT_SCHEMA = "archive STRING, entry STRING, path STRING, size BIGINT, error STRING"
-CHUNK = 4 * 1024 * 1024
+# a row per entry, and one with an offset for every record left out
+EXTRACT_SCHEMA = ("archive STRING, entry STRING, entry_id STRING, attempt STRING, size BIGINT, record_offset BIGINT, "
+                  "error STRING")
 SPLIT_BYTES = 256 * 1024 * 1024   # XML pieces of about this size: one parse task each
 TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction task
 
@@ -62,11 +72,20 @@ def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for name, path in zip(pdf["archive"], pdf["path"]):
             try:
                 filesystem, p = _fs(path)
+                copies: Counter = Counter()  # entries of one name are told apart by their order
+                found = []
                 with filesystem.open_input_file(p) as raw, zipfile.ZipFile(raw) as z:
-                    rows += [(name, path, i.filename, i.file_size, i.CRC, None) for i in z.infolist() if not i.is_dir()]
+                    for number, i in enumerate(z.infolist()):
+                        if not i.is_dir():
+                            copy = copies[i.filename]
+                            copies[i.filename] += 1
+                            own = hashlib.md5(f"{name}\0{i.filename}\0{copy}".encode("utf-8", "surrogateescape")).hexdigest()
+                            found.append((name, path, i.filename, copy, number, own, i.file_size, i.CRC, None))
+                rows += found
             except Exception as e:  # not an archive at all: one error row, the others go on
-                rows.append((name, path, None, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["archive", "path", "entry", "size", "crc", "error"])
+                rows.append((name, path, *[None] * 6, f"{type(e).__name__}: {e}"))
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in LIST_SCHEMA.split(", ")])
+        yield out.astype({c: "Int64" for c in ("copy", "number", "size", "crc")})
 
 
 def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
@@ -75,76 +94,84 @@ def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> Data
 
 
 def _spread(entries: DataFrame) -> DataFrame:
-    """Good entries range-partitioned by (archive, entry) into about one task per
-    ``TASK_BYTES`` of uncompressed data (at most one per entry); each task sees a contiguous run
-    of one archive's entries, so it opens that archive once."""
-    good = entries.where(F.col("error").isNull())
-    # one small aggregate over the entry list (a row per file in the drop)
-    n, total = good.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    tasks = max(1, min(n, -(-int(total) // TASK_BYTES)))
-    return good.repartitionByRange(tasks, "archive", "entry")
-
+    """Good entries in tasks that each begin within one stretch of ``TASK_BYTES`` of the bytes before them, in order
+    of archive and entry: no task gets more than that and its last entry, and each sees a run of an archive's entries, so
+    it opens that archive once.
 
-def _each_entry(batches: Iterator[pd.DataFrame], sink) -> Iterator[pd.DataFrame]:
-    """Hand every assigned entry stream to ``sink(archive, entry, stream)``; archives are opened
+    The byte count before an entry is summed inside of its archive; only the archives' totals meet in one task.
+    """
+    good = entries.where(F.col("error").isNull())
+    totals = good.groupBy("archive").agg(F.sum("size").alias("bytes"))
+    ahead = Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("archive", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("archive").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    placed = good.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(totals, "archive").withColumn(
+        "task", F.floor((F.col("ahead") + F.col("inside")) / TASK_BYTES).cast("int")).drop("ahead", "inside").checkpoint()
+    last = placed.agg(F.max("task")).first()[0]
+    return (placed.repartitionById((last or 0) + 1, "task").sortWithinPartitions("archive", "number").drop("task"))
+
+
+def _each_entry(batches: Iterator[pd.DataFrame], make) -> Iterator[pd.DataFrame]:
+    """Hand the stream of every assigned entry to a sink of its own (``make()``); archives are opened
     once per run of their entries."""
     for pdf in batches:
-        rows = []
-        opened = (None, None, None)
+        rows: list[tuple] = []
+        path, raw, z = None, None, None
         try:
-            for name, path, entry in zip(pdf["archive"], pdf["path"], pdf["entry"]):
+            for e in pdf.itertuples(index=False):
+                sink = make()
                 try:
-                    if opened[0] != path:
-                        if opened[1] is not None:
-                            opened[2].close()
-                            opened[1].close()
-                        filesystem, p = _fs(path)
+                    if path != e.path:
+                        if z is not None:
+                            z.close()
+                            raw.close()
+                        path, raw, z = None, None, None
+                        filesystem, p = _fs(e.path)
                         raw = filesystem.open_input_file(p)
-                        opened = (path, raw, zipfile.ZipFile(raw))
-                    with opened[2].open(entry) as stream:
-                        rows.append((name, entry, *sink(name, entry, stream), None))
-                except Exception as e:  # a damaged entry: report it, leave nothing of it, keep the others
+                        z = zipfile.ZipFile(raw)
+                        path = e.path
+                    with z.open(z.infolist()[int(e.number)]) as stream:
+                        rows += sink.take(e, stream)
+                except Exception as error:  # a damaged entry: report it, leave nothing of it, keep the others
                     sink.undo()
-                    rows.append((name, entry, *sink.empty, f"{type(e).__name__}: {e}"))
+                    rows.append(sink.failed(e, f"{type(error).__name__}: {error}"))
         finally:
-            if opened[1] is not None:
-                opened[2].close()
-                opened[1].close()
-        yield pd.DataFrame(rows, columns=sink.columns)
+            for f in (z, raw):
+                if f is not None:
+                    f.close()
+        columns = make().columns
+        yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns if c in ("size", "record_offset")})
 
 
-def _with_errors(spark: SparkSession, entries: DataFrame, done: DataFrame, schema: str) -> DataFrame:
-    cols = [c.split()[0] for c in schema.split(", ")]
+def _with_errors(entries: DataFrame, done: DataFrame, schema: str) -> DataFrame:
+    kinds = [c.split() for c in schema.split(", ")]
     bad = entries.where(F.col("error").isNotNull()).select(
-        *[F.col(c) if c in ("archive", "error") else F.lit(None).alias(c) for c in cols])
-    return done.unionByName(bad.select(*[F.col(c).cast(t) for c, t in (x.split() for x in schema.split(", "))]))
+        *[(F.col(c) if c in ("archive", "error") else F.lit(None)).cast(t).alias(c) for c, t in kinds])
+    return done.unionByName(bad)
 
 
 class _Count:
     """Read an entry to its end (the zip module checks its CRC there); its bytes and their digest."""
 
     columns = ["archive", "entry", "size", "md5", "error"]
-    empty = (None, None)
 
     def undo(self):
         pass
 
-    def __call__(self, archive, entry, stream):
+    def failed(self, e, error):
+        return e.archive, e.entry, None, None, error
+
+    def take(self, e, stream):
         n, digest = 0, hashlib.md5()
         while chunk := stream.read(CHUNK):
             n += len(chunk)
             digest.update(chunk)
-        return n, digest.hexdigest()
+        return [(e.archive, e.entry, n, digest.hexdigest(), None)]
 
 
 SHOWN = "~"  # put before names that begin with _ or . (Spark's readers skip those) or with itself
 
 
-def folder_name(archive: str) -> str:
-    """A folder of its own for every archive: the name without ``.zip``, other names whole behind ``SHOWN``."""
-    return archive[:-4] if archive.endswith(".zip") and archive[0] not in f"_.{SHOWN}" else SHOWN + archive
-
-
 def piece_name(folder: str, entry: str, number: int) -> str:
     """Every entry lands under one rule, whatever its size or name: ``<entry>.<nnnnn>.XML``, behind
     ``SHOWN`` where Spark would not see it."""
@@ -156,106 +183,77 @@ def entry_name(piece):
     return F.regexp_replace(piece, rf"^{SHOWN}?(.*)\.[0-9]{{5}}\.XML$", "$1")
 
 
-def _encoding(start: bytes) -> str:
-    """Encoding of the XML declaration (row tags are searched in it), UTF-8 without one."""
-    import codecs
-
-    m = re.search(rb"""^[^<]{0,4}<\?xml[^>]*?encoding=["']([\w.:-]+)["']""", start[:400])
-    try:
-        return codecs.lookup(m.group(1).decode()).name if m else "utf-8"
-    except LookupError:
-        return "utf-8"
-
-
-_LAST_START_TAG = re.compile(rb"<([^\s<>/!?][^\s<>/]*)[^>]*>\s*$")
-
-
 class _Write:
-    """Stream an entry into ``<root>/<folder_name>/``, cut into pieces above ``split_bytes``.
-
-    A folder per archive keeps entries of the same name in two archives apart (a flat extract
-    would let one overwrite the other); a retried task rewrites the same files.
-    """
+    """Stream one entry into ``<root>/data/<entry_id>/<attempt>/``, cut into pieces above ``split_bytes``."""
 
-    columns = ["archive", "entry", "path", "size", "error"]
-    empty = (None, None)
+    columns = [c.split()[0] for c in EXTRACT_SCHEMA.split(", ")]
 
     def __init__(self, out_dir: str, split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG):
-        self.out_dir = out_dir
-        self.split_bytes = split_bytes
-        self.row_tag = row_tag
-        self.filesystem = None
-        self.open: list = []  # streams and files of the entry at hand
-        self.files: list[str] = []
+        self.out_dir, self.split_bytes, self.row_tag = out_dir, split_bytes, row_tag
+        self.attempt = uuid.uuid4().hex
+        self.filesystem = self.folder = self.out = None
+
+    def failed(self, e, error):
+        return e.archive, e.entry, e.entry_id, None, None, None, error
 
     def undo(self):
-        """Remove what a failed entry left, so that it contributes no row."""
-        for out in self.open:
-            if not out.closed:
-                out.close()
-        for f in self.files:
-            self.filesystem.delete_file(f)
-
-    def _create(self, target: str):
-        self.files.append(target)
-        self.open.append(self.filesystem.open_output_stream(target))
-        return self.open[-1]
-
-    def __call__(self, archive, entry, stream):
-        if self.filesystem is None:
-            self.filesystem, self.root = _fs(self.out_dir)
-        folder = f"{self.root}/{folder_name(archive)}"
-        self.filesystem.create_dir(folder, recursive=True)
-        base = entry.strip("/").replace("/", "__")  # sub-folders of the archive flattened, kept apart
-        self.open, self.files = [], []
+        """Remove what this attempt wrote. No one reads it without a report row that names it, so leftovers do no harm."""
+        if self.out is not None and not self.out.closed:
+            self.out.close()
+        if self.folder is not None:
+            try:
+                self.filesystem.delete_dir(self.folder)
+            except OSError:
+                pass
+
+    def take(self, e, stream):
         first = stream.read(CHUNK)
         if first.lstrip(b"\xef\xbb\xbf\xff\xfe \t\r\n\0")[:1] != b"<":
             raise ValueError("not an XML document")
-        tag = self.row_tag.encode(_encoding(first))
-        m = re.search(rb"<" + re.escape(tag) + rb"[\s>/]", first)
-        if m is None:  # no record to cut at: one piece
-            target = piece_name(folder, base, 1)
-            with self._create(target) as out:
+        self.filesystem, root = _fs(self.out_dir)
+        self.folder = f"{root}/data/{e.entry_id}/{self.attempt}"
+        self.filesystem.create_dir(self.folder, recursive=True)
+        base = e.entry.strip("/").replace("/", "__")  # sub-folders of the archive flattened
+        cut = Records(first, lambda: stream.read(CHUNK), self.row_tag)
+        if not cut.found:  # one piece as it is
+            with self._open(base, 1) as out:
                 out.write(first)
+                n = len(first)
                 while chunk := stream.read(CHUNK):
-                    out.write(chunk)
-            return target, self.filesystem.get_file_info(target).size
-        self.close_tag = b"</" + tag + b">"
-        return self._split(folder, base, first, m.start(), stream)
-
-    def _split(self, folder, base, first, body_start, stream):
-        """Write pieces: each is cut after the first closing row tag that ends at or beyond
-        ``split_bytes``. Memory stays at one read plus a tag's length."""
-        header = first[:body_start]
-        root = _LAST_START_TAG.search(header)
-        trailer = b"</" + root.group(1) + b">\n" if root else b""
-        tag, keep = self.close_tag, len(self.close_tag) - 1
-        piece, written, total, out = 0, 0, 0, None
-        buf = first[body_start:]
-        while True:
-            if out is None:
-                piece += 1
-                out = self._create(piece_name(folder, base, piece))
-                out.write(header)
-                written = len(header)
-            k = buf.find(tag, max(0, self.split_bytes - len(tag) - written))
-            if k >= 0:  # this record ends at or beyond the target size: close the piece here
-                cut = k + len(tag)
-                out.write(buf[:cut])
-                out.write(trailer)
-                out.close()
-                total, out, buf = total + written + cut, None, buf[cut:]
+                    n += out.write(chunk)
+            return [(e.archive, e.entry, e.entry_id, self.attempt, n, None, None)]
+        bad, n = [], 0
+        piece, written = 0, 0
+        for run, offset, error in cut.runs():
+            if run is None:
+                bad.append((e.archive, e.entry, e.entry_id, self.attempt, None, offset, error))
                 continue
-            if len(buf) > keep:  # nothing to cut yet: write all but a possible partial tag
-                out.write(buf[:-keep])
-                written += len(buf) - keep
-                buf = buf[-keep:]
-            more = stream.read(CHUNK)
-            if not more:
-                out.write(buf)  # the tail holds the root's own closing tag
-                out.close()
-                return piece_name(folder, base, 1), total + written + len(buf)
-            buf += more
+            n += len(run)
+            while run:
+                if self.out is None:
+                    piece += 1
+                    self.out = self._open(base, piece)
+                    self.out.write(cut.header)
+                    written = len(cut.header)
+                # after the first record that ends at or beyond the target size
+                k = run.find(cut.end_tag, max(0, self.split_bytes - len(cut.end_tag) - written))
+                k = k + len(cut.end_tag) if k >= 0 else len(run)
+                self.out.write(run[:k])
+                written += k
+                run = run[k:]
+                if written >= self.split_bytes:
+                    self._end(cut.trailer)
+        if self.out is not None:
+            self._end(cut.trailer)
+        return [(e.archive, e.entry, e.entry_id, self.attempt, n, None, None), *bad]
+
+    def _open(self, base: str, number: int):
+        return self.filesystem.open_output_stream(piece_name(self.folder, base, number))
+
+    def _end(self, trailer: bytes) -> None:
+        self.out.write(trailer)
+        self.out.close()
+        self.out = None
 
 
 def _listed(spark: SparkSession, archive_dir: str, glob: str) -> DataFrame:
@@ -267,21 +265,37 @@ def _listed(spark: SparkSession, archive_dir: str, glob: str) -> DataFrame:
 def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
     """(archive, entry, size, md5, error): every entry read through, bad ones reported."""
     entries = _listed(spark, archive_dir, glob)
-    done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count()), ENTRY_SCHEMA)
-    return _with_errors(spark, entries, done, ENTRY_SCHEMA)
+    done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Count), ENTRY_SCHEMA)
+    return _with_errors(entries, done, ENTRY_SCHEMA)
 
 
 def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*",
                      split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG,
                      entries: DataFrame | None = None) -> DataFrame:
-    """Write every entry under ``out_dir/<folder_name>/`` (big ones in pieces); return a report.
-    Read the drop with the path ``out_dir/*``. ``entries``: some rows of ``list_entries``, staged, in
-    place of all."""
+    """Write every entry below ``out_dir`` (big ones in pieces) and return the committed report, which is kept there too.
+    ``entries``: some rows of ``list_entries``, staged, in place of all."""
+    ensure_checkpoint_dir(spark)
     if entries is None:
         entries = _listed(spark, archive_dir, glob)
-    done = _spread(entries).mapInPandas(lambda it: _each_entry(it, _Write(out_dir, split_bytes, row_tag)),
-                                        EXTRACT_SCHEMA)
-    return _with_errors(spark, entries, done, EXTRACT_SCHEMA)
+    done = _spread(entries).mapInPandas(
+        lambda it: _each_entry(it, lambda: _Write(out_dir, split_bytes, row_tag)), EXTRACT_SCHEMA)
+    path = f"{out_dir.rstrip('/')}/report"
+    _with_errors(entries, done, EXTRACT_SCHEMA).write.mode("overwrite").parquet(path)  # runs the expansion, commits it
+    return spark.read.schema(EXTRACT_SCHEMA).parquet(path)
+
+
+def data_path(out_dir: str) -> str:
+    """What an XML reader loads: the pieces of all attempts (see ``take_committed``)."""
+    return f"{out_dir.rstrip('/')}/data/*/*"
+
+
+def take_committed(rows: DataFrame, out_dir: str, path_col: str) -> DataFrame:
+    """The rows read from committed attempts, with ``entry_id`` in place of ``path_col``."""
+    report = rows.sparkSession.read.schema(EXTRACT_SCHEMA).parquet(f"{out_dir.rstrip('/')}/report")
+    committed = report.where("error is null").select("entry_id", "attempt")
+    parts = F.split(path_col, "/")
+    placed = rows.withColumns({"entry_id": F.element_at(parts, -3), "attempt": F.element_at(parts, -2)})
+    return placed.join(committed, ["entry_id", "attempt"], "left_semi").drop("attempt", path_col)
 
 
 def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop",

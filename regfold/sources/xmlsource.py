@@ -4,7 +4,8 @@ All files of a drop are one read with an explicit schema (never inferred): every
 string (D1), and the detail specs ``try_cast`` them. The XML source parses a file in one task
 (``multiLine`` must stay on: line mode loses records), so parallelism comes from the number of
 files. A record that fails to parse lands in ``_corrupt_record``; the other records of the file
-stay (a truncated tail costs one row; broken markup inside a file costs the rest of that file).
+stay (a truncated tail costs one row; broken markup inside a file costs the rest of that file, so archives' entries
+are checked record by record on their way out, see ``records``).
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ def write_xml(df: DataFrame, path: str, row_tag: str = ROW_TAG, root_tag: str =
 
 
 def read_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str = ROW_TAG,
-             glob: str | None = None, corrupt: bool = False, charset: str | None = None) -> DataFrame:
-    """One read of every XML file under ``path`` with an explicit schema, plus ``src_file``.
+             glob: str | None = None, corrupt: bool = False, charset: str | None = None,
+             path_col: str | None = None) -> DataFrame:
+    """One read of every XML file under ``path`` with an explicit schema, plus ``src_file`` (and the whole path as ``path_col``).
 
     ``corrupt=True`` adds ``_corrupt_record`` (PERMISSIVE); otherwise malformed records fail the
     job (FAILFAST), so bad input is never silently dropped.
@@ -52,7 +54,8 @@ def read_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str
         r = r.option("pathGlobFilter", glob)
     if charset:
         r = r.option("charset", charset)
-    return r.load(path).withColumn("src_file", F.col("_metadata.file_name"))
+    out = r.load(path).withColumn("src_file", F.col("_metadata.file_name"))
+    return out.withColumn(path_col, F.col("_metadata.file_path")) if path_col else out
 
 
 def bad_values(df: DataFrame, typed: T.StructType) -> F.Column:

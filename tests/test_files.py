@@ -11,7 +11,8 @@ from conftest import SF_SMALL, digest
 from regfold.operators.merge import merge_by_date, union_parts, with_load_date
 from regfold.operators.shapes import project
 from regfold.plans import publish as pub
-from regfold.plans.daily import daily_run, read_drop, run_report
+from regfold.plans import commits
+from regfold.plans.daily import daily_run, read_drop, run_report, slice_checks
 from regfold.plans.fanout import read_published
 from regfold.plans.specs import SPEC_BY_NAME, specs_for
 from regfold.sources import archive, landing, xmlsource
@@ -46,7 +47,8 @@ def test_archives_good_and_bad(spark, tmp_path):
 
     out = tmp_path / "xml"
     rep = archive.extract_archives(spark, str(zdir), str(out)).collect()
-    assert sorted(os.listdir(out / "good")) == [g + ".00001.XML" for g in good]  # one naming rule
+    pieces = sorted(os.path.basename(f) for f in glob.glob(str(out / "data" / "*" / "*" / "*.XML")))
+    assert pieces == [g + ".00001.XML" for g in good]  # one naming rule
     assert sum(r.error is not None for r in rep) == 1
 
 
@@ -183,7 +185,8 @@ def test_landing_listing_with_class_and_parent(spark):
 
 
 def test_empty_drop_reports_empty(spark, tmp_path):
-    rep = run_report(spark, str(tmp_path / "nothing"), "egrip").collect()
+    assert slice_checks(spark, str(tmp_path / "nothing"), {"egrip": {"2024-01-30": "x"}}) is None
+    rep = run_report(spark, "egrip", None).collect()
     assert len(rep) == 15 and all(r.status == "empty" and r.n_rows == 0 for r in rep)
 
 
@@ -243,7 +246,7 @@ def test_same_entry_name_in_two_archives_kept_apart(spark, tmp_path):
     _zip(zdir / "b.zip", {"X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=3, b=4)})
     out = tmp_path / "xml"
     archive.extract_archives(spark, str(zdir), str(out)).collect()
-    df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+    df = read_drop(spark, {"new": str(out)}, "egrul", extracted=True)
     assert sorted(int(r.entity_id) for r in df.collect()) == [1, 2, 3, 4]
 
 
@@ -273,9 +276,9 @@ def test_big_xml_entries_are_cut_at_record_ends(spark, tmp_path):
             z.writestr("X_EGRUL_2022-01-03_7.XML", text.encode(enc))
         out = tmp_path / enc / "xml"
         archive.extract_archives(spark, str(zdir), str(out), split_bytes=2000).collect()
-        pieces = sorted(os.listdir(out / "d"))
+        pieces = sorted(os.path.basename(f) for f in glob.glob(str(out / "data" / "*" / "*" / "*.XML")))
         assert len(pieces) > 5 and pieces[0] == "X_EGRUL_2022-01-03_7.XML.00001.XML"
-        df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+        df = read_drop(spark, {"new": str(out)}, "egrul", extracted=True)
         rows = df.collect()
         assert sorted(int(r.entity_id) for r in rows) == list(range(300))
         assert {r.s_name for r in rows if r.entity_id == "5"} == {"Орг 5"}
@@ -301,7 +304,7 @@ def test_entries_in_archive_subfolders_kept_apart(spark, tmp_path):
                           "two/X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=3, b=4)})
     out = tmp_path / "xml"
     archive.extract_archives(spark, str(zdir), str(out)).collect()
-    df = read_drop(spark, {"new": str(out) + "/*"}, "egrul")
+    df = read_drop(spark, {"new": str(out)}, "egrul", extracted=True)
     rows = df.collect()
     assert sorted(int(r.entity_id) for r in rows) == [1, 2, 3, 4]
     assert {(str(r.load_date), r.part) for r in rows} == {("2022-01-01", "1")}
@@ -349,12 +352,17 @@ def test_daily_run_with_nothing_usable(spark, tmp_path):
 def test_report_marks_mismatch(spark):
     from regfold.plans.daily import check_report
 
-    report = spark.createDataFrame([("egrul", "ul_info", 10, "ok"), ("egrul", "ulkvhp", 0, "empty")],
-                                   "registry STRING, table STRING, n_rows BIGINT, status STRING")
+    report = spark.createDataFrame([("egrul", "ul_info", 10, "ok", "7"), ("egrul", "ulkvhp", 0, "empty", "0")],
+                                   "registry STRING, table STRING, n_rows BIGINT, status STRING, digest STRING")
     checks = spark.createDataFrame([("egrul", "ul_info", 11, 0), ("egrul", "ulkvhp", 0, 0)],
                                    "registry STRING, table_name STRING, n_expected BIGINT, n_bad_values BIGINT")
     got = {r.table: r.status for r in check_report(report, checks).collect()}
     assert got == {"ul_info": "mismatch", "ulkvhp": "empty"}
+    checks = checks.withColumn("n_expected", F.when(F.col("table_name") == "ul_info", 10).otherwise(0))
+    for own, status in (("7", "ok"), ("8", "mismatch")):
+        written = spark.createDataFrame([("egrul", "ul_info", 10, own)],
+                                        "registry STRING, table STRING, rows_written BIGINT, digest_written STRING")
+        assert {r.table: r.status for r in check_report(report, checks, written).collect()} == {"ul_info": status, "ulkvhp": "empty"}
 
 
 def test_damaged_entries_leave_no_rows_at_any_size(spark, tmp_path):
@@ -377,7 +385,7 @@ def test_damaged_entries_leave_no_rows_at_any_size(spark, tmp_path):
         data = (zdir / "d.zip").read_bytes()
         (zdir / "d.zip").write_bytes(data.replace(b"n239", b"n23X", 1))  # its checksum no longer fits
         rep = archive.extract_archives(spark, str(zdir), out, split_bytes=split).collect()
-        rows = read_drop(spark, {"new": out + "/*"}, "egrul").collect()
+        rows = read_drop(spark, {"new": out}, "egrul", extracted=True).collect()
         seen.append((sorted((r.entry, r.error is None) for r in rep), sorted(
             (int(r.entity_id), r.src_file, str(r.load_date)) for r in rows)))
     assert seen[0] == seen[1]
@@ -455,7 +463,7 @@ def test_daily_run_takes_entries_once(spark, tmp_path):
     # nothing new: no rows, the broken archive is still reported, slices stay
     idle = run("2024-01-31")
     assert counts(idle) == 0 and [r.code for r in idle.audit.collect()] == ["03"] and published() == first
-    # a late part of a date that is out already: the date is loaded whole
+    # a late part of a date that is out already: its rows join those of the date
     _zip(zdir / "b.zip", {"X_EGRUL_2024-01-30_2.XML": ORG_XML.format(a=5, b=6)})
     assert counts(run("2024-02-01")) == 4
     want = [("2024-01-29", 1), ("2024-01-29", 2), *(("2024-01-30", k) for k in (3, 4, 5, 6))]
@@ -507,7 +515,7 @@ def test_every_landed_file_and_entry_counts(spark, tmp_path):
     assert [(r.code, r.file) for r in res.audit.collect()] == [("03", "notes.txt")]
     xml_dir = str(tmp_path / "xml")
     archive.extract_archives(spark, str(zdir), xml_dir).collect()
-    names = {r.src_file for r in read_drop(spark, {"new": xml_dir + "/*"}, "egrul").collect()}
+    names = {r.src_file for r in read_drop(spark, {"new": xml_dir}, "egrul", extracted=True).collect()}
     assert names == {"X_EGRUL_2024-01-30_1.XML", "_EGRUL_2024-01-30_1.XML", "_sub__X_EGRUL_2024-01-30_1.XML",
                      ".EGRUL_2024-01-30_1.XML", "~_EGRUL_2024-01-30_1.XML"}
     only = tmp_path / "only"
