@@ -87,7 +87,7 @@ def _found(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in status or []]
 
 
-def _value(path: str, key: str) -> str:
+def value_in(path: str, key: str) -> str:
     return next(p[len(key) + 1:] for p in path.split("/") if p.startswith(f"{key}="))
 
 
@@ -97,7 +97,7 @@ def slice_folders(spark: SparkSession, out_root: str, slices: dict[str, dict[str
     for registry, by_date in slices.items():
         for run in sorted(set(by_date.values())):
             found = _found(spark, f"{out_root}/registry={registry}/table={table}/run={run}/load_date=*")
-            out += [p for p in found if by_date.get(_value(p, "load_date")) == run]
+            out += [p for p in found if by_date.get(value_in(p, "load_date")) == run]
     return out
 
 
@@ -124,9 +124,9 @@ def vacuum(spark: SparkSession, out_root: str, keep: int = KEEP) -> list[str]:
     named = {(r, d, run) for s in states for r, by_date in s.slices.items() for d, run in by_date.items()}
     gone = []
     for run_folder in _found(spark, f"{out_root}/registry=*/table=*/run=*"):
-        registry, run = _value(run_folder, "registry"), _value(run_folder, "run")
+        registry, run = value_in(run_folder, "registry"), value_in(run_folder, "run")
         dates = _found(spark, f"{run_folder}/load_date=*")
-        old = [p for p in dates if (registry, _value(p, "load_date"), run) not in named]
+        old = [p for p in dates if (registry, value_in(p, "load_date"), run) not in named]
         gone += [run_folder] if len(old) == len(dates) else old
     for p in gone:
         delete_folder(p)

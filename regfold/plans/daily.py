@@ -178,8 +178,9 @@ MANIFEST_DIR = "_manifest"  # a row per published slice (N2)
 INTAKE_DIR = "_intake"      # the archive entries seen, a folder per run (S9)
 
 LEDGER = ("registry STRING, schema_version STRING, archive STRING, entry STRING, entry_id STRING, size BIGINT, crc BIGINT, "
-          "error STRING")
-# Faults of an entry itself: it is not tried again before it changes. Other failures (storage, network) are.
+          "landed BIGINT, error STRING")
+# Faults of an entry itself: it is not tried again before it changes or its archive lands anew. Other failures (storage,
+# network) are.
 ENTRY_FAULTS = ("BadZipFile", "error", "ValueError", "RuntimeError", "NotImplementedError", "EOFError", "UnicodeDecodeError")
 
 
@@ -193,14 +194,19 @@ def ledger(spark: SparkSession, out_root: str, run_date: str, state: commits.Sta
     order = F.element_at(F.create_map(*[F.lit(v) for p, k in paths.items() for v in (p.rsplit("run=", 1)[1], k)]), F.col("run"))
     rows = spark.read.option("basePath", os.path.join(out_root, INTAKE_DIR)).schema(LEDGER + ", run STRING").parquet(*paths)
     return rows.groupBy("registry", "schema_version", "entry_id").agg(
-        F.max_by(F.struct("size", "crc"), order).alias("seen")).select("registry", "schema_version", "entry_id", "seen.*")
+        F.max_by(F.struct("size", "crc", F.when(F.col("error").isNotNull(), F.col("landed")).alias("failed_at")), order).alias("seen")).select("registry", "schema_version", "entry_id", "seen.*")
 
 
 def entries_to_load(listed: DataFrame, before: DataFrame | None) -> DataFrame:
-    """Of the listed entries (with ``registry``) those whose content is new, and the unreadable archives."""
+    """Of the listed entries (with ``registry``) those whose content is new, and the unreadable archives.
+
+    An entry that has failed may look the same when it lands repaired: it is new if its archive has landed since.
+    """
     if before is None:
         return listed
-    new = listed.where("error is null").join(before, ["registry", "schema_version", "entry_id", "size", "crc"], "left_anti")
+    same = [listed[c] == before[c] for c in ("registry", "schema_version", "entry_id", "size", "crc")]
+    same.append(before["failed_at"].isNull() | (before["failed_at"] == listed["landed"]))
+    new = listed.where("error is null").join(before, same, "left_anti")
     return new.unionByName(listed.where("error is not null"))
 
 
@@ -217,7 +223,7 @@ def carried_over(spark: SparkSession, out_root: str, slices: dict[str, dict[str,
         own = replaced.where(F.col("registry") == r).drop("registry")
         folders: dict[str, list[str]] = {}
         for p in commits.slice_folders(spark, out_root, {r: by_date}):
-            folders.setdefault(commits._value(p, "table"), []).append(p)
+            folders.setdefault(commits.value_in(p, "table"), []).append(p)
         for table, paths in folders.items():
             rows = spark.read.option("basePath", out_root).parquet(*paths).drop("registry", "table", "run")
             rows = rows.withColumn("load_date", F.col("load_date").cast("date"))

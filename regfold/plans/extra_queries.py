@@ -192,44 +192,76 @@ _ARCHIVE_SQL = "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, md5(text
 # --- S7-S14, N1-N3, P0: the daily job ---------------------------------------------------------
 
 def _damage(batches):
-    """Flip a byte in the data of every entry of the archives, so that no checksum fits."""
+    """Spoil the entries of the archives that lie in their folder ``d``, each in one of three ways: a byte of the data (no
+    checksum fits), the entry's own header, or a flag that calls it encrypted."""
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"], strict=True):
             data = bytearray(content)
-            for entry in zipfile.ZipFile(io.BytesIO(content)).infolist():
-                names = entry.header_offset + 26  # lengths of name and extra field, then these two
+            central = content.rindex(b"PK\x05\x06")
+            at = int.from_bytes(content[central + 16:central + 20], "little")  # of the central directory
+            for k, entry in enumerate(zipfile.ZipFile(io.BytesIO(content)).infolist()):
+                own = entry.header_offset
+                names = own + 26  # lengths of name and extra field, then these two
                 sizes = [int.from_bytes(data[k:k + 2], "little") for k in (names, names + 2)]
-                data[names + 4 + sum(sizes) + entry.compress_size // 2] ^= 0xFF
+                lengths = [int.from_bytes(data[at + n:at + n + 2], "little") for n in (28, 30, 32)]
+                if entry.filename.startswith("d/"):
+                    if k % 3 == 0:
+                        data[names + 4 + sum(sizes) + entry.compress_size // 2] ^= 0xFF
+                    elif k % 3 == 1:
+                        data[own] ^= 0xFF
+                    else:
+                        data[own + 6] |= 1
+                        data[at + 8] |= 1
+                at += 46 + sum(lengths)
             filesystem, p = filesystem_for(path)
             with filesystem.open_output_stream(p) as out:
                 out.write(bytes(data))
         yield pdf[["path"]]
 
 
-def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
-    """A register's drop: its main table as XML, zipped. Of five entities one lies in an entry with a
-    lower-case name (in an archive with an upper-case one), one in a damaged entry, one in an entry of the next day that
-    begins with an underscore, one in an entry without a date (in an archive without ending that begins with one)."""
-    gen, landed = os.path.join(root, "xml", registry), os.path.join(root, "landed", registry)
+def _spoil(spark: SparkSession, landed: str, glob: str) -> None:
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landed)
+    archives.select("path", "content").mapInPandas(_damage, "path STRING").count()
+
+
+def _xml_files(spark: SparkSession, sf_dir: str, registry: str, root: str) -> DataFrame:
+    """A register's main table as XML files (kind, content), one kind for every fifth entity."""
+    gen = os.path.join(root, "xml", registry)
     main = build_main(spark, sf_dir, registry).withColumn("kind", F.pmod(F.col("entity_id"), F.lit(5)))
     xmlsource.write_xml(main, gen, partition_by=("kind",))
-    number = F.monotonically_increasing_id().cast("string")
-    head = F.concat(F.when(F.col("kind") == 3, "_").otherwise(""), F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
-    name = (F.when(F.col("kind") == 4, F.concat(F.lit("readme"), number, F.lit(".XML")))
-            .otherwise(F.concat(head, F.lit("_"), number, F.when(F.col("kind") == 1, ".xml").otherwise(".XML"))))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select("kind", name.alias("entry"), "content")
-    archive.zip_partitions(files.where("kind in (0, 3)"), landed, "entry", "content", prefix="good").count()
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select(
+        "kind", "content", F.monotonically_increasing_id().cast("string").alias("number"))
+
+
+def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
+    """A register's drop. Of five entities one lies in an entry with a
+    lower-case name (in an archive with an upper-case one), one in a damaged entry between the good ones, one in an entry of the
+    next day that begins with an underscore, one in an entry without a date, whose names repeat or differ only in their folders
+    (in an archive without ending that begins with an underscore)."""
+    landed = os.path.join(root, "landed", registry)
+    files = _xml_files(spark, sf_dir, registry, root)
+    head = F.concat(F.when(F.col("kind") == 3, "_").when(F.col("kind") == 2, "d/").otherwise(""),
+                    F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
+    odd = F.element_at(F.array(F.lit("sub/readme.XML"), F.lit("sub__readme.XML")), (F.crc32("number") % 2 + 1).cast("int"))
+    name = F.when(F.col("kind") == 4, odd).otherwise(
+        F.concat(head, F.lit("_"), "number", F.when(F.col("kind") == 1, ".xml").otherwise(".XML")))
+    files = files.withColumn("entry", name)
+    archive.zip_partitions(files.where("kind in (0, 2, 3)"), landed, "entry", "content", prefix="good").count()
     archive.zip_partitions(files.where("kind = 1"), landed, "entry", "content", prefix="good", ending=".ZIP").count()
-    archive.zip_partitions(files.where("kind = 4"), landed, "entry", "content", prefix="_good", ending="").count()
-    archive.zip_partitions(files.where("kind = 2"), landed, "entry", "content", prefix="damaged").count()
-    damaged = spark.read.format("binaryFile").option("pathGlobFilter", "damaged_*.zip").load(landed)
-    damaged.select("path", "content").mapInPandas(_damage, "path STRING").count()
+    archive.zip_partitions(files.where("kind = 4").coalesce(2), landed, "entry", "content", prefix="_good", ending="").count()
+    _spoil(spark, landed, "good_*.zip")
     filesystem, p = filesystem_for(os.path.join(landed, "broken.zip"))
     with filesystem.open_output_stream(p) as out:
         out.write(b"no archive")
     return landed
 
 
+def _slices_by_entity(spark: SparkSession, out: str) -> DataFrame:
+    published = commits.read_slices(spark, out, commits.current(out).slices, schema="entity_id BIGINT")
+    return (published.groupBy("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
+                              "entity_id").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both registers land as archives (good, damaged and oddly named entries) and go through the daily
     run; rows of every published table by slice and entity."""
@@ -237,10 +269,34 @@ def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = _stage(spark, "daily-drop")
     out = os.path.join(root, "out")
-    daily_run(spark, {r: {"new": _land(spark, sf_dir, r, root)} for r in REGISTRIES}, out, LOAD_DATE)
-    published = commits.read_slices(spark, out, commits.current(out).slices, schema="entity_id BIGINT")
-    return (published.groupBy("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
-                              "entity_id").agg(F.count(F.lit(1)).alias("n_rows")))
+    daily_run(spark, {r: {"new": _land(spark, sf_dir, r, root)} for r in REGISTRIES}, out, LOAD_DATE, parallel=4)
+    return _slices_by_entity(spark, out)
+
+
+def q_daily_late_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one date, the landing folder replaced between them. First part 1 lands, and part 2 damaged; then part 2 lands
+    again, repaired, and part 3. The slices hold all three."""
+    from regfold.plans.daily import daily_run
+
+    root = _stage(spark, "daily-late")
+    out = os.path.join(root, "out")
+    files = _xml_files(spark, sf_dir, "egrip", root)
+    name = F.concat(F.when(F.col("kind") == 1, "d/").otherwise(""), F.lit(f"{DROP_PREFIX}EGRIP_{LOAD_DATE}_"), "number", F.lit(".XML"))
+    files = files.withColumn("entry", name)
+    first, second = os.path.join(root, "landed-1"), os.path.join(root, "landed-2")
+    archive.zip_partitions(files.where("kind in (0, 1)"), first, "entry", "content", prefix="parts").count()
+    _spoil(spark, first, "parts_*.zip")
+    daily_run(spark, {"egrip": {"new": first}}, out, LOAD_DATE, parallel=4)
+    # archives and entries have the names that they had, less those of part 1
+    archive.zip_partitions(files.where("kind in (0, 1)").where("kind = 1"), second, "entry", "content", prefix="parts").count()
+    archive.zip_partitions(files.where("kind = 2"), second, "entry", "content", prefix="late").count()
+    daily_run(spark, {"egrip": {"new": second}}, out, NEXT_DATE, parallel=4)
+    return _slices_by_entity(spark, out)
+
+
+_LATE_SQL = ("SELECT registry, table_name, entity_id, count(*) AS n_rows, '" + LOAD_DATE + "' AS load_date\nFROM ("
+             + "\nUNION ALL\n".join(f"SELECT '{s.registry}' AS registry, '{s.name}' AS table_name, entity_id FROM ({TABLE_SQL[s.key]}) t"
+                                     for s in SPECS if s.registry == "egrip") + ") r\nWHERE entity_id % 5 < 3 GROUP BY ALL")
 
 
 def _daily_sql() -> str:
@@ -435,6 +491,35 @@ FROM orders GROUP BY 3
 """
 
 
+# --- U1: compaction ---------------------------------------------------------------------------
+
+def q_compact_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are published by year as 40 small files a slice and then compacted; rows, files and digests of the slices
+    before and after."""
+    from regfold.plans.compaction import compact
+    from regfold.plans.daily import slice_checks
+    from regfold.plans.fanout import slice_path
+
+    root = _stage(spark, "compact")
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity_id"), "o_orderkey", "o_orderstatus",
+                                                   F.trunc(F.to_date("o_orderdate"), "year").alias("load_date"))
+    o.repartition(40).write.partitionBy("load_date").parquet(os.path.join(slice_path(root, "egrip", "status_info"), "run=first"))
+    days = [_d.load_date for _d in o.select("load_date").distinct().collect()]  # a handful of years
+    commits.commit(root, commits.State().after(LOAD_DATE, "first", {"egrip": [commits.date_key(d) for d in days]}))
+    before = stage(slice_checks(spark, root, commits.current(root).slices), os.path.join(root, "_before"))
+    compact(spark, root)
+    after = slice_checks(spark, root, commits.current(root).slices)
+    both = before.select("load_date", F.col("n_rows").alias("rows_before"), F.col("digest").alias("before")).join(after, "load_date")
+    return both.select(_ds(F.col("load_date")).alias("load_date"), "rows_before", "n_rows", "n_files",
+                       (F.col("before") == F.col("digest")).alias("same_content"))
+
+
+_COMPACT_SQL = """
+SELECT strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS load_date, count(*) AS rows_before, count(*) AS n_rows,
+       1::BIGINT AS n_files, true AS same_content FROM orders GROUP BY 1
+"""
+
+
 # --- S16, F3, C5, C6 -------------------------------------------------------------------------
 
 def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,6 +610,8 @@ QUERIES = {
     "file_manifest": q_file_manifest,
     "archive_expand": q_archive_expand,
     "daily_drop": q_daily_drop,
+    "daily_late_parts": q_daily_late_parts,
+    "compact_slices": q_compact_slices,
     "xml_main": q_xml_main,
     "stream_once": q_stream_once,
     "file_names": q_file_names,
@@ -546,6 +633,8 @@ ORACLE = {
     "file_manifest": _MANIFEST_SQL,
     "archive_expand": _ARCHIVE_SQL,
     "daily_drop": _daily_sql(),
+    "daily_late_parts": _LATE_SQL,
+    "compact_slices": _COMPACT_SQL,
     "xml_main": _XML_SQL,
     "stream_once": _STREAM_SQL,
     "file_names": _NAMES_SQL,

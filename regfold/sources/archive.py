@@ -44,7 +44,7 @@ from regfold.sources.records import CHUNK, Records
 from regfold.sources.xmlsource import ROW_TAG
 
 LIST_SCHEMA = ("archive STRING, path STRING, entry STRING, copy INT, number INT, entry_id STRING, size BIGINT, crc BIGINT, "
-               "error STRING")
+               "landed BIGINT, error STRING")
 ENTRY_SCHEMA = "archive STRING, entry STRING, size BIGINT, md5 STRING, error STRING"
 # a row per entry, and one with an offset for every record left out
 EXTRACT_SCHEMA = ("archive STRING, entry STRING, entry_id STRING, attempt STRING, size BIGINT, record_offset BIGINT, "
@@ -54,22 +54,24 @@ TASK_BYTES = 128 * 1024 * 1024    # uncompressed bytes handed to one extraction
 
 
 def list_archives(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
-    """(archive, path, size) of every landed file, whatever its name; file contents are not read."""
+    """(archive, path, size, landed) of every landed file, whatever its name; file contents are not read. ``landed``: when, in
+    milliseconds."""
     seen = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archive_dir)
             .select(F.col("_metadata.file_name").alias("archive"), "path",  # not _metadata.file_path: it is URL-encoded
-                    F.col("_metadata.file_size").alias("size")))
+                    F.col("_metadata.file_size").alias("size"),
+                    F.unix_millis("_metadata.file_modification_time").alias("landed")))
     # Spark's file sources skip names that begin with _ or . without a word: these few are listed here
     path = spark._jvm.org.apache.hadoop.fs.Path(archive_dir, "[_.]*")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    hidden = [(f.getPath().getName(), f.getPath().toString(), f.getLen()) for f in found if f.isFile()]
+    hidden = [(f.getPath().getName(), f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found if f.isFile()]
     hidden = [h for h in hidden if fnmatch.fnmatchcase(h[0], glob)]
-    return seen.unionByName(spark.createDataFrame(hidden, "archive STRING, path STRING, size BIGINT")) if hidden else seen
+    return seen.unionByName(spark.createDataFrame(hidden, "archive STRING, path STRING, size BIGINT, landed BIGINT")) if hidden else seen
 
 
 def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for name, path in zip(pdf["archive"], pdf["path"]):
+        for name, path, landed in zip(pdf["archive"], pdf["path"], pdf["landed"]):
             try:
                 filesystem, p = _fs(path)
                 copies: Counter = Counter()  # entries of one name are told apart by their order
@@ -80,12 +82,12 @@ def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             copy = copies[i.filename]
                             copies[i.filename] += 1
                             own = hashlib.md5(f"{name}\0{i.filename}\0{copy}".encode("utf-8", "surrogateescape")).hexdigest()
-                            found.append((name, path, i.filename, copy, number, own, i.file_size, i.CRC, None))
+                            found.append((name, path, i.filename, copy, number, own, i.file_size, i.CRC, landed, None))
                 rows += found
             except Exception as e:  # not an archive at all: one error row, the others go on
-                rows.append((name, path, *[None] * 6, f"{type(e).__name__}: {e}"))
+                rows.append((name, path, *[None] * 6, landed, f"{type(e).__name__}: {e}"))
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in LIST_SCHEMA.split(", ")])
-        yield out.astype({c: "Int64" for c in ("copy", "number", "size", "crc")})
+        yield out.astype({c: "Int64" for c in ("copy", "number", "size", "crc", "landed")})
 
 
 def list_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> DataFrame:
