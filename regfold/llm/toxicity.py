@@ -80,21 +80,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments as (start, end, score), in order; only positive scores open one."""
-    total = np.concatenate([[0.0], np.cumsum(scores)])
-    kept: list[list] = []  # start, end, total before, total after
+    """All maximal scoring segments as (start, end, score), in order; only positive scores open one.
+
+    Every candidate points to the nearest one before it whose left sum is smaller. A search follows these pointers and
+    its result becomes the new candidate's pointer, so no pointer is followed twice and the time is linear.
+    """
+    total = np.concatenate([[0.0], np.cumsum(scores)]).tolist()
+    kept: list[tuple] = []  # start, end, total before, total after, pointer
     for i in np.flatnonzero(scores > 0).tolist():
-        new = [i, i + 1, total[i], total[i + 1]]
-        while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                kept.append(new)
-                break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
+        start, before, after = i, total[i], total[i + 1]
+        j = len(kept) - 1
+        while j >= 0 and kept[j][2] >= before:
+            j = kept[j][4]
+        while j >= 0 and kept[j][3] < after:  # joins that candidate and all behind it
+            start, _, before, _, pointer = kept[j]
             del kept[j:]
-    return [(a, b, float(after - before)) for a, b, before, after in kept]
+            j = pointer
+        kept.append((start, i + 1, before, after, j))
+    return [(a, b, after - before) for a, b, before, after, _ in kept]
 
 
 def _features(texts: list[str], model: dict) -> list[tuple[float, float, list]]:
