@@ -14,7 +14,7 @@ of patterns and features leave it. All patterns run in linear time on any text.
 
 Cases: null text counts as empty: no spans. Very long texts are searched whole. Repeated rows and
 null ids give a row each. An empty table or one without candidates leaves the base spans. Extra
-columns are passed through; names that begin with an underscore are the operator's own.
+columns are passed through by ``mask``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regfold.llm.common import prepare
-from regfold.llm.spans import cover, listed, with_spans
+from regfold.llm.spans import apart, cover, listed, with_spans
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.9
@@ -210,14 +210,15 @@ def train(cands: DataFrame) -> dict[str, tuple[float, dict[str, float]]]:
     # explode() would push a filter on the array below the columns it is made of, and compute those twice and more
     rows = (cands.select(F.explode_outer("_cand").alias("c")).filter("c is not null")
             .select(F.col("c.kind").alias("kind"), "c.traits", votes.alias("votes")))
-    counted = rows.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 81 a kind
+    by_trait = (rows.select("kind", "votes", F.explode("traits").alias("trait")).groupBy("kind", "trait", "votes")
+                .agg(F.count(F.lit(1)).alias("n")).collect())  # bucketed features: bounded as well
+    # a candidate has its first vote among its traits, once: at most 81 patterns a kind
+    counted = [r for r in by_trait if r["trait"] == r["votes"][0]]
     posterior: dict[tuple, float] = {}
     for kind in KINDS:
         patterns = [(tuple(v[-1] for v in r["votes"]), r["n"]) for r in counted if r["kind"] == kind]
         if patterns:
             posterior |= {(kind, v): p for v, p in expectation_maximisation(patterns).items()}
-    by_trait = (rows.select("kind", "votes", F.explode("traits").alias("trait")).groupBy("kind", "trait", "votes")
-                .agg(F.count(F.lit(1)).alias("n")).collect())  # bucketed features: bounded as well
     yes: dict[str, dict[str, float]] = {k: {} for k in KINDS}
     no: dict[str, dict[str, float]] = {k: {} for k in KINDS}
     for r in by_trait:
@@ -261,10 +262,10 @@ def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
     mark = lambda c: F.struct(c["start"].alias("start"), c["rank"].alias("rank"), c["end"].alias("end"),
                               c["kind"].alias("kind"))
     found = found.withColumn("_base", F.array_sort(F.transform(F.filter("_cand", lambda c: c["strict"]), mark)))
-    loose = F.filter("_cand", lambda c: ~c["strict"] & (_chance(model, c) >= ACCEPT) & ~F.exists(
-        F.col("_base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    found = found.withColumn("_spans", F.array_sort(F.concat("_base", F.transform(loose, mark))))
-    return found.drop("_cand")
+    loose = F.transform(F.filter("_cand", lambda c: ~c["strict"] & (_chance(model, c) >= ACCEPT)), mark)
+    found = apart(found.withColumn("_loose", loose), "_added", "_loose", "_base")
+    found = found.withColumn("_spans", F.array_sort(F.concat("_base", "_added")))
+    return found.drop("_cand", "_loose", "_added")
 
 
 def report(docs: DataFrame, model: dict | None = None) -> DataFrame:
@@ -278,10 +279,10 @@ def report(docs: DataFrame, model: dict | None = None) -> DataFrame:
 def mask(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets, and n_chars (if there) counted anew."""
     names = docs.columns
-    found = find(docs, model)
-    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(cover(F.col("text"), F.col("_spans")))
-    found = found.withColumn("text", text)
+    # the caller's columns under names that the operator does not use
+    own = docs.select(*[F.col(f"`{c}`").alias(c if c == "text" else f"own {k}") for k, c in enumerate(names)])
+    found = cover(find(own, model), "masked", "text", "_spans")
+    out = {c: F.col("masked" if c == "text" else f"`own {k}`") for k, c in enumerate(names)}
     if "n_chars" in names:
-        kind = dict(docs.dtypes)["n_chars"]
-        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(names)
+        out["n_chars"] = F.when(F.size("_spans") > 0, F.length("masked").cast(dict(docs.dtypes)["n_chars"])).otherwise(out["n_chars"])
+    return found.select(*[out[c].alias(c) for c in names])

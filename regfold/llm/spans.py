@@ -6,6 +6,8 @@ running sums of their lengths are the positions (code points, end exclusive).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,22 +16,59 @@ GROUP = 64
 CONTEXT = 32
 
 
-def _running(values: Column, zero: Column) -> Column:
-    """Running sums of an array of longs, by appending."""
-    step = F.aggregate(values, F.struct(zero.alias("sum"), F.array().cast("array<long>").alias("all")),
-                       lambda a, v: F.struct((a["sum"] + v).alias("sum"),
-                                             F.concat(a["all"], F.array(a["sum"] + v)).alias("all")))
-    return step["all"]
+def _running(values: Column, first: Column, op: Callable) -> Column:
+    """``first`` joined by ``op`` with ever more of an array of longs, by appending."""
+    def step(a: Column, v: Column) -> Column:
+        now = op(a["now"], v)
+        return F.struct(now.alias("now"), F.concat(a["all"], F.array(now)).alias("all"))
 
+    return F.aggregate(values, F.struct(first.alias("now"), F.array().cast("array<long>").alias("all")), step)["all"]
 
-def running_sum(values: Column) -> Column:
-    """Running sums of a long array: groups of 64 first, so that a text with very many matches
-    costs no square of their number."""
-    groups = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / GROUP).cast("int") - 1, F.lit(0)))
+
+def running(values: Column, zero: int, op: Callable) -> Column:
+    """Running results of ``op`` over a long array: groups of 64 first, so that a text with very many matches
+    costs no square of their number. ``values`` is a column that a step of its own has made: expressions inside of a lambda are
+    evaluated for each of its calls."""
+    first = F.lit(zero).cast("long")
     part = lambda g: F.slice(values, g * GROUP + 1, F.lit(GROUP))
-    sums = F.transform(groups, lambda g: F.aggregate(part(g), F.lit(0).cast("long"), lambda a, v: a + v))
-    ahead = _running(F.concat(F.array(F.lit(0).cast("long")), sums), F.lit(0).cast("long"))
-    return F.flatten(F.transform(groups, lambda g: _running(part(g), F.get(ahead, g))))
+    groups = _groups(values)
+    whole = F.transform(groups, lambda g: F.aggregate(part(g), first, op))
+    ahead = _running(F.concat(F.array(first), F.slice(whole, F.lit(1), F.size(groups) - 1)), first, op)
+    return F.flatten(F.zip_with(groups, ahead, lambda g, a: _running(part(g), a, op)))
+
+
+def _groups(values: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / GROUP).cast("int") - 1, F.lit(0)))
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, 0, lambda a, v: a + v)
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+LEAST = -(2**62)  # below any position
+
+
+def apart(df: DataFrame, name: str, marks: str, others: str) -> DataFrame:
+    """Add ``name``: the ``marks`` that overlap none of the ``others``, by one sort and two running maxima.
+
+    In order of start, an overlap is either a mark of the others before with a greater end, or one behind that starts
+    before the end.
+    """
+    every, ends, starts = (f"{name}_{x}" for x in ("all", "ends", "starts"))
+    flagged = lambda own: lambda m: F.struct(m["start"].alias("start"), F.lit(own).alias("own"), m.alias("mark"))
+    df = df.withColumn(every, F.array_sort(F.concat(F.transform(marks, flagged(True)), F.transform(others, flagged(False)))))
+    before = F.transform(every, lambda e: F.when(e["own"], LEAST).otherwise(e["mark"]["end"]))
+    behind = F.transform(F.reverse(every), lambda e: F.when(e["own"], LEAST).otherwise(-e["start"]))
+    df = df.withColumns({ends: before, starts: behind})
+    df = df.withColumns({ends: running(F.col(ends), LEAST, _larger), starts: F.reverse(running(F.col(starts), LEAST, _larger))})
+    placed = F.arrays_zip(F.col(every).alias("e"), F.col(ends).alias("before"), F.col(starts).alias("behind"))
+    free = lambda p: p["e"]["own"] & (p["before"] <= p["e"]["start"]) & (-p["behind"] >= p["e"]["mark"]["end"])
+    kept = F.transform(F.filter(placed, free), lambda p: p["e"]["mark"])
+    return df.withColumn(name, F.when(F.size(marks) > 0, kept).otherwise(F.col(marks))).drop(every, ends, starts)
 
 
 def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column, group: int | None = None) -> DataFrame:
@@ -47,8 +86,8 @@ def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column,
     long0 = F.array(F.lit(0).cast("long"))
     gaps = F.transform(F.slice(F.col(p), 1, F.size(m)), lambda x: F.length(x).cast("long"))
     before = F.concat(long0, F.transform(F.col(m), lambda x: F.length(x).cast("long")))
-    df = df.withColumn(d, F.when(some, running_sum(
-        F.zip_with(gaps, F.slice(before, F.lit(1), F.size(m)), lambda a, b: a + b))))
+    df = df.withColumn(d, F.when(some, F.zip_with(gaps, F.slice(before, F.lit(1), F.size(m)), lambda a, b: a + b)))
+    df = df.withColumn(d, F.when(some, running_sum(F.col(d))))
     if group is not None:
         df = df.withColumn(g, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none))
     value = F.col(m if group is None else g)
@@ -77,18 +116,37 @@ def listed(marks: Column) -> Column:
     return F.concat_ws(",", F.transform(F.array_sort(marks), one))
 
 
-def cover(text: Column, marks: Column) -> Column:
-    """``text`` with every marked span replaced by its kind in angle brackets; of overlapping spans the
-    first by start, then the longer one by rank, names the union."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        gap = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        out = F.when(fresh, F.concat(a["out"], F.array(gap, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.otherwise(a["out"]).alias("out"))
+def cover(df: DataFrame, name: str, text: str, marks: str) -> DataFrame:
+    """Set ``name`` to ``text`` with every marked span replaced by its kind in angle brackets; of overlapping spans the
+    first by start, then the longer one by rank, names the union.
 
-    def finish(a: Column) -> Column:
-        return F.concat(F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-
-    return F.when(F.size(marks) > 0, F.aggregate(F.array_sort(marks), start, step, finish)).otherwise(text)
+    Marks are taken 64 at a time, with the stretch of text that they cover, so long texts with very many spans are
+    not cut from their beginning for each.
+    """
+    order, ahead = f"_{name}_order", f"_{name}_ahead"
+    df = df.withColumn(order, F.array_sort(marks))
+    part = lambda g: F.slice(F.col(order), g * GROUP + 1, F.lit(GROUP))
+    ends = F.transform(_groups(F.col(order)), lambda g: F.aggregate(
+        part(g), F.lit(0).cast("long"), lambda a, m: F.greatest(a, m["end"])))
+    zero = F.lit(0).cast("long")
+    # where the text before each group ends, and the last
+    df = df.withColumn(ahead, _running(F.concat(F.array(zero), ends), zero, _larger))
+
+    def cut(of: Column, start: Column, end: Column) -> Column:
+        return F.substring(of, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def step(a: Column, m: Column) -> Column:
+        gap = cut(a["piece"], a["at"] - a["base"], m["start"] - a["base"])
+        out = F.when(m["start"] >= a["at"], F.concat(a["out"], F.array(gap, F.concat(F.lit("<"), F.upper(m["kind"]), F.lit(">")))))
+        return F.struct(a["piece"].alias("piece"), a["base"].alias("base"), F.greatest(a["at"], m["end"]).alias("at"),
+                        out.otherwise(a["out"]).alias("out"))
+
+    def group(g: Column) -> Column:
+        at, end = F.get(F.col(ahead), g), F.get(F.col(ahead), g + 1)
+        start = F.struct(cut(F.col(text), at, end).alias("piece"), at.alias("base"), at.alias("at"),
+                         F.array().cast("array<string>").alias("out"))
+        return F.aggregate(part(g), start, step, lambda a: F.array_join(a["out"], ""))
+
+    tail = F.substring(F.col(text), (F.element_at(F.col(ahead), -1) + 1).cast("int"), F.lit(2**31 - 1))
+    whole = F.concat(F.array_join(F.transform(_groups(F.col(order)), group), ""), tail)
+    return df.withColumn(name, F.when(F.size(order) > 0, whole).otherwise(F.col(text))).drop(order, ahead)
