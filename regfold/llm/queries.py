@@ -31,7 +31,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    """Limits are those of the labelled good documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, *quality.learn_limits(docs, table(spark, sf_dir, "labels")))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
