@@ -169,6 +169,17 @@ def doc_order(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def link_tree(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
     """Links that connect what ``linked`` (left x right) connects: one per member and component."""
     root = np.arange(n)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regfold.llm.common import WORD, prepare
+from regfold.llm.common import WORD, prepare, unused
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -112,9 +112,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> Dat
 def mixed(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Rows equal in id and text are taken alike."""
     names = docs.columns
-    plan = (mix(docs, weights, max_repeats).groupBy("doc_id", "content").agg(F.min("copies").alias("_copies"))
-            .filter("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), "_copies"))
-    src = docs.withColumn("_key", F.coalesce(F.md5("text"), F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
+    key, id_, content, copies, copy = unused(docs, "_key", "_id", "_content", "_copies", "_copy")
+    plan = (mix(docs, weights, max_repeats).groupBy("doc_id", "content").agg(F.min("copies").alias(copies))
+            .filter(F.col(copies) > 0).select(F.col("doc_id").alias(id_), F.col("content").alias(content), copies))
+    src = docs.withColumn(key, F.coalesce(F.md5("text"), F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(content))
     joined = src.join(plan, same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(names)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select([f"`{c}`" for c in names])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfold.llm.common import factorize, link_tree, map_batches, mix64, portions, prepare, rolling_hash, row_groups
+from regfold.llm.common import factorize, link_tree, map_batches, mix64, portions, prepare, rolling_hash, row_groups, unused
 from regfold.llm.components import components, link_classes
 
 WIDTH = 5
@@ -216,21 +216,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` without all but one of each class, with all their columns."""
-    names = docs.columns
+    names = [f"`{c}`" for c in docs.columns]
+    key, id_, content, stays, n = unused(docs, "_key", "_id", "_content", "_stays", "_n")
     judged = near_duplicates(docs, threshold, recall).filter("root is not null")
     # rows that share id and text can't be told apart: the class keeps one of its kept kinds of rows
-    kinds = judged.groupBy("root", "doc_id", "content").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    kinds = judged.groupBy("root", "doc_id", "content").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(n))
     best = kinds.filter("kept").groupBy("root").agg(F.min(F.struct("doc_id", "content")).alias("best"))
     verdict = (kinds.join(best, "root")
-               .withColumn("stays", F.col("kept") & F.col("best").eqNullSafe(F.struct("doc_id", "content")))
-               .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), "stays", "n").checkpoint())
-    src = docs.withColumn("_key", F.unhex(F.md5("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
-    left = src.join(verdict.filter("not stays"), same, "left_anti")
-    repeated = verdict.filter("stays and n > 1")
+               .withColumn(stays, F.col("kept") & F.col("best").eqNullSafe(F.struct("doc_id", "content")))
+               .select(F.col("doc_id").alias(id_), F.col("content").alias(content), stays, n).checkpoint())
+    src = docs.withColumn(key, F.unhex(F.md5("text")))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(content))
+    left = src.join(verdict.filter(~F.col(stays)), same, "left_anti")
+    repeated = verdict.filter(F.col(stays) & (F.col(n) > 1))
     if repeated.isEmpty():
         return left.select(names)
     alone = left.join(repeated, same, "left_anti").select(names)
-    one = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(names)
+    one = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", key]).select(names)
     return alone.unionByName(one)
-
