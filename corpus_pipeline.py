@@ -15,7 +15,8 @@ from regfold.session import staging_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
+    return quality.keep_good(docs, *quality.learn_limits(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
