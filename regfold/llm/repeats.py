@@ -10,7 +10,12 @@ packed string to the minimiser's bucket. There all windows are sorted and compar
 Windows that repeat inside one portion of a task's input are settled before the shuffle, and only
 the earliest travels, so a passage shared by a third of all documents arrives once per portion.
 
-A bucket with more than ``GROUP_BYTES`` of packed text (a hot phrase in ever different contexts) is never held
+A hot minimiser (a phrase that stands in a large share of all documents) would make one bucket, so one task, grow with the
+input. A sample of the documents, one in ``SAMPLED``, tells which buckets will hold more than ``GROUP_BYTES``; every
+task deals the windows of these to sub-buckets by a second minimiser, under another order of the hashes, which
+equal windows share as well and consecutive ones mostly. The sample decides where windows are compared, never which.
+
+A bucket that still has more than ``GROUP_BYTES`` of packed text is never held
 whole: it is read in chunks of that size, each settled alone, and the windows left travel one by one to ``FANOUT``
 sub-buckets by a hash of all their words, which equal windows share; and so on until every group fits.
 
@@ -31,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfold.llm.common import doc_order, factorize, first_equal, map_batches, portions, rolling_hash
+from regfold.llm.common import doc_order, factorize, first_equal, map_batches, mix64, portions, rolling_hash
 from regfold.session import staging_dir
 
 WINDOW = 20
@@ -40,6 +45,9 @@ BUCKET_BYTES = 4 << 20  # input text for each bucket
 SORT_WINDOWS = 4_000_000  # windows sorted at once; a larger bucket is sorted in several rounds
 GROUP_BYTES = 32 << 20  # packed text of a bucket that is judged at once
 FANOUT = 256  # sub-buckets of a larger one
+WORDS_BYTES = 8 << 20  # packed text whose words are numbered at once
+SAMPLED = 64  # one document in so many tells the hot buckets
+_OTHER = np.uint64(0xA0761D6478BD642F)  # turns the order of hashes into another
 
 PACKED = "bucket long, docs binary, hashes binary, starts binary, ends binary, words binary"
 JUDGED = "doc long, text_hash long, start int, stop int, " + PACKED  # a range, or windows that travel on
@@ -72,7 +80,8 @@ def _ranges(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return heads, start[tails] + WINDOW
 
 
-def _split(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterator[pa.RecordBatch], n_buckets: int, hot: dict[int, tuple[int, int]] | None = None) -> Iterator[pa.RecordBatch]:
+    """Packed rows of every bucket; ``hot``: first number and count of the sub-buckets of some."""
     zstd = zstandard.ZstdCompressor(level=3)
     for part in portions(batches):
         docs = sorted(zip(*(part.column(i).to_pylist() for i in range(3)), strict=True), key=lambda r: r[:2])
@@ -116,9 +125,16 @@ def _split(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.Rec
             low = minimum[at]
             new = np.ones(len(send), dtype=bool)
             new[1:] = (at[1:] != at[:-1] + 1) | (low[1:] != low[:-1]) | (of_doc[send][1:] != of_doc[send][:-1])
+            of_window = (low % np.uint64(n_buckets)).astype(np.int64)
+            large = np.flatnonzero(np.isin(of_window, list(hot))) if hot else np.zeros(0, dtype=np.int64)
+            if len(large):
+                second = _sliding_min(mix64(seeds ^ _OTHER), WINDOW - SEED + 1)[at[large]]
+                begin, count = (np.array([hot[b][k] for b in of_window[large].tolist()], dtype=np.int64) for k in (0, 1))
+                of_window[large] = begin + (second % count.astype(np.uint64)).astype(np.int64)
+                new[1:] |= of_window[1:] != of_window[:-1]
             heads = np.flatnonzero(new)
             tails = np.append(heads[1:], len(send)) - 1
-            bucket = (low[heads] % np.uint64(n_buckets)).astype(np.int64)
+            bucket = of_window[heads]
             order = np.argsort(bucket, kind="stable")
             froms, tos = at[heads].tolist(), (at[tails] + WINDOW).tolist()
             bounds = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
@@ -151,11 +167,17 @@ def _judge_rows(rows: list[dict], onward: bool, level: int) -> Iterator[pa.Recor
     unzip = zstandard.ZstdDecompressor()
     numbers: dict[bytes, int] = {}
     docs, hashes, begins, sizes, id_parts = [], [], [], [], []
-    for row in rows:
+    words: list[bytes] = []
+    held = 0
+    for k, row in enumerate(rows):
         text = unzip.decompress(row["words"])
         sizes.append(np.array([r.count(b" ") + 1 for r in text.split(b"\n")], dtype=np.int64))
-        ids, uniques = factorize(text.split())
-        id_parts.append(np.array([numbers.setdefault(w, len(numbers)) for w in uniques], dtype=np.int32)[ids])
+        words += text.split()
+        held += len(text)
+        if held >= WORDS_BYTES or k == len(rows) - 1:
+            ids, uniques = factorize(words)
+            id_parts.append(np.array([numbers.setdefault(w, len(numbers)) for w in uniques], dtype=np.int32)[ids])
+            words, held = [], 0
         docs.append(np.frombuffer(row["docs"], dtype=np.int64))
         hashes.append(np.frombuffer(row["hashes"], dtype=np.int64))
         begins.append(np.frombuffer(row["starts"], dtype=np.int32))
@@ -249,14 +271,36 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
-def repeated_ranges(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def _sizes(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, bytes of packed text) of every row that ``_split`` would send."""
+    for packed in _split(batches, n_buckets):
+        size = [0 if w is None else zstandard.frame_content_size(w) for w in packed.column("words").to_pylist()]
+        yield pa.record_batch([packed.column("bucket"), pa.array(size, pa.int64())], names=["bucket", "size"])
+
+
+def hot_buckets(src: DataFrame, n_buckets: int, group_bytes: int = GROUP_BYTES, sampled: int = SAMPLED) -> dict[int, tuple[int, int]]:
+    """Buckets that will hold more than ``group_bytes``, with the first number and the count of their sub-buckets.
+    There are at most as many as the packed text has stretches of that size."""
+    some = src.filter(F.pmod(F.xxhash64("doc"), F.lit(sampled)) == 0)
+    sizes = map_batches(some, lambda it: _sizes(it, n_buckets), "bucket long, size long").groupBy("bucket").agg(
+        (F.sum("size") * sampled).alias("size")).filter(F.col("size") > group_bytes)
+    out, at = {}, n_buckets
+    for r in sizes.orderBy("bucket").collect():
+        n = -(-2 * r["size"] // group_bytes)
+        out[r["bucket"]] = (at, n)
+        at += n
+    return out
+
+
+def repeated_ranges(docs: DataFrame, group_bytes: int = GROUP_BYTES, sampled: int = SAMPLED) -> DataFrame:
     """Word ranges to remove: (doc, text_hash, start, stop), not merged across buckets."""
     src = docs.select(doc_order(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("text_hash"),
                       F.col("text").cast("binary").alias("text"))
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = max(width, -(-total // BUCKET_BYTES))
-    packed = map_batches(src, lambda it: _split(it, n_buckets), PACKED)
+    hot = hot_buckets(src, n_buckets, group_bytes, sampled)
+    packed = map_batches(src, lambda it: _split(it, n_buckets, hot), PACKED)
     root, ranges, level = staging_dir(docs.sparkSession, "repeats"), None, 0
     while True:  # a round more only for buckets that were too large in the last one
         judged = map_batches(packed.repartition("bucket").sortWithinPartitions("bucket"),
@@ -272,9 +316,9 @@ def repeated_ranges(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFram
             return ranges
 
 
-def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, sampled: int = SAMPLED) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (kept words joined by one space) for every row."""
-    ranges = (repeated_ranges(docs, group_bytes).groupBy("doc", "text_hash")
+    ranges = (repeated_ranges(docs, group_bytes, sampled).groupBy("doc", "text_hash")
               .agg(F.collect_list(F.struct("start", "stop")).alias("ranges")))
     # the ranges grow with the input: one plan at every size
     src = docs.select("doc_id", F.col("text").cast("binary").alias("text"), doc_order(F.col("doc_id")).alias("doc"),
