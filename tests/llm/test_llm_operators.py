@@ -615,43 +615,3 @@ def test_segments_take_linear_time():
     falling = np.concatenate([rng.rand(5000) * 2 - 1, -np.ones(50)] * 4)
     found = toxicity.maximal_segments(falling)
     assert all(a < b <= c for (a, b, _), (c, _, _) in zip(found, found[1:], strict=False))
-
-
-def test_spans_apart_and_covered(spark):
-    from regfold.llm import spans
-
-    rng = np.random.RandomState(2)
-    kind = "array<struct<start:long,rank:int,end:long,kind:string>>"
-    data = []
-    for i in range(40):
-        text = "".join(rng.choice(list("abc \u00e9\U0001f600"), 400))
-
-        def some(n):
-            starts = rng.randint(0, 390, n)
-            return sorted((int(a), int(rng.randint(4)), int(a + rng.randint(1, 10)), "k%d" % rng.randint(3)) for a in starts)
-
-        data.append((i, text, some(rng.randint(0, 300 if i % 4 == 0 else 12)), some(rng.randint(0, 100))))
-    df = spark.createDataFrame(data, f"i int, text string, m {kind}, o {kind}")
-    got = {r["i"]: r for r in rows(spans.cover(spans.apart(df, "a", "m", "o"), "c", "text", "m"))}
-    for i, text, m, o in data:
-        assert [tuple(x) for x in got[i]["a"]] == [x for x in m if not any(x[0] < y[2] and y[0] < x[2] for y in o)]
-        out, at = "", 0
-        for a, _, b, k in m:
-            if a >= at:
-                out += text[at:a] + f"<{k.upper()}>"
-            at = max(at, b)
-        assert got[i]["c"] == out + text[at:]
-
-
-def test_a_long_text_of_contacts(spark):
-    """A text of 170,000 characters full of personal data is searched and masked in seconds."""
-    import time
-
-    one = "4111 1111 1111 1112, me@example.com or +1 (017) 555-7713; "
-    df = spark.createDataFrame([(1, one * 3000, "en", "s", 1)], SCHEMA)
-    start = time.time()
-    got = rows(pii.report(df))[0]
-    assert got["n_email"] == got["n_phone"] == 3000
-    masked = rows(pii.mask(df))[0]["text"]
-    assert masked.count("<EMAIL>") == 3000 and "me@" not in masked
-    assert time.time() - start < 120
