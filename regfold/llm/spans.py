@@ -22,14 +22,26 @@ def _running(values: Column, zero: Column) -> Column:
     return step["all"]
 
 
-def running_sum(values: Column) -> Column:
-    """Running sums of a long array: groups of 64 first, so that a text with very many matches
-    costs no square of their number."""
-    groups = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / GROUP).cast("int") - 1, F.lit(0)))
-    part = lambda g: F.slice(values, g * GROUP + 1, F.lit(GROUP))
-    sums = F.transform(groups, lambda g: F.aggregate(part(g), F.lit(0).cast("long"), lambda a, v: a + v))
-    ahead = _running(F.concat(F.array(F.lit(0).cast("long")), sums), F.lit(0).cast("long"))
-    return F.flatten(F.transform(groups, lambda g: _running(part(g), F.get(ahead, g))))
+def _groups(size: Column) -> Column:
+    """0, 1, .. for every group of at most 64 elements; none for none."""
+    n = F.ceil(size / GROUP).cast("int")
+    return F.slice(F.sequence(F.lit(0), n), F.lit(1), n)
+
+
+def _group(values: Column, g: Column) -> Column:
+    return F.slice(values, g * GROUP + 1, F.lit(GROUP))
+
+
+def with_running_sum(df: DataFrame, name: str, values: str) -> DataFrame:
+    """Add ``name``: running sums of a column of long arrays, by groups of 64, so that appending costs no square
+    of a text's matches. What a lambda looks up is a column: an expression would be evaluated for every element."""
+    ahead, zero = f"{name}_ahead", F.lit(0).cast("long")
+    groups = _groups(F.size(values))
+    sums = F.transform(groups, lambda g: F.aggregate(_group(F.col(values), g), zero, lambda a, v: a + v))
+    df = df.withColumn(ahead, _running(F.concat(F.array(zero), sums), zero))
+    return df.withColumn(name, F.flatten(F.zip_with(
+        groups, F.slice(F.col(ahead), F.lit(1), F.size(groups)),
+        lambda g, a: _running(_group(F.col(values), g), a)))).drop(ahead)
 
 
 def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column, group: int | None = None) -> DataFrame:
@@ -38,7 +50,7 @@ def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column,
     With ``group``, SPAN's value is that group's text instead of the whole match. Each step is a
     column of its own, so that no expression is evaluated twice.
     """
-    m, p, g, d = (f"_{name}_{x}" for x in "mpgd")
+    m, p, g, d, v = (f"_{name}_{x}" for x in "mpgdv")
     none = F.array().cast("array<string>")
     found = F.when(guard, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
     df = df.withColumn(m, found)
@@ -47,8 +59,9 @@ def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column,
     long0 = F.array(F.lit(0).cast("long"))
     gaps = F.transform(F.slice(F.col(p), 1, F.size(m)), lambda x: F.length(x).cast("long"))
     before = F.concat(long0, F.transform(F.col(m), lambda x: F.length(x).cast("long")))
-    df = df.withColumn(d, F.when(some, running_sum(
-        F.zip_with(gaps, F.slice(before, F.lit(1), F.size(m)), lambda a, b: a + b))))
+    steps = F.zip_with(gaps, F.slice(before, F.lit(1), F.size(m)), lambda a, b: a + b)
+    df = df.withColumn(v, F.when(some, steps).otherwise(F.array().cast("array<long>")))
+    df = with_running_sum(df, d, v)
     if group is not None:
         df = df.withColumn(g, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none))
     value = F.col(m if group is None else g)
@@ -62,7 +75,7 @@ def with_spans(df: DataFrame, name: str, text: str, pattern: str, guard: Column,
 
     spans = F.transform(F.sequence(F.lit(0), F.size(m) - 1), span)
     df = df.withColumn(name, F.when(some, spans).otherwise(F.array().cast(f"array<{SPAN}>")).cast(f"array<{SPAN}>"))
-    return df.drop(m, p, d, *([g] if group is not None else []))
+    return df.drop(m, p, d, v, *([g] if group is not None else []))
 
 
 def marked(spans: Column, kind: str, rank: int) -> Column:
@@ -77,18 +90,55 @@ def listed(marks: Column) -> Column:
     return F.concat_ws(",", F.transform(F.array_sort(marks), one))
 
 
-def cover(text: Column, marks: Column) -> Column:
-    """``text`` with every marked span replaced by its kind in angle brackets; of overlapping spans the
-    first by start, then the longer one by rank, names the union."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+def grouped(marks: str) -> Column:
+    """Sorted marks in groups of 64, each with the lowest start and the highest end in it."""
+    def group(g: Column) -> Column:
+        part = _group(F.col(marks), g)
+        return F.struct(F.get(part, F.lit(0))["start"].alias("low"),
+                        F.array_max(F.transform(part, lambda s: s["end"])).alias("high"), part.alias("marks"))
+
+    return F.transform(_groups(F.size(marks)), group)
+
+
+def meets(groups: str, span: Column) -> Column:
+    """Whether ``span`` overlaps a mark of ``grouped``; only groups that reach it are searched.
+
+    The column is named twice: Catalyst writes a column that is named once into the lambda, for every span anew."""
+    over = lambda low, high: (low < span["end"]) & (span["start"] < high)
+    return (F.size(groups) > 0) & F.exists(F.col(groups), lambda g: over(g["low"], g["high"]) & F.exists(
+        g["marks"], lambda s: over(s["start"], s["end"])))
+
+
+def reached(groups: str) -> Column:
+    """For every group of ``grouped`` how far the marks before it reach, and at the end how far all do."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array(F.lit(0).cast("long")).alias("all"))
+
+    def step(a: Column, g: Column) -> Column:
+        at = F.greatest(a["at"], g["high"])
+        return F.struct(at.alias("at"), F.concat(a["all"], F.array(at)).alias("all"))
+
+    return F.aggregate(F.col(groups), start, step)["all"]
+
+
+def cover(text: str, groups: str, ahead: str) -> Column:
+    """``text`` with every mark of ``grouped`` (``ahead``: ``reached``) replaced by its kind in angle brackets; of
+    overlapping spans the first by start, then the longer one by rank, names the union. Each group cuts its
+    stretch out of the text once and is covered by itself."""
+    def stretch(g: Column, i: Column) -> Column:
+        at = F.get(F.col(ahead), i)
+        return F.struct(at.alias("at"), g["marks"].alias("marks"), F.substring(
+            F.col(text), (at + 1).cast("int"), F.greatest(g["high"] - at, F.lit(0)).cast("int")).alias("text"))
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        gap = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        out = F.when(fresh, F.concat(a["out"], F.array(gap, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.otherwise(a["out"]).alias("out"))
+    def covered(part: Column) -> Column:
+        def step(a: Column, s: Column) -> Column:
+            gap = F.substring(part["text"], (a["at"] - part["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
+            out = F.when(s["start"] >= a["at"], F.concat(
+                a["out"], F.array(gap, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))))
+            return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.otherwise(a["out"]).alias("out"))
 
-    def finish(a: Column) -> Column:
-        return F.concat(F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+        start = F.struct(part["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.array_join(F.aggregate(part["marks"], start, step, lambda a: a["out"]), "")
 
-    return F.when(F.size(marks) > 0, F.aggregate(F.array_sort(marks), start, step, finish)).otherwise(text)
+    done = F.array_join(F.transform(F.transform(F.col(groups), stretch), covered), "")
+    end = (F.element_at(F.col(ahead), -1) + 1).cast("int")
+    return F.when(F.size(groups) > 0, F.concat(done, F.substring(F.col(text), end, F.lit(2**31 - 1)))).otherwise(F.col(text))
