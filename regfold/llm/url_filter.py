@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ RULES = (
 )
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 4, 7
+FOLDS = 5  # of labelled URLs; fold 0 is trained without its suffix
+NEUTRAL = 5.0  # weight of an even rate in a suffix's statistics
 FEATURES = ("url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_share", "host_digits",
             "entropy", "n_params", "query_length", "hyphens", "longest_part", "suffix_log_count", "suffix_block_rate")
 
@@ -72,15 +75,20 @@ def _lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES,
-               train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """page_id, host, path, rule, verdict and blocked_score (null where a rule decides) of every row."""
-    prepare(pages.sparkSession)
+def _suffix() -> Column:
+    return F.substring_index("host", ".", -1).alias("suffix")
+
+
+def _ruled(pages: DataFrame, rules, *names: str) -> DataFrame:
+    """names, url, host, path, rule, ruled (the rule's verdict) and suffix of every row."""
     host, path = host_and_path(F.col("url"))
-    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
+    rows = pages.select(*names, F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"),
-                       F.substring_index("host", ".", -1).alias("suffix")).checkpoint()
+    return rows.select("*", rule.alias("rule"), verdict.alias("ruled"), _suffix())
+
+
+def _known(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """url, host, path, suffix and blocked (1.0 or 0.0) of every distinct labelled URL; blocked wins a dispute."""
     if labels is None:
         known = rows.filter("ruled is not null").select("url", "host", "path", "suffix",
                                                         (F.col("ruled") == "block").cast("double").alias("blocked"))
@@ -88,31 +96,75 @@ def judge_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES,
         host, path = host_and_path(F.col("url"))
         known = (labels.filter("url is not null and blocked is not null")
                  .select("url", F.col("blocked").cast("double").alias("blocked"))
-                 .select("url", host.alias("host"), path.alias("path"), "blocked")
-                 .withColumn("suffix", F.substring_index("host", ".", -1)))
-    known = known.groupBy("url", "host", "path", "suffix").agg(F.max("blocked").alias("blocked"))
-    stats = (known.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("bad"))).checkpoint()
-    total = stats.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    out = ["page_id", "host", "path", "rule"]
+                 .select("url", host.alias("host"), path.alias("path"), "blocked").select("*", _suffix()))
+    return known.groupBy("url", "host", "path", "suffix").agg(F.max("blocked").alias("blocked"))
+
+
+def _featured(df: DataFrame, stats: DataFrame, on: list[str]) -> DataFrame:
+    df = df.join(stats, on, "left").fillna({"suffix_log_count": 0.0, "suffix_block_rate": 0.5})
+    df = df.withColumns(_lexical(F.col("url"), F.col("host"), F.col("path")))
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(df)
+
+
+def _fit(known: DataFrame, train_rows: int):
+    """(trees, statistics of all suffixes), or (the only verdict there is, None)."""
+    fold = F.pmod(F.xxhash64("url", F.lit(SEED)), F.lit(FOLDS)).alias("fold")
+    known = known.select("*", fold)
+    counts = known.groupBy("suffix", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("bad")).checkpoint()
+    total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     if not total["n"] or total["bad"] in (0, total["n"]):
-        only = "block" if total["n"] and total["bad"] else "allow"
-        return rows.select(*out, F.coalesce("ruled", F.lit(only)).alias("verdict"),
-                           F.lit(None).cast("double").alias("blocked_score"))
-    rate = total["bad"] / total["n"]
-    suffixes = stats.select("suffix", F.log1p("n").alias("suffix_log_count"),
-                            ((F.col("bad") + 5 * rate) / (F.col("n") + 5)).alias("suffix_block_rate"))
-
-    def featured(df: DataFrame) -> DataFrame:
-        df = df.join(suffixes, "suffix", "left").fillna({"suffix_log_count": 0.0, "suffix_block_rate": rate})
-        return df.withColumns(_lexical(F.col("url"), F.col("host"), F.col("path")))
-
-    gather = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
+        return ("block" if total["n"] and total["bad"] else "allow"), None
+    weigh = {True: total["n"] / (2 * total["bad"]), False: total["n"] / (2 * (total["n"] - total["bad"]))}
+
+    def statistics(df: DataFrame, *names: str) -> DataFrame:
+        bad, good = F.col("bad") * weigh[True], (F.col("n") - F.col("bad")) * weigh[False]
+        return df.select(*names, F.log1p("n").alias("suffix_log_count"),
+                         ((bad + NEUTRAL / 2) / (bad + good + NEUTRAL)).alias("suffix_block_rate"))
+
+    whole = counts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    # every fold but 0 gets what the others say; a fold absent here is filled in as an unknown suffix
+    rest = (counts.filter("fold > 0").withColumnsRenamed({"n": "own", "bad": "own_bad"}).join(whole, "suffix")
+            .select("suffix", "fold", (F.col("n") - F.col("own")).alias("n"), (F.col("bad") - F.col("own_bad")).alias("bad")))
     sample = known.orderBy(F.xxhash64("url"), "url").limit(train_rows)
-    train = gather.transform(featured(sample)).select("features", "blocked").checkpoint()
-    trees = GBTClassifier(labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
-    scored = trees.transform(gather.transform(featured(rows)))
+    weight = F.when(F.col("blocked") == 1, weigh[True]).otherwise(weigh[False]).alias("weight")
+    train = (_featured(sample, statistics(rest, "suffix", "fold"), ["suffix", "fold"])
+             .select("features", "blocked", weight).checkpoint())
+    trees = GBTClassifier(labelCol="blocked", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
+    return trees, statistics(whole, "suffix")
+
+
+def _judged(df: DataFrame, model) -> DataFrame:
+    """``df`` (url, host, path, suffix) with ``judged`` and ``score``, its probability of block."""
+    trees, stats = model
+    if stats is None:
+        return df.withColumns({"judged": F.lit(trees), "score": F.lit(None).cast("double")})
     judged = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
-    from pyspark.ml.functions import vector_to_array
+    return trees.transform(_featured(df, stats, ["suffix"])).withColumns(
+        {"judged": judged, "score": vector_to_array("probability")[1]})
+
+
+def judge_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES,
+               train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """page_id, host, path, rule, verdict and blocked_score (null where a rule decides) of every row."""
+    prepare(pages.sparkSession)
+    rows = _ruled(pages, rules, "page_id").checkpoint()
+    scored = _judged(rows, _fit(_known(rows, labels), train_rows))
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", "judged").alias("verdict"),
+                         F.when(F.col("ruled").isNull(), F.col("score")).alias("blocked_score"))
+
 
-    score = F.when(F.col("ruled").isNull(), vector_to_array("probability")[1])
-    return scored.select(*out, F.coalesce("ruled", judged).alias("verdict"), score.alias("blocked_score"))
+def accuracy(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, train_rows: int = TRAIN_ROWS,
+             whole_suffixes: bool = False) -> DataFrame:
+    """suffix, n, n_right, n_block and n_block_right of labelled URLs that the fit has not seen.
+
+    A quarter of the URLs by hash is kept from the fit; with ``whole_suffixes`` a quarter of the suffixes,
+    which measures verdicts on suffixes without labels.
+    """
+    prepare(pages.sparkSession)
+    known = _known(_ruled(pages, rules), labels).checkpoint()
+    kept = F.pmod(F.xxhash64("suffix" if whole_suffixes else "url", F.lit("kept")), F.lit(4)) == 0
+    judged = _judged(known.filter(kept), _fit(known.filter(~kept), train_rows))
+    bad, right = F.col("blocked") == 1, (F.col("judged") == "block") == (F.col("blocked") == 1)
+    count = lambda c: F.count(F.when(c, 1))
+    return judged.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), count(right).alias("n_right"),
+                                        count(bad).alias("n_block"), count(bad & right).alias("n_block_right"))

@@ -358,6 +358,34 @@ def test_pii_masks_and_learns(spark, edge, none):
     assert found[("y", "y", "y", "y")] > 0.95 > 0.05 > found[("n", "n", "-", "n")] and found[("n", "y", "y", "y")] > 0.5
 
 
+def brute_mask(text, spans):
+    out, at = [], 0
+    for start, _, end, kind in spans:
+        if start >= at:
+            out.append(text[at:start] + f"<{kind.upper()}>")
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans beyond a group of 64, of one text and around the edges of a group, overlapping ones among them."""
+    one = "é card 4111 1111 1111 1112 x@y.org +49 30 1234567 (212) 555-0100 +1 4111 1111 1111 1111 "
+    docs = {k: "\U0001f600 " * (k % 3) + one * k for k in (1, 12, 13, 16, 31, 300, 3000)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    model = pii.train(pii.candidates(df.select("text")))
+    marks = {r["doc_id"]: (r["_base"], r["_spans"]) for r in rows(pii.find(df, model))}
+    masked = {r["doc_id"]: r["text"] for r in rows(pii.mask(df, model))}
+    for k, text in docs.items():
+        base, spans = ([tuple(m) for m in x] for x in marks[k])
+        assert base == brute_pii(text) and set(base) <= set(spans) and spans == sorted(spans)
+        added = sorted(set(spans) - set(base))
+        assert not any(a < d and c < b for a, _, b, _ in added for c, _, d, _ in base[:200])
+        assert masked[k] == brute_mask(text, spans)
+    no_base = spark.createDataFrame([(1, "call (212) 555-0100 now")], "doc_id long, text string")
+    sure = {k: (9.0, {}) for k in pii.KINDS} | {"phone": (9.0, {"shape=y": 1.0})}
+    assert rows(pii.report(no_base, sure))[0]["spans"] == "phone:5:19"
+
+
 def test_ledger_scans_only_what_is_new(spark, edge, tmp_path):
     path = str(tmp_path / "ledger")
     first = sorted(map(str, rows(secrets.scan(edge, path))))
@@ -499,6 +527,30 @@ def test_trees_learn_labelled_urls(spark):
     assert sum(got[i] == b for i, (_, b) in enumerate(urls[300:])) >= 97
 
 
+def test_verdicts_follow_the_evidence(spark):
+    """Hosts with digits are blocked on com and net; org has no label, so its URLs are judged by their own features."""
+    urls = [(f"http://{'9' * (8 + i % 5) if i % 4 == 0 else 'site' + 'abc'[i % 3]}.{('com', 'net')[i % 2]}/p{i // 4}/{i}", i % 4 == 0)
+            for i in range(800)]
+    labels = spark.createDataFrame(urls, "url string, blocked boolean")
+    pages = spark.createDataFrame([(1, "http://99999999.org/p/1"), (2, "http://siteb.org/p/1")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in rows(url_filter.judge_urls(pages, labels, ()))} == {1: "block", 2: "allow"}
+    for whole in (False, True):
+        got = rows(url_filter.accuracy(pages, labels, (), whole_suffixes=whole))
+        assert all(r["n_right"] >= 0.95 * r["n"] and r["n_block_right"] <= r["n_block"] <= r["n"] for r in got)
+    assert {r["suffix"] for r in rows(url_filter.accuracy(pages, labels, ()))} == {"com", "net"}
+
+
+def test_a_label_does_not_reach_its_own_features(spark, monkeypatch):
+    """One URL a suffix and labels by chance: a rate that held the own label would tell it."""
+    rng = np.random.RandomState(3)
+    labels = spark.createDataFrame([(f"http://h.s{i}/", bool(b)) for i, b in enumerate(rng.randint(0, 2, 300))],
+                                   "url string, blocked boolean")
+    seen, real = [], url_filter._featured
+    monkeypatch.setattr(url_filter, "_featured", lambda *a: seen.append(real(*a)) or seen[-1])
+    url_filter._fit(url_filter._known(None, labels), 300)
+    assert {r["suffix_block_rate"] for r in rows(seen[0])} == {0.5}
+
+
 # ---- 10
 
 def test_targets_reshare_the_excess(spark):
