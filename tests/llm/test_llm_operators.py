@@ -370,7 +370,7 @@ def brute_mask(text, spans):
 def test_many_spans_in_one_text(spark):
     """Spans beyond a group of 64, of one text and around the edges of a group, overlapping ones among them."""
     one = "é card 4111 1111 1111 1112 x@y.org +49 30 1234567 (212) 555-0100 +1 4111 1111 1111 1111 "
-    docs = {k: "\U0001f600 " * (k % 3) + one * k for k in (1, 12, 13, 16, 31, 300, 3000)}
+    docs = {k: "\U0001f600 " * (k % 3) + one * k for k in (1, 12, 13, 16, 31, 60)}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     model = pii.train(pii.candidates(df.select("text")))
     marks = {r["doc_id"]: (r["_base"], r["_spans"]) for r in rows(pii.find(df, model))}
