@@ -30,6 +30,7 @@ from regfold.session import apply_runtime_conf, staging_dir
 from regfold.sources import archive, landing, xmlsource
 from regfold.sources.files import filesystem_for
 from regfold.sources.fixtures import build_main
+from regfold.sources.records import CHUNK
 from regfold.sources.tables import read_table
 from regfold.streaming.intake import consume_once, read_sink
 
@@ -191,46 +192,68 @@ _ARCHIVE_SQL = "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, md5(text
 
 # --- S7-S14, N1-N3, P0: the daily job ---------------------------------------------------------
 
-def _damage(batches):
-    """Spoil the entries of the archives that lie in their folder ``d``, each in one of three ways: a byte of the data (no
-    checksum fits), the entry's own header, or a flag that calls it encrypted."""
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            data = bytearray(content)
-            central = content.rindex(b"PK\x05\x06")
-            at = int.from_bytes(content[central + 16:central + 20], "little")  # of the central directory
-            for k, entry in enumerate(zipfile.ZipFile(io.BytesIO(content)).infolist()):
-                own = entry.header_offset
-                names = own + 26  # lengths of name and extra field, then these two
-                sizes = [int.from_bytes(data[k:k + 2], "little") for k in (names, names + 2)]
-                lengths = [int.from_bytes(data[at + n:at + n + 2], "little") for n in (28, 30, 32)]
-                if entry.filename.startswith("d/"):
-                    if k % 3 == 0:
-                        data[names + 4 + sum(sizes) + entry.compress_size // 2] ^= 0xFF
-                    elif k % 3 == 1:
-                        data[own] ^= 0xFF
-                    else:
-                        data[own + 6] |= 1
-                        data[at + 8] |= 1
-                at += 46 + sum(lengths)
-            filesystem, p = filesystem_for(path)
-            with filesystem.open_output_stream(p) as out:
-                out.write(bytes(data))
-        yield pdf[["path"]]
-
-
-def _spoil(spark: SparkSession, landed: str, glob: str) -> None:
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landed)
-    archives.select("path", "content").mapInPandas(_damage, "path STRING").count()
+def _flaws(archive_file) -> dict[int, int]:
+    """Bytes to flip ({offset: mask}) that spoil the entries of an archive that lie in its folder ``d``, each in one of three
+    ways: a byte of the data (no checksum fits), the entry's own header, or a flag that calls it encrypted."""
+    found: dict[int, int] = {}
+
+    def two(at: int) -> int:
+        archive_file.seek(at)
+        return int.from_bytes(archive_file.read(2), "little")
+
+    with zipfile.ZipFile(archive_file) as z:
+        at = z.start_dir  # of the central directory
+        for k, entry in enumerate(z.infolist()):
+            own = entry.header_offset
+            if entry.filename.startswith("d/"):
+                if k % 3 == 0:
+                    found[own + 30 + two(own + 26) + two(own + 28) + entry.compress_size // 2] = 0xFF
+                elif k % 3 == 1:
+                    found[own] = 0xFF
+                else:
+                    found |= {f: 1 for f in (own + 6, at + 8) if not two(f) & 1}
+            at += 46 + sum(two(at + n) for n in (28, 30, 32))  # lengths of name, extra field and comment
+    return found
+
+
+def _damaged_copy(source: str, target: str) -> None:
+    """Stream an archive to ``target`` with its flaws."""
+    source_fs, src = filesystem_for(source)
+    target_fs, dst = filesystem_for(target)
+    target_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+    with source_fs.open_input_file(src) as data:
+        flaws = _flaws(io.BytesIO(data.read()) if data.size() < CHUNK else data)  # pyarrow cannot seek before an empty archive
+    with source_fs.open_input_stream(src) as data, target_fs.open_output_stream(dst) as out:
+        begin = 0
+        while chunk := bytearray(data.read(CHUNK)):
+            for at, mask in flaws.items():
+                if begin <= at < begin + len(chunk):
+                    chunk[at - begin] ^= mask
+            out.write(bytes(chunk))
+            begin += len(chunk)
+
+
+def _spoil(spark: SparkSession, whole: str, landed: str) -> None:
+    """Land the archives of ``whole`` with spoilt entries, under their names."""
+    def copy(batches):
+        for pdf in batches:
+            for name, path in zip(pdf["archive"], pdf["path"], strict=True):
+                _damaged_copy(path, f"{landed}/{name}")
+            yield pdf[["path"]]
+
+    archive.list_archives(spark, whole).select("archive", "path").mapInPandas(copy, "path STRING").count()
 
 
 def _xml_files(spark: SparkSession, sf_dir: str, registry: str, root: str) -> DataFrame:
-    """A register's main table as XML files (kind, content), one kind for every fifth entity."""
+    """A register's main table as XML files (kind, path), one kind for every fifth entity."""
     gen = os.path.join(root, "xml", registry)
     main = build_main(spark, sf_dir, registry).withColumn("kind", F.pmod(F.col("entity_id"), F.lit(5)))
     xmlsource.write_xml(main, gen, partition_by=("kind",))
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select(
-        "kind", "content", F.monotonically_increasing_id().cast("string").alias("number"))
+        "kind", "path", F.monotonically_increasing_id().cast("string").alias("number"))
+
+
+LISTED_TASKS = 20  # tasks of the file list whose undated entries share an archive
 
 
 def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
@@ -238,7 +261,7 @@ def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
     lower-case name (in an archive with an upper-case one), one in a damaged entry between the good ones, one in an entry of the
     next day that begins with an underscore, one in an entry without a date, whose names repeat or differ only in their folders
     (in an archive without ending that begins with an underscore)."""
-    landed = os.path.join(root, "landed", registry)
+    landed, whole = (os.path.join(root, d, registry) for d in ("landed", "whole"))
     files = _xml_files(spark, sf_dir, registry, root)
     head = F.concat(F.when(F.col("kind") == 3, "_").when(F.col("kind") == 2, "d/").otherwise(""),
                     F.lit(f"{DROP_PREFIX}{registry.upper()}_"), F.when(F.col("kind") == 3, NEXT_DATE).otherwise(LOAD_DATE))
@@ -246,16 +269,21 @@ def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
     name = F.when(F.col("kind") == 4, odd).otherwise(
         F.concat(head, F.lit("_"), "number", F.when(F.col("kind") == 1, ".xml").otherwise(".XML")))
     files = files.withColumn("entry", name)
-    archive.zip_partitions(files.where("kind in (0, 2, 3)"), landed, "entry", "content", prefix="good").count()
-    archive.zip_partitions(files.where("kind = 1"), landed, "entry", "content", prefix="good", ending=".ZIP").count()
-    archive.zip_partitions(files.where("kind = 4").coalesce(2), landed, "entry", "content", prefix="_good", ending="").count()
-    _spoil(spark, landed, "good_*.zip")
+    undated = max(2, files.rdd.getNumPartitions() // LISTED_TASKS)
+    _zip_files(files.where("kind in (0, 2, 3)"), whole, prefix="good")
+    _zip_files(files.where("kind = 1"), landed, prefix="good", ending=".ZIP")
+    _zip_files(files.where("kind = 4").coalesce(undated), landed, prefix="_good", ending="")
+    _spoil(spark, whole, landed)
     filesystem, p = filesystem_for(os.path.join(landed, "broken.zip"))
     with filesystem.open_output_stream(p) as out:
         out.write(b"no archive")
     return landed
 
 
+def _zip_files(files: DataFrame, out_dir: str, **names: str) -> None:
+    archive.zip_partitions(files, out_dir, "entry", "path", from_files=True, **names).count()
+
+
 def _slices_by_entity(spark: SparkSession, out: str) -> DataFrame:
     published = commits.read_slices(spark, out, commits.current(out).slices, schema="entity_id BIGINT")
     return (published.groupBy("registry", F.col("table").alias("table_name"), _ds(F.col("load_date")).alias("load_date"),
@@ -283,13 +311,13 @@ def q_daily_late_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _xml_files(spark, sf_dir, "egrip", root)
     name = F.concat(F.when(F.col("kind") == 1, "d/").otherwise(""), F.lit(f"{DROP_PREFIX}EGRIP_{LOAD_DATE}_"), "number", F.lit(".XML"))
     files = files.withColumn("entry", name)
-    first, second = os.path.join(root, "landed-1"), os.path.join(root, "landed-2")
-    archive.zip_partitions(files.where("kind in (0, 1)"), first, "entry", "content", prefix="parts").count()
-    _spoil(spark, first, "parts_*.zip")
+    whole, first, second = (os.path.join(root, d) for d in ("whole-1", "landed-1", "landed-2"))
+    _zip_files(files.where("kind in (0, 1)"), whole, prefix="parts")
+    _spoil(spark, whole, first)
     daily_run(spark, {"egrip": {"new": first}}, out, LOAD_DATE, parallel=4)
     # archives and entries have the names that they had, less those of part 1
-    archive.zip_partitions(files.where("kind in (0, 1)").where("kind = 1"), second, "entry", "content", prefix="parts").count()
-    archive.zip_partitions(files.where("kind = 2"), second, "entry", "content", prefix="late").count()
+    _zip_files(files.where("kind in (0, 1)").where("kind = 1"), second, prefix="parts")
+    _zip_files(files.where("kind = 2"), second, prefix="late")
     daily_run(spark, {"egrip": {"new": second}}, out, NEXT_DATE, parallel=4)
     return _slices_by_entity(spark, out)
 

@@ -301,10 +301,11 @@ def take_committed(rows: DataFrame, out_dir: str, path_col: str) -> DataFrame:
 
 
 def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str, prefix: str = "drop",
-                   ending: str = ".zip") -> DataFrame:
+                   ending: str = ".zip", from_files: bool = False) -> DataFrame:
     """Pack each partition's rows into one zip ``<prefix>_<partition><ending>`` (entries named by
     ``name_col``), streamed straight to the output; returns (archive, n_entries).
-    Deterministic names: a retried task overwrites its own archive."""
+    With ``from_files`` the content column holds paths, and each file is streamed into its entry: files of any size
+    pass in chunks. Deterministic names: a retried task overwrites its own archive."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -317,13 +318,23 @@ def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str,
                 zipfile.ZipFile(_Unseekable(out), "w", compression=zipfile.ZIP_DEFLATED) as z:
             for pdf in batches:
                 for entry, content in zip(pdf[name_col], pdf[content_col]):
-                    z.writestr(entry, content if isinstance(content, (bytes, bytearray)) else str(content))
+                    if from_files:
+                        _add_file(z, entry, content)
+                    else:
+                        z.writestr(entry, content if isinstance(content, (bytes, bytearray)) else str(content))
                     n += 1
         yield pd.DataFrame({"archive": [name], "n_entries": [n]})
 
     return df.select(name_col, content_col).mapInPandas(run, "archive STRING, n_entries BIGINT")
 
 
+def _add_file(z: zipfile.ZipFile, entry: str, path: str) -> None:
+    source_fs, p = _fs(path)
+    with source_fs.open_input_stream(p) as data, z.open(entry, "w", force_zip64=True) as out:
+        while chunk := data.read(CHUNK):
+            out.write(chunk)
+
+
 class _Unseekable(io.RawIOBase):
     """A write-only stream without seek, so ``zipfile`` writes data descriptors as it goes."""
 

@@ -522,3 +522,30 @@ def test_every_landed_file_and_entry_counts(spark, tmp_path):
     only.mkdir()
     (only / "X.TXT").write_text("no archive")
     assert [r.code for r in daily_run(spark, {"egrul": {"new": str(only)}}, out, "2024-01-31").audit.collect()] == ["03"]
+
+
+def test_archives_take_files_by_path_in_chunks(spark, tmp_path):
+    """A file goes into its entry and out of a spoilt archive in chunks: no task ever holds one whole."""
+    import inspect
+
+    from regfold.plans import extra_queries as q
+
+    text = os.urandom(3 << 20) * 3
+    (tmp_path / "in").mkdir()
+    for k in range(6):
+        (tmp_path / "in" / f"{k}.xml").write_bytes(b"%d" % k + text)
+    rows = [(f"{'d/' if k < 4 else ''}{k}.XML", str(tmp_path / "in" / f"{k}.xml")) for k in range(6)]
+    df = spark.createDataFrame(rows, "entry STRING, path STRING").coalesce(1)
+    whole, landed = str(tmp_path / "whole"), str(tmp_path / "landed")
+    made = archive.zip_partitions(df, whole, "entry", "path", from_files=True).collect()
+    assert sum(r["n_entries"] for r in made) == 6
+    with zipfile.ZipFile(f"{whole}/{made[0]['archive']}") as z:
+        assert {n: z.read(n) for n in z.namelist()} == {n: open(p, "rb").read() for n, p in rows}
+    archive.zip_partitions(df.where("false"), whole, "entry", "path", prefix="empty", from_files=True).count()
+    q._spoil(spark, whole, landed)
+    found = {r["entry"]: r["error"] for r in archive.archive_entries(spark, landed, "drop_*").collect()}
+    assert set(found) == {n for n, _ in rows}
+    assert all((found[n] is not None) == n.startswith("d/") for n in found), found
+    assert sorted(os.listdir(landed)) == sorted(os.listdir(whole))
+    for helper in (q._xml_files, q._land, q._spoil, q._zip_files, q.q_daily_late_parts):
+        assert '"content"' not in inspect.getsource(helper)  # binaryFile's column of whole files
