@@ -35,7 +35,6 @@ BAD_SHARE = 0.3
 REPEAT_WIDTH = 5
 SYMBOLS = "#*$%&|<>"
 
-GOOD_ROWS = 20_000  # labelled good documents that limits are learned from, at most
 LEAST_ROWS = 30  # a class with fewer keeps its wide limits
 MARGIN = 0.03  # limits lie this share outside of the smallest and largest ratio seen
 
@@ -164,33 +163,42 @@ def keep_good(docs: DataFrame, limits=LIMITS, chunk_limits=CHUNK_LIMITS, chunk:
 
 
 def _ratios(batches: Iterator[pa.RecordBatch], edges: list[int], chunk: int) -> Iterator[pa.RecordBatch]:
-    """(class, ratio) of texts that pass the base rules and of their full chunks; class -1: a chunk."""
+    """(doc_id, class, n, low, high) of texts that pass the base rules, and of their full chunks as class -1: number of
+    ratios, smallest and largest."""
     zstd = zstandard.ZstdCompressor(level=LEVEL)
     for part in portions(batches):
-        raw = [t or b"" for t in part.column(0).to_pylist()]
+        raw = [t or b"" for t in part.column(1).to_pylist()]
         docs = [t.split() for t in raw]
-        rows = []
-        for data, words, n_repeat in zip(raw, docs, _repeat_words(docs), strict=True):
+        at, rows = [], []
+        for k, (data, words, n_repeat) in enumerate(zip(raw, docs, _repeat_words(docs), strict=True)):
             if len(words) < 10 or 100 * n_repeat > 20 * len(words):
                 continue
             if len(data) >= edges[0]:
-                rows.append((max(e for e in edges if len(data) >= e), outside(data, zstd)[0]))
-            rows += [(-1, outside(data[i : i + chunk], zstd)[0]) for i in range(0, len(data) - chunk + 1, chunk)]
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.float64())],
-                              names=["class", "ratio"])
-
-
-def learn_limits(docs: DataFrame, labels: DataFrame, rows: int = GOOD_ROWS, margin: float = MARGIN, chunk: int = CHUNK):
-    """Limits of whole texts and of full chunks from at most ``rows`` labelled good documents (the first by hash) that are not held
-    out: smallest and largest ratio of each class, by one aggregate, widened by ``margin``. Classes with fewer than
-    ``LEAST_ROWS`` of them keep ``LIMITS`` and ``CHUNK_LIMITS``."""
+                ratio = outside(data, zstd)[0]
+                at.append(k)
+                rows.append((max(e for e in edges if len(data) >= e), 1, ratio, ratio))
+            chunks = [outside(data[i : i + chunk], zstd)[0] for i in range(0, len(data) - chunk + 1, chunk)]
+            if chunks:
+                at.append(k)
+                rows.append((-1, len(chunks), min(chunks), max(chunks)))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        yield pa.record_batch([part.column(0).take(pa.array(at, pa.int64())),
+                               *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))],
+                              names=["doc_id", "class", "n", "low", "high"])
+
+
+def learn_limits(docs: DataFrame, labels: DataFrame, margin: float = MARGIN, chunk: int = CHUNK):
+    """Limits of whole texts and of full chunks from all labelled good documents that are not held out: smallest and largest
+    ratio of each class, by one aggregate, widened by ``margin``. Classes with fewer than ``LEAST_ROWS`` of them keep ``LIMITS``
+    and ``CHUNK_LIMITS``. Every document is measured where it lies; only its numbers meet the labels, so no text is shuffled."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     good = usable.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    src = docs.join(F.broadcast(good), "doc_id").select(F.col("text").cast("binary").alias("text"))
+    src = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
     edges = [least for least, _, _ in LIMITS]
-    seen = map_batches(src, lambda it: _ratios(it, edges, chunk), "class long, ratio double").groupBy("class").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ratio").alias("low"), F.max("ratio").alias("high")).collect()  # a row per class
+    ratios = map_batches(src, lambda it: _ratios(it, edges, chunk),
+                         f"doc_id {dict(docs.dtypes)['doc_id']}, class long, n long, low double, high double")
+    seen = ratios.join(good, "doc_id").groupBy("class").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).collect()  # a row per class
     found = {r["class"]: (round(r["low"] * (1 - margin), 3), round(r["high"] * (1 + margin), 3)) for r in seen
              if r["n"] >= LEAST_ROWS}
     return tuple((least, *found.get(least, (lo, hi))) for least, lo, hi in LIMITS), found.get(-1, CHUNK_LIMITS)

@@ -274,6 +274,21 @@ def test_quality_limits_are_learned(spark):
     assert some == (quality.LIMITS, quality.CHUNK_LIMITS)
 
 
+def test_quality_limits_take_every_labelled_document(spark):
+    """One text of its own kind among 20,800 labelled good ones moves the limits, wherever its id falls in an order by hash."""
+    plain = " ".join(f"word{i} of line{i}" for i in range(12))
+    random = "".join(chr(33 + i * i * 31 % 89) + " " * (i % 9 == 0) for i in range(200))
+    ids = spark.range(26_000).withColumnRenamed("id", "doc_id").filter(~quality.held_out(F.col("doc_id")))
+    last = ids.orderBy(F.xxhash64("doc_id").desc()).first()[0]
+    docs = ids.withColumn("text", F.when(F.col("doc_id") == last, random).otherwise(plain))
+    labels = ids.select("doc_id", F.lit(1).alias("quality"))
+    assert ids.count() > 20_000
+    own, common = (r["ratio"] for r in rows(quality.quality(spark.createDataFrame([(1, random), (2, plain)], "doc_id long, text string"))))
+    low, high = quality.limits_of(len(plain), quality.learn_limits(docs, labels)[0])
+    assert len(plain) // 128 == len(random) // 128 and own < 0.9 * common
+    assert low == round(own * (1 - quality.MARGIN), 3) and high == round(common * (1 + quality.MARGIN), 3)
+
+
 def test_plain_prose_passes_without_labels(spark):
     import argparse
     import decimal
