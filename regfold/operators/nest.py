@@ -3,7 +3,7 @@
 An entity's children are not gathered into one row: one key may hold a third of all rows, and a
 single array of that size would not fit one task. Each child row gets a page number
 ``1 + pmod(row_id, ceil(n / page_size))`` from the entity's child count ``n`` (a partially
-aggregated count, joined back on the key, so AQE can split a hot key), and arrays are collected
+aggregated count; only entities of several pages need it), and arrays are collected
 per (entity, page). Page 0 is the head row with the root fields and single elements.
 """
 
@@ -29,16 +29,22 @@ def page_of(row_id: Column, n: Column, page_size: int = PAGE_SIZE) -> Column:
 
 def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "_row_id",
                n: str = "_n", page_size: int = PAGE_SIZE) -> DataFrame:
-    """Join each child to its entity's count, give it a page, and distribute by (key, page).
+    """Give each child a page and distribute by (key, page). Further columns of ``counts`` come along for entities of
+    more than one page and are null for the others.
 
-    The distribution is what spreads a hot key over tasks: a join partitioned by the key alone
-    would hand all its pages to one task. Every later aggregation groups by (key, page, ...) and
-    so runs without another shuffle.
+    Only entities with more children than a page meet their count; all children of the others are on page 1. At most one
+    row in ``page_size`` can have such an entity of its own, so their counts are broadcast and the children are shuffled once, by
+    (key, page), which is what spreads a hot key over tasks. With broadcasts off the counts are dealt to ``SALTS``
+    tasks a key. Every later aggregation groups by (key, page, ...) and so runs without another shuffle.
     """
-    salted = children.withColumn("_salt", F.pmod(F.col(row_id), F.lit(SALTS)).cast("int"))
-    spread = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (salted.join(spread, [key, "_salt"]).drop("_salt")
-            .withColumn("page", page_of(F.col(row_id), F.col(n), page_size))
+    children, large = children.where(F.col(key).isNotNull()), counts.where(F.col(n) > page_size)
+    if not children.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith(("-", "0")):
+        joined = children.join(F.broadcast(large), [key], "left")
+    else:
+        salted = children.withColumn("_salt", F.pmod(F.col(row_id), F.lit(SALTS)).cast("int"))
+        spread = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(spread, [key, "_salt"], "left").drop("_salt")
+    return (joined.withColumn("page", F.coalesce(page_of(F.col(row_id), F.col(n), page_size), F.lit(1)))
             .drop(n)
             .repartition(key, "page"))
 

@@ -41,6 +41,14 @@ def _main_extra(registry: str, element: str, main: Column | None = None, extra:
     return F.struct(m.alias("main"), e.alias("extra"))
 
 
+def _extras(rows: str, *fields: str) -> Column:
+    """The rows of a page but the entity's main one, by ``fields``. An entity of several pages has brought its main row
+    (``with_pages``); else it is the best row of the only page."""
+    main = F.coalesce(F.col("_main_row"), F.col("_best").getField("_row_id"))
+    left = F.filter(F.col(rows), lambda r: r.getField("_row_id") != main)
+    return F.array_sort(F.transform(left, lambda r: F.struct(*[r.getField(f).alias(f) for f in fields])))
+
+
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -96,13 +104,15 @@ def person_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) ->
     op = with_pages(orders, "o_custkey", counts, page_size=page_size)
     order_pages = op.groupBy("o_custkey", "page").agg(
         sorted_list(F.struct("o_orderkey", "o_orderstatus", "o_orderdate")).alias("status"),
-        sorted_list(_when(F.col("_row_id") != F.col("_main_row"), F.struct("o_orderkey"))).alias("okved_extra"),
+        F.max(F.struct("o_totalprice", "o_orderkey", "_row_id")).alias("_best"),
+        F.max("_main_row").alias("_main_row"),
+        F.collect_list(F.struct("o_orderkey", "_row_id")).alias("_all"),
     ).select(F.col("o_custkey").alias("entity_id"), "page", "status",
-             _main_extra("egrip", "okved", extra=F.col("okved_extra")).alias("okved"))
+             _main_extra("egrip", "okved", extra=_extras("_all", "o_orderkey")).alias("okved"))
 
     # pages of line items of urgent / open orders: licences and register entries (NN)
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", row_id().alias("_row_id"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", F.hash(row_id()).alias("_row_id"))
     sel = orders.where((F.col("o_orderpriority") == "1-URGENT") | (F.col("o_orderstatus") == "O")).select(
         "o_orderkey", "o_custkey",
         (F.col("o_orderpriority") == "1-URGENT").alias("_lic"), (F.col("o_orderstatus") == "O").alias("_note"))
@@ -185,7 +195,11 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
     )
 
     counts = lstats.select("l_suppkey", "_n", okm.getField("_row_id").alias("_main_row"))
-    lp = with_pages(li, "l_suppkey", counts, page_size=page_size)
+    # what only line 5 needs travels as one column, null elsewhere
+    own5 = _when(ln == 5, F.struct("l_extendedprice", "_row_id")).alias("_okved")
+    lp = with_pages(li.select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+                              "l_shipdate", own5, "_row_id"), "l_suppkey", counts, page_size=page_size).drop("_row_id")
+    own_price, own_id = (F.col("_okved").getField(c).alias(c) for c in ("l_extendedprice", "_row_id"))
     ls, rf = F.col("l_linestatus"), F.col("l_returnflag")
     li3 = F.struct("l_orderkey", "l_partkey", "l_quantity")
     founder = _kind(FOUNDER_KINDS, F.pmod(F.col("l_partkey"), F.lit(len(FOUNDER_KINDS))))
@@ -198,13 +212,14 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
         sorted_list(_when((ln == 3) & (ls == "O"), li3)).alias("ul_korp_contr"),
         sorted_list(_when(ln == 4, F.struct(founder.alias("kind"), "l_orderkey", "l_partkey", "l_quantity"))
                     ).alias("uluch"),
-        sorted_list(_when((ln == 5) & (F.col("_row_id") != F.col("_main_row")),
-                          F.struct("l_orderkey", "l_partkey"))).alias("ulokved_extra"),
+        F.max(_when(ln == 5, F.struct(own_price, "l_orderkey", "l_partkey", "l_quantity", own_id))).alias("_best"),
+        F.max("_main_row").alias("_main_row"),
+        F.collect_list(_when(ln == 5, F.struct("l_orderkey", "l_partkey", own_id))).alias("_ln5"),
         sorted_list(_when((ln == 7) & subdiv.isNotNull(),
                           F.struct(subdiv.alias("kind"), "l_orderkey", "l_partkey", "l_quantity"))).alias("subdiv"),
         sorted_list(_when((ln == 5) & (rf == "R"), li3)).alias("pravopred"),
         sorted_list(_when((ln == 5) & (rf == "A"), li3)).alias("ulpreemnik"),
-    ).withColumn("ulokved", _main_extra("egrul", "ulokved", extra=F.col("ulokved_extra")))
+    ).withColumn("ulokved", _main_extra("egrul", "ulokved", extra=_extras("_ln5", "l_orderkey", "l_partkey")))
 
     # the same distributed page rows feed the flat arrays and the nested ones: one shuffle
     nested = nest_many(lp, ["l_suppkey", "page"], [

@@ -70,3 +70,19 @@ def test_hot_key_meets_its_count_in_many_tasks(spark, skewed_dir):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_children_are_shuffled_once(spark, skewed_dir):
+    """Only the counts of entities of several pages are sent about; the children meet them where they lie."""
+    from regfold.operators.nest import with_pages
+
+    li = spark.read.parquet(f"{skewed_dir}/lineitem.parquet").select("l_suppkey", F.monotonically_increasing_id().alias("_row_id"))
+    li = li.unionByName(spark.createDataFrame([(None, 1)], "l_suppkey BIGINT, _row_id BIGINT"))
+    counts = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_n"))
+    paged = with_pages(li, "l_suppkey", counts, page_size=8 * PAGE)
+    plan = paged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "_salt" not in plan
+    assert paged.columns == ["l_suppkey", "_row_id", "page"] and paged.count() == li.count() - 1
+    n_pages = {r["l_suppkey"]: -(-r["_n"] // (8 * PAGE)) for r in counts.where("l_suppkey is not null").collect()}
+    found = {r["l_suppkey"]: r["p"] for r in paged.groupBy("l_suppkey").agg(F.max("page").alias("p")).collect()}
+    assert found == n_pages and max(n_pages.values()) > 4 and min(n_pages.values()) == 1
