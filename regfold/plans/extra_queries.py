@@ -343,7 +343,7 @@ def q_xml_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, "xml")
     main = build_main(spark, sf_dir, "egrip")
     xmlsource.write_xml(main.withColumn("registry", F.lit("egrip")).withColumn("load_date", F.lit(LOAD_DATE)),
-                        root, partition_by=("registry", "load_date"))
+                        root, partition_by=("registry", "load_date"), compression="gzip")
     back = xmlsource.read_xml(spark, root, xmlsource.string_schema(schema_of("egrip")))
     t = project(back, SPEC_BY_NAME["noteegrip_info"])
     return t.select("entity_id", "registry", _ds(F.col("load_date")).alias("load_date"),

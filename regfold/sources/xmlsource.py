@@ -29,8 +29,9 @@ def string_schema(dt: T.DataType) -> T.DataType:
 
 
 def write_xml(df: DataFrame, path: str, row_tag: str = ROW_TAG, root_tag: str = ROOT_TAG,
-              partition_by: tuple[str, ...] = ()) -> None:
-    w = df.write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", root_tag)
+              partition_by: tuple[str, ...] = (), compression: str = "none") -> None:
+    """``compression`` as of Spark's text files (``gzip``: ``read_xml`` unpacks while it parses; a file is one task either way)."""
+    w = df.write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", root_tag).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -549,3 +549,19 @@ def test_archives_take_files_by_path_in_chunks(spark, tmp_path):
     assert sorted(os.listdir(landed)) == sorted(os.listdir(whole))
     for helper in (q._xml_files, q._land, q._spoil, q._zip_files, q.q_daily_late_parts):
         assert '"content"' not in inspect.getsource(helper)  # binaryFile's column of whole files
+
+
+def test_xml_main_stages_packed_files(spark, tmp_path, monkeypatch):
+    """The XML that only goes out to come back lies packed; the rows are those of the plain files."""
+    from regfold.plans import extra_queries as q
+
+    monkeypatch.setattr(q, "_stage", lambda _, name: str(tmp_path / name))
+    got = q.q_xml_main(spark, SF_SMALL)
+    files = glob.glob(str(tmp_path / "xml" / "*" / "*" / "part-*"))
+    assert files and all(f.endswith(".xml.gz") for f in files)
+    main = build_main(spark, SF_SMALL, "egrip")
+    xmlsource.write_xml(main, str(tmp_path / "plain"))
+    size = sum(os.path.getsize(f) for f in glob.glob(str(tmp_path / "plain" / "part-*.xml")))
+    assert 4 * sum(map(os.path.getsize, files)) < size
+    want = project(main, SPEC_BY_NAME["noteegrip_info"])
+    assert digest(got.drop("registry", "load_date").toPandas()) == digest(want.toPandas())
