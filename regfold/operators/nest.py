@@ -28,7 +28,7 @@ def page_of(row_id: Column, n: Column, page_size: int = PAGE_SIZE) -> Column:
 
 
 def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "_row_id",
-               n: str = "_n", page_size: int = PAGE_SIZE) -> DataFrame:
+               n: str = "_n", page_size: int = PAGE_SIZE, shared: bool = False) -> DataFrame:
     """Give each child a page and distribute by (key, page). Further columns of ``counts`` come along for entities of
     more than one page and are null for the others.
 
@@ -36,6 +36,9 @@ def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "
     row in ``page_size`` can have such an entity of its own, so their counts are broadcast and the children are shuffled once, by
     (key, page), which is what spreads a hot key over tasks. With broadcasts off the counts are dealt to ``SALTS``
     tasks a key. Every later aggregation groups by (key, page, ...) and so runs without another shuffle.
+
+    ``shared``: several branches of one plan read most of the columns (all but ``row_id``). Column pruning would give each branch
+    a shuffle of its own columns; the row goes through it as one value that cannot be pruned, so all branches read one shuffle.
     """
     children, large = children.where(F.col(key).isNotNull()), counts.where(F.col(n) > page_size)
     if not children.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith(("-", "0")):
@@ -44,9 +47,13 @@ def with_pages(children: DataFrame, key: str, counts: DataFrame, row_id: str = "
         salted = children.withColumn("_salt", F.pmod(F.col(row_id), F.lit(SALTS)).cast("int"))
         spread = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = salted.join(spread, [key, "_salt"], "left").drop("_salt")
-    return (joined.withColumn("page", F.coalesce(page_of(F.col(row_id), F.col(n), page_size), F.lit(1)))
-            .drop(n)
-            .repartition(key, "page"))
+    paged = joined.withColumn("page", F.coalesce(page_of(F.col(row_id), F.col(n), page_size), F.lit(1))).drop(n)
+    if not shared:
+        return paged.repartition(key, "page")
+    rest = [c for c in paged.columns if c not in (key, "page", row_id)]
+    packed = paged.select(key, "page", F.array(F.struct(*rest)).alias("_packed")).repartition(key, "page")
+    # fields of a struct column are pruned through a repartition, those of an array's item are not
+    return packed.select(key, "page", *[F.element_at("_packed", 1).getField(c).alias(c) for c in rest])
 
 
 def sorted_list(item: Column) -> Column:

@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _table_query(spec: TableSpec) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_runtime_conf(spark)
-        return project(build_main(spark, sf_dir, spec.registry), spec)
+        return project(build_main(spark, sf_dir, spec.registry, shared=False), spec)
 
     run.__name__ = spec.key
     run.__doc__ = f"{spec.shape}-shape detail table {spec.name} of register {spec.registry}"
@@ -28,7 +28,7 @@ def _table_query(spec: TableSpec) -> Query:
 def q_fan_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P0 over all 50 specs: rows per detail table, one pass per main table."""
     apply_runtime_conf(spark)
-    return fan_out_counts({r: build_main(spark, sf_dir, r) for r in REGISTRIES})
+    return fan_out_counts({r: build_main(spark, sf_dir, r, shared=False) for r in REGISTRIES})
 
 
 def queries() -> dict[str, Query]:

@@ -4,11 +4,11 @@ Mirrors the data path of the source's daily job without its scheduler and networ
 
   0. S9   compare the archives' entries with the ledger of earlier runs: only entries that are new, or landed with other
           content, are loaded
-  1. S7   expand these entries on the executors; bad archives and entries become audit rows, broken records too
+  1. S7   expand these entries on the executors, packed; bad archives and entries become audit rows, broken records too
   2. S8   one XML read per register over all parts and schema versions (U2), explicit schema,
           provenance from file names (registry, schema_version, load_date, is_full, part, src_file, entry_id)
   3. N3   corrupt records split off into the audit (code 04), bad archives too (code 03)
-  4. S13  the main table is staged once as Parquet in a folder owned by the run
+  4. S13  the main table is staged once as Parquet in a folder owned by the run; the expanded XML then goes
   5. P0   every detail table is a projection of the staged main table, written by date slice into folders of this
           run. A date that is out already is rebuilt: the rows of its entries that this run has not loaded are carried over
           (U1), so late parts add to a slice and a replaced entry replaces its own rows, whether or not the earlier
@@ -37,7 +37,7 @@ from regfold.operators.shapes import table_checks
 from regfold.plans import commits, publish
 from regfold.plans.fanout import PLACE, digest, fan_out_all, stage
 from regfold.plans.specs import PROVENANCE, REGISTRIES, SPECS, field_type, schema_of, specs_for
-from regfold.session import staging_dir
+from regfold.session import frees_shuffles, staging_dir
 from regfold.sources import archive, xmlsource
 from regfold.sources.files import delete_folder, folder_exists
 
@@ -231,6 +231,7 @@ def carried_over(spark: SparkSession, out_root: str, slices: dict[str, dict[str,
     return out
 
 
+@frees_shuffles
 def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_root: str,
               run_date: str, parallel: int = 8, record: bool = True, once: bool = True,
               drop_dir: str | None = None, bucket_name: str | None = None,
@@ -238,8 +239,8 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
     """``archive_dirs``: {registry: {schema_version: folder of landed zips}}; every file there is tried.
 
     With ``record`` the run's failure notices, report and manifest rows are written under ``out_root``, one partition
-    per run date: running a date again replaces its notices and report (the manifest keeps a folder per run). The staged XML and main tables are then dropped
-    (S13); without ``record`` they stay, as the report and notices still read them.
+    per run date: running a date again replaces its notices and report (the manifest keeps a folder per run). The staged XML is dropped as soon as it is parsed, the main tables
+    at the end (S13); without ``record`` they stay, as the report and notices still read them.
 
     With ``once`` entries that committed runs of other dates have seen with the same content are not loaded again (S9).
     Nothing that readers see changes before the commit, which is the last step but for the drop files: a run
@@ -269,7 +270,7 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
         for version, zdir in versions.items():
             xdir = os.path.join(work, "xml", registry, version)
             entries = chosen.where(F.col("schema_version") == version)
-            rep = archive.extract_archives(spark, zdir, xdir, entries=entries)
+            rep = archive.extract_archives(spark, zdir, xdir, entries=entries, packed=True)
             outcome = rep.where("entry_id is not null and record_offset is null").select("entry_id", F.col("error").alias("fault"))
             own = entries.where("error is null").join(outcome, "entry_id").drop("error").withColumnRenamed("fault", "error")
             tried = own if tried is None else tried.unionByName(own)
@@ -287,6 +288,9 @@ def daily_run(spark: SparkSession, archive_dirs: dict[str, dict[str, str]], out_
             return None, notices, None, tried
         path = os.path.join(work, "main", registry)
         good, bad = xmlsource.split_errors(stage(read_drop(spark, xml_dirs, registry, extracted=True), path))
+        if record:
+            for xdir in xml_dirs.values():
+                archive.drop_pieces(xdir)
         notices.append(failure_notices(bad, F.lit("04"), file=F.col("src_file"), run_date=F.lit(run_date)))
         return good, notices, path, tried
 

@@ -26,9 +26,9 @@ from regfold.plans import publish as pub
 from regfold.plans.fanout import stage
 from regfold.plans.oracle import TABLE_SQL
 from regfold.plans.specs import REGISTRIES, SPEC_BY_NAME, SPECS, schema_of
-from regfold.session import apply_runtime_conf, staging_dir
+from regfold.session import apply_runtime_conf, frees_shuffles, staging_dir
 from regfold.sources import archive, landing, xmlsource
-from regfold.sources.files import filesystem_for
+from regfold.sources.files import delete_folder, filesystem_for
 from regfold.sources.fixtures import build_main
 from regfold.sources.records import CHUNK
 from regfold.sources.tables import read_table
@@ -245,11 +245,11 @@ def _spoil(spark: SparkSession, whole: str, landed: str) -> None:
 
 
 def _xml_files(spark: SparkSession, sf_dir: str, registry: str, root: str) -> DataFrame:
-    """A register's main table as XML files (kind, path), one kind for every fifth entity."""
+    """A register's main table as packed XML files (kind, path), one kind for every fifth entity."""
     gen = os.path.join(root, "xml", registry)
     main = build_main(spark, sf_dir, registry).withColumn("kind", F.pmod(F.col("entity_id"), F.lit(5)))
-    xmlsource.write_xml(main, gen, partition_by=("kind",))
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(gen).select(
+    xmlsource.write_xml(main, gen, partition_by=("kind",), compression="gzip")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml.gz").load(gen).select(
         "kind", "path", F.monotonically_increasing_id().cast("string").alias("number"))
 
 
@@ -260,7 +260,7 @@ def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
     """A register's drop. Of five entities one lies in an entry with a
     lower-case name (in an archive with an upper-case one), one in a damaged entry between the good ones, one in an entry of the
     next day that begins with an underscore, one in an entry without a date, whose names repeat or differ only in their folders
-    (in an archive without ending that begins with an underscore)."""
+    (in an archive without ending that begins with an underscore). Only the landed archives stay."""
     landed, whole = (os.path.join(root, d, registry) for d in ("landed", "whole"))
     files = _xml_files(spark, sf_dir, registry, root)
     head = F.concat(F.when(F.col("kind") == 3, "_").when(F.col("kind") == 2, "d/").otherwise(""),
@@ -273,7 +273,9 @@ def _land(spark: SparkSession, sf_dir: str, registry: str, root: str) -> str:
     _zip_files(files.where("kind in (0, 2, 3)"), whole, prefix="good")
     _zip_files(files.where("kind = 1"), landed, prefix="good", ending=".ZIP")
     _zip_files(files.where("kind = 4").coalesce(undated), landed, prefix="_good", ending="")
+    delete_folder(os.path.join(root, "xml", registry))
     _spoil(spark, whole, landed)
+    delete_folder(whole)
     filesystem, p = filesystem_for(os.path.join(landed, "broken.zip"))
     with filesystem.open_output_stream(p) as out:
         out.write(b"no archive")
@@ -290,6 +292,7 @@ def _slices_by_entity(spark: SparkSession, out: str) -> DataFrame:
                               "entity_id").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@frees_shuffles
 def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both registers land as archives (good, damaged and oddly named entries) and go through the daily
     run; rows of every published table by slice and entity."""
@@ -297,10 +300,13 @@ def q_daily_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = _stage(spark, "daily-drop")
     out = os.path.join(root, "out")
-    daily_run(spark, {r: {"new": _land(spark, sf_dir, r, root)} for r in REGISTRIES}, out, LOAD_DATE, parallel=4)
+    # the register of the largest shuffle lands first, while the disk holds no other archives
+    drops = {r: {"new": _land(spark, sf_dir, r, root)} for r in reversed(REGISTRIES)}
+    daily_run(spark, drops, out, LOAD_DATE, parallel=4)
     return _slices_by_entity(spark, out)
 
 
+@frees_shuffles
 def q_daily_late_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over one date, the landing folder replaced between them. First part 1 lands, and part 2 damaged; then part 2 lands
     again, repaired, and part 3. The slices hold all three."""
@@ -314,10 +320,13 @@ def q_daily_late_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole, first, second = (os.path.join(root, d) for d in ("whole-1", "landed-1", "landed-2"))
     _zip_files(files.where("kind in (0, 1)"), whole, prefix="parts")
     _spoil(spark, whole, first)
+    delete_folder(whole)
     daily_run(spark, {"egrip": {"new": first}}, out, LOAD_DATE, parallel=4)
+    delete_folder(first)
     # archives and entries have the names that they had, less those of part 1
     _zip_files(files.where("kind in (0, 1)").where("kind = 1"), second, prefix="parts")
     _zip_files(files.where("kind = 2"), second, prefix="late")
+    delete_folder(os.path.join(root, "xml"))
     daily_run(spark, {"egrip": {"new": second}}, out, NEXT_DATE, parallel=4)
     return _slices_by_entity(spark, out)
 

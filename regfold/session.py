@@ -5,9 +5,11 @@ Settings chosen for a large cluster; tests override the master and the partition
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +79,29 @@ def apply_runtime_conf(spark: SparkSession, conf: dict | None = None) -> None:
     ship_package(spark)
 
 
+# Spark's own switch: a query's shuffle files go when it has ended. Else they stay until the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def frees_shuffles(job: Callable) -> Callable:
+    """For a job of many queries (its first argument is the session), each of which runs once: the disk holds the shuffle files of
+    the queries that are running, not of all so far. A query that runs again all the same computes its lost stages anew."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        before = spark.conf.get(FREE_SHUFFLES, None)
+        spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            if before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
+
+    return run
+
+
 _SHIPPED: set = set()
 
 

@@ -19,7 +19,8 @@ The XML source parses one file per task, so an entry larger than ``split_bytes``
 it streams, right after a closing row tag into files of about that size. Each piece is wrapped
 in the file's own prologue and root tag. All entries, cut or not, are named ``<entry>.<nnnnn>.XML``, so the
 text before the first ``.XML`` (register, date, part) is unchanged and a name does not depend on a size; a ``~`` stands
-before names that Spark's readers would skip, and ``entry_name`` takes it off. Records that are not well-formed are left out
+before names that Spark's readers would skip, and ``entry_name`` takes it off. ``packed`` pieces are gzip, with ``.gz`` behind the
+name (a piece is one parse task either way). Records that are not well-formed are left out
 and reported with their byte offset (``records``). An entry that fails (checksum, not XML) is reported and
 contributes no row.
 """
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfold.session import ensure_checkpoint_dir
+from regfold.sources.files import delete_folder
 from regfold.sources.files import filesystem_for as _fs
 from regfold.sources.records import CHUNK, Records
 from regfold.sources.xmlsource import ROW_TAG
@@ -182,7 +184,7 @@ def piece_name(folder: str, entry: str, number: int) -> str:
 
 def entry_name(piece):
     """The entry of a piece (column of file names); files that are no pieces keep their names."""
-    return F.regexp_replace(piece, rf"^{SHOWN}?(.*)\.[0-9]{{5}}\.XML$", "$1")
+    return F.regexp_replace(piece, rf"^{SHOWN}?(.*)\.[0-9]{{5}}\.XML(\.gz)?$", "$1")
 
 
 class _Write:
@@ -190,8 +192,8 @@ class _Write:
 
     columns = [c.split()[0] for c in EXTRACT_SCHEMA.split(", ")]
 
-    def __init__(self, out_dir: str, split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG):
-        self.out_dir, self.split_bytes, self.row_tag = out_dir, split_bytes, row_tag
+    def __init__(self, out_dir: str, split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG, packed: bool = False):
+        self.out_dir, self.split_bytes, self.row_tag, self.packed = out_dir, split_bytes, row_tag, packed
         self.attempt = uuid.uuid4().hex
         self.filesystem = self.folder = self.out = None
 
@@ -250,7 +252,10 @@ class _Write:
         return [(e.archive, e.entry, e.entry_id, self.attempt, n, None, None), *bad]
 
     def _open(self, base: str, number: int):
-        return self.filesystem.open_output_stream(piece_name(self.folder, base, number))
+        path = piece_name(self.folder, base, number)
+        if self.packed:
+            return self.filesystem.open_output_stream(f"{path}.gz", compression="gzip")
+        return self.filesystem.open_output_stream(path)
 
     def _end(self, trailer: bytes) -> None:
         self.out.write(trailer)
@@ -273,14 +278,14 @@ def archive_entries(spark: SparkSession, archive_dir: str, glob: str = "*") -> D
 
 def extract_archives(spark: SparkSession, archive_dir: str, out_dir: str, glob: str = "*",
                      split_bytes: int = SPLIT_BYTES, row_tag: str = ROW_TAG,
-                     entries: DataFrame | None = None) -> DataFrame:
+                     entries: DataFrame | None = None, packed: bool = False) -> DataFrame:
     """Write every entry below ``out_dir`` (big ones in pieces) and return the committed report, which is kept there too.
-    ``entries``: some rows of ``list_entries``, staged, in place of all."""
+    ``entries``: some rows of ``list_entries``, staged, in place of all. ``packed``: as gzip."""
     ensure_checkpoint_dir(spark)
     if entries is None:
         entries = _listed(spark, archive_dir, glob)
     done = _spread(entries).mapInPandas(
-        lambda it: _each_entry(it, lambda: _Write(out_dir, split_bytes, row_tag)), EXTRACT_SCHEMA)
+        lambda it: _each_entry(it, lambda: _Write(out_dir, split_bytes, row_tag, packed)), EXTRACT_SCHEMA)
     path = f"{out_dir.rstrip('/')}/report"
     _with_errors(entries, done, EXTRACT_SCHEMA).write.mode("overwrite").parquet(path)  # runs the expansion, commits it
     return spark.read.schema(EXTRACT_SCHEMA).parquet(path)
@@ -291,6 +296,11 @@ def data_path(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/data/*/*"
 
 
+def drop_pieces(out_dir: str) -> None:
+    """Remove what ``extract_archives`` has expanded; its report stays."""
+    delete_folder(f"{out_dir.rstrip('/')}/data")
+
+
 def take_committed(rows: DataFrame, out_dir: str, path_col: str) -> DataFrame:
     """The rows read from committed attempts, with ``entry_id`` in place of ``path_col``."""
     report = rows.sparkSession.read.schema(EXTRACT_SCHEMA).parquet(f"{out_dir.rstrip('/')}/report")
@@ -329,7 +339,7 @@ def zip_partitions(df: DataFrame, out_dir: str, name_col: str, content_col: str,
 
 
 def _add_file(z: zipfile.ZipFile, entry: str, path: str) -> None:
-    source_fs, p = _fs(path)
+    source_fs, p = _fs(path)  # its streams unpack files that end in .gz
     with source_fs.open_input_stream(p) as data, z.open(entry, "w", force_zip64=True) as out:
         while chunk := data.read(CHUNK):
             out.write(chunk)

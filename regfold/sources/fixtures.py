@@ -12,7 +12,7 @@ Plan shape, per register:
     ``spark.sql.autoBroadcastJoinThreshold``, else it sort-merge joins);
   * children join their count to get a page; every array of a page is collected in one
     aggregate keyed by (entity, page), so the children are shuffled for the join and reused.
-The whole plan is lazy: a query on one element keeps only the branch that feeds it.
+The whole plan is lazy: a query on one element keeps only the branch that feeds it, and with ``shared`` off only the columns.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").drop("r_regionkey")
 
 
-def person_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+def person_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE, shared: bool = True) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     orders = read_table(spark, sf_dir, "orders").select(
@@ -139,7 +139,7 @@ def _kind(codes: tuple[str, ...], index: Column) -> Column:
     return out
 
 
-def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE, shared: bool = True) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -198,7 +198,8 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
     # what only line 5 needs travels as one column, null elsewhere
     own5 = _when(ln == 5, F.struct("l_extendedprice", "_row_id")).alias("_okved")
     lp = with_pages(li.select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-                              "l_shipdate", own5, "_row_id"), "l_suppkey", counts, page_size=page_size).drop("_row_id")
+                              F.year("l_shipdate").cast("bigint").alias("_ship_year"), own5, "_row_id"),
+                    "l_suppkey", counts, page_size=page_size, shared=shared).drop("_row_id")
     own_price, own_id = (F.col("_okved").getField(c).alias(c) for c in ("l_extendedprice", "_row_id"))
     ls, rf = F.col("l_linestatus"), F.col("l_returnflag")
     li3 = F.struct("l_orderkey", "l_partkey", "l_quantity")
@@ -225,7 +226,7 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
     nested = nest_many(lp, ["l_suppkey", "page"], [
         NestSpec("ullicenses", ln == 6, [("l_orderkey", F.col("l_orderkey"))], F.struct("l_partkey", "l_quantity")),
         NestSpec("ulreorg", ln == 7, [("l_returnflag", F.col("l_returnflag"))], F.struct("l_orderkey", "l_partkey")),
-        NestSpec("ulegrul", ln == 1, [("ship_year", F.year("l_shipdate").cast("bigint"))],
+        NestSpec("ulegrul", ln == 1, [("ship_year", F.col("_ship_year"))],
                  F.struct("l_orderkey", "l_partkey")),
     ])
 
@@ -237,5 +238,7 @@ def org_main(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> Da
 MAIN_BUILDERS = {"egrip": person_main, "egrul": org_main}
 
 
-def build_main(spark: SparkSession, sf_dir: str, registry: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    return MAIN_BUILDERS[registry](spark, sf_dir, page_size)
+def build_main(spark: SparkSession, sf_dir: str, registry: str, page_size: int = PAGE_SIZE, shared: bool = True) -> DataFrame:
+    """``shared``: the whole table is wanted, so line items are shuffled once for all elements. Off, each branch shuffles only
+    the columns that a query of single elements reads."""
+    return MAIN_BUILDERS[registry](spark, sf_dir, page_size, shared)

@@ -565,3 +565,49 @@ def test_xml_main_stages_packed_files(spark, tmp_path, monkeypatch):
     assert 4 * sum(map(os.path.getsize, files)) < size
     want = project(main, SPEC_BY_NAME["noteegrip_info"])
     assert digest(got.drop("registry", "load_date").toPandas()) == digest(want.toPandas())
+
+
+def test_expanded_xml_is_packed_and_read_back(spark, tmp_path):
+    """Packed pieces: the same entries, records and errors as plain ones; dropping them leaves the report."""
+    zdir = tmp_path / "zips"
+    zdir.mkdir()
+    _zip(zdir / "a.zip", {"X_EGRUL_2022-01-01_1.XML": ORG_XML.format(a=1, b=2), "_x/X_EGRUL_2022-01-02_2.XML": ORG_XML.format(a=3, b=4),
+                          "X_EGRUL_2022-01-03_3.XML": ORG_XML.format(a=5, b=6).replace("</s_name>", "", 1), "notes.txt": "no XML"})
+    rows, reports = [], []
+    for packed in (False, True):
+        out = str(tmp_path / f"xml-{packed}")
+        rep = archive.extract_archives(spark, str(zdir), out, split_bytes=100, packed=packed)
+        reports.append(digest(rep.drop("attempt").toPandas()))
+        files = glob.glob(f"{out}/data/*/*/*")
+        assert len(files) > 3 and all(f.endswith(".XML.gz" if packed else ".XML") for f in files)
+        rows.append(digest(read_drop(spark, {"new": out}, "egrul", extracted=True).select(
+            "entity_id", "s_name", "s_acctbal", "src_file", "load_date", "part", "entry_id").toPandas()))
+    assert rows[0] == rows[1] and reports[0] == reports[1] and rows[0][1] == 5
+    archive.drop_pieces(out)
+    assert not os.path.exists(f"{out}/data") and rep.count() > 0
+
+
+def test_daily_run_keeps_one_copy_on_disk(spark, tmp_path, monkeypatch):
+    """When the detail tables are written the expanded XML is gone and shuffle files go with their query;
+    the test's drop leaves nothing but its landed archives."""
+    from regfold.plans import daily
+    from regfold.plans import extra_queries as q
+    from regfold.session import FREE_SHUFFLES
+
+    monkeypatch.setattr(daily, "staging_dir", lambda _, name: str(tmp_path / "work"))
+    seen = []
+    write = daily.fan_out_all
+
+    def spy(session, *args, **kwargs):
+        seen.append((glob.glob(str(tmp_path / "work" / "xml" / "**" / "*.XML*"), recursive=True), session.conf.get(FREE_SHUFFLES)))
+        return write(session, *args, **kwargs)
+
+    monkeypatch.setattr(daily, "fan_out_all", spy)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    landed = q._land(spark, SF_SMALL, "egrul", str(tmp_path / "drop"))
+    left = [f for f in glob.glob(str(tmp_path / "drop" / "**"), recursive=True) if os.path.isfile(f)]
+    assert left and all(f.startswith(landed + os.sep) for f in left), left
+    res = daily_run(spark, {"egrul": {"new": landed}}, str(tmp_path / "out"), "2024-01-30")
+    assert seen == [([], "true")] and spark.conf.get(FREE_SHUFFLES, None) == before
+    assert {r.status for r in res.report.where("registry = 'egrul'").collect()} <= {"ok", "empty"}
+    assert res.report.where("n_rows > 0").count() > 30
