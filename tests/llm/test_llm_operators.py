@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -119,6 +120,31 @@ def test_embedding_classes(spark, cell, block):
         assert got[i]["kept"] == (find(i) == i)
 
 
+def test_embedding_vectors_travel_once(spark, monkeypatch, tmp_path):
+    """However many blocks a label has, and without clusters to tell apart, a vector is dealt out once; links are those of one
+    block, of doubles too, and the blocks' files go."""
+    rng = np.random.RandomState(5)
+    x = rng.randn(400, 24)
+    x[200:260] = x[:60] + 0.03 * rng.randn(60, 24)
+    data = [(i, [float(v) for v in e], str(i % 2)) for i, e in enumerate(x)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label string")
+    want = rows(embed_dedup.embedding_classes(df).orderBy("vec_id"))
+    assert sum(r["n_links"] for r in want) >= 100
+    moved, plain = [], embed_dedup.map_batches
+
+    def counted(part, fn, schema):
+        if "vector" in part.columns:
+            moved.append(part.count())
+        return plain(part, fn, schema)
+
+    monkeypatch.setattr(embed_dedup, "map_batches", counted)
+    monkeypatch.setattr(embed_dedup, "staging_dir", lambda _, name: str(tmp_path / name), raising=False)
+    for cell, block in ((4096, 20), (40, 15)):
+        assert rows(embed_dedup.embedding_classes(df, cell=cell, block=block).orderBy("vec_id")) == want
+    assert sum(moved) <= 2 * 2 * len(data), moved
+    assert not any(files for _, _, files in os.walk(tmp_path))
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 300)] + [(500, 500), (None, 3)]
     got = {r["node"]: r["root"] for r in rows(components.components(spark.createDataFrame(links, "a long, b long")))}
