@@ -611,3 +611,21 @@ def test_daily_run_keeps_one_copy_on_disk(spark, tmp_path, monkeypatch):
     assert seen == [([], "true")] and spark.conf.get(FREE_SHUFFLES, None) == before
     assert {r.status for r in res.report.where("registry = 'egrul'").collect()} <= {"ok", "empty"}
     assert res.report.where("n_rows > 0").count() > 30
+
+
+def test_late_parts_keep_only_what_is_still_needed(spark, tmp_path, monkeypatch):
+    """The generated XML is packed, and it, the whole archives and the replaced landing folder go when they have been used."""
+    from regfold.plans import daily
+    from regfold.plans import extra_queries as q
+
+    monkeypatch.setattr(q, "_stage", lambda _, name: str(tmp_path))
+    monkeypatch.setattr(q, "_slices_by_entity", lambda *_: None)
+    seen = []
+
+    def files():
+        found = [p.relative_to(tmp_path) for p in tmp_path.rglob("*") if p.is_file() and p.suffix != ".crc" and p.name != "_SUCCESS"]
+        return {str(p.parts[0]) for p in found}, {p.suffix for p in found}
+
+    monkeypatch.setattr(daily, "daily_run", lambda *args, **kwargs: seen.append(files()))
+    q.q_daily_late_parts(spark, SF_SMALL)
+    assert seen == [({"xml", "landed-1"}, {".gz", ".zip"}), ({"landed-2"}, {".zip"})]
